@@ -34,6 +34,15 @@ def exact_mean_of_rounded(value: Column, digits: int) -> Column:
     return exact_mean(value.cast(f"decimal(20,{digits})"))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Round a double half away from zero, judging ties on its decimal value.
+
+    A quotient such as 164.1 / 6 is 27.35 on paper but a hair below it in
+    binary; it rounds up here.
+    """
+    return F.round(value.cast("decimal(28,10)"), digits).cast("double")
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Double division; NULL instead of an error on zero."""
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))

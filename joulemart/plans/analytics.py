@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joulemart import constants as K
-from joulemart.functions.numbers import exact_mean, mean_of, ratio, surrogate_key
+from joulemart.functions.numbers import exact_mean, mean_of, ratio, rounded, surrogate_key
 from joulemart.plans.marts import Star, with_location, with_property
 
 
@@ -172,7 +172,7 @@ def scored(star: Star) -> DataFrame:
         F.lit(weight) * ratio(F.col(part), F.col("peak").getField(f"max_{part}"))
         for weight, part in zip(K.SCORE_WEIGHTS, _score_parts())
     ]
-    score = F.round((weighted[0] + weighted[1] + weighted[2]) * 100, 1)
+    score = rounded((weighted[0] + weighted[1] + weighted[2]) * 100, 1)
     # A one-decimal score is exact as decimal, and so are sums of it.
     return rows.withColumn("score", score.cast("decimal(9,1)")).drop("peak")
 
@@ -200,13 +200,13 @@ def retrofit_priority(star: Star) -> DataFrame:
         .groupBy(*kind, "county", "local_authority")
         .agg(
             total_n().alias("property_count"),
-            F.round(mean("current"), 1).alias("avg_efficiency_current"),
-            F.round(mean("potential"), 1).alias("avg_efficiency_potential"),
-            F.round(mean("gap"), 1).alias("avg_efficiency_gap"),
-            F.round(mean("co2_current"), 3).alias("avg_co2_current_tonnes"),
-            F.round(mean("co2_saving"), 3).alias("avg_co2_saving_per_property_tonnes"),
+            rounded(mean("current"), 1).alias("avg_efficiency_current"),
+            rounded(mean("potential"), 1).alias("avg_efficiency_potential"),
+            rounded(mean("gap"), 1).alias("avg_efficiency_gap"),
+            rounded(mean("co2_current"), 3).alias("avg_co2_current_tonnes"),
+            rounded(mean("co2_saving"), 3).alias("avg_co2_saving_per_property_tonnes"),
             F.round(F.sum("co2_saving_sum"), 1).cast("decimal(38,1)").alias("total_co2_saving_potential_tonnes"),
-            F.round(mean("score"), 1).alias("avg_retrofit_priority_score"),
+            rounded(mean("score"), 1).alias("avg_retrofit_priority_score"),
             F.max("score_max").cast("double").alias("max_retrofit_priority_score"),
         )
     )
@@ -216,6 +216,6 @@ def mean_efficiency_by(rows: DataFrame, key: str) -> DataFrame:
     """Row count and one-decimal mean efficiencies per key."""
     return rows.groupBy(key).agg(
         F.count("*").alias("n"),
-        F.round(exact_mean(F.col("energy_efficiency_current")), 1).alias("avg_current"),
-        F.round(exact_mean(F.col("energy_efficiency_potential")), 1).alias("avg_potential"),
+        rounded(exact_mean(F.col("energy_efficiency_current")), 1).alias("avg_current"),
+        rounded(exact_mean(F.col("energy_efficiency_potential")), 1).alias("avg_potential"),
     )

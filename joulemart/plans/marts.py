@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joulemart.functions.numbers import exact_mean, mean_of, surrogate_key
+from joulemart.functions.numbers import mean_of, rounded, surrogate_key
 from joulemart.operators.latest import latest_per_key
 
 PROPERTY_STATE = [
@@ -158,11 +158,7 @@ def fct_property_aggregations(star: Star) -> DataFrame:
         .groupBy("county", *kind, "inspection_year")
         .agg(
             F.sum("n").alias("certificate_count"),
-            F.round(mean_of(F.sum("rating_sum"), F.sum("rating_n")), 2).alias("avg_energy_efficiency"),
+            rounded(mean_of(F.sum("rating_sum"), F.sum("rating_n")), 2).alias("avg_energy_efficiency"),
             F.sum("co2_sum").cast("decimal(38,2)").alias("total_co2_emissions"),
         )
     )
-
-
-def exact_means(columns: dict[str, Column]) -> list[Column]:
-    return [exact_mean(value).alias(name) for name, value in columns.items()]
