@@ -17,6 +17,7 @@ from joulemart.plans.analytics import (
     facts_by_property, mean, mean_efficiency_by, regional_means, sums_per,
 )
 from joulemart.plans.marts import Star, with_property
+from joulemart.sources.geojson import main_outline, match_districts
 
 BOX_SAMPLE = 200_000
 DENSITY_SAMPLE = 150_000
@@ -320,3 +321,32 @@ def weighted_retrofit_cells(retrofit: DataFrame) -> DataFrame:
     )
 
 
+
+
+def map_figures(retrofit: DataFrame, min_count: int = 100) -> DataFrame:
+    """The numbers a district map shows, per authority and county."""
+    return (
+        retrofit.filter(F.col("local_authority").isNotNull())
+        .groupBy("local_authority", "county")
+        .agg(
+            rounded(exact_mean_of_rounded(F.col("avg_efficiency_current"), 1), 1).alias("avg_efficiency"),
+            rounded(exact_mean_of_rounded(F.col("avg_retrofit_priority_score"), 1), 1).alias("avg_retrofit_score"),
+            F.sum("property_count").alias("property_count"),
+            rounded(F.sum("total_co2_saving_potential_tonnes").cast("double") / 1e3, 1).alias("co2_saving_kt"),
+        )
+        .filter(F.col("property_count") > min_count)
+    )
+
+
+def la_map(retrofit: DataFrame, features: DataFrame, min_count: int = 100) -> DataFrame:
+    """Map figures with colour position and simplified outline.
+
+    Authorities without a boundary, and boundaries without a usable shape,
+    are left out; ``geojson.unmatched_districts`` lists the former.
+    """
+    figures = match_districts(map_figures(retrofit, min_count), features)
+    return (
+        figures.na.drop(subset=["lad_code"])
+        .join(main_outline(features), "lad_code")
+        .withColumn("colour", clamp_unit(F.col("avg_efficiency"), *K.DISTRICT_SCALE))
+    )

@@ -81,7 +81,7 @@ select main_fuel as fuel, {rnd(mean("energy_efficiency_current"), 1)} as avg_cur
   {rnd(mean("energy_efficiency_potential"), 1)} as avg_potential, cast(count(*) as bigint) as n
 from stg where main_fuel <> 'Other/Unknown' and energy_efficiency_current > 0 group by 1
 """
-_SUMMARY = f"""
+SUMMARY_SQL = f"""
 select cast(count(*) as bigint) as total,
   cast(sum(co2_emissions_current_tonnes_per_year) as double) as co2_current,
   cast(sum(co2_emissions_current_tonnes_per_year - co2_emissions_potential_tonnes_per_year) as double) as co2_saving,
@@ -447,12 +447,12 @@ where heating_cost_current > 0 and heating_cost_current < 10000 and property_typ
             "facts", "props",
         ),
     ),
-    "national_summary": (_on_star(reports.national_summary), query(_SUMMARY, "facts")),
+    "national_summary": (_on_star(reports.national_summary), query(SUMMARY_SQL, "facts")),
     "emissions_equivalence": (
         _on_star(lambda s: reports.emissions_equivalence(s, 4)),
         query(
             f"""
-with mt as (select {rnd("co2_saving / 1000000", 4)} as co2_saving_mt from ({_SUMMARY}) s)
+with mt as (select {rnd("co2_saving / 1000000", 4)} as co2_saving_mt from ({SUMMARY_SQL}) s)
 select co2_saving_mt, {rnd("co2_saving_mt / cast(2.1 as double)", 4)} as cars_million from mt
 """,
             "facts",

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from joulemart import queries_core, queries_generic
+from joulemart import queries_core, queries_generic, queries_models, queries_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_GROUPS = (queries_core, queries_generic)
+_GROUPS = (queries_core, queries_generic, queries_sources, queries_models)
 
 
 def all_queries() -> dict[str, Query]:
