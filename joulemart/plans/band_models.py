@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
@@ -115,8 +116,10 @@ def fit_boosted(
     """
     rows = with_class_weight(train)
     encoder = Pipeline(stages=code_stages()).fit(rows)
-    encoded = encoder.transform(rows)
-    bands = [r.target for r in train.select("target").distinct().orderBy("target").collect()]
+    used = ["target", "features", "weight", *([validation] if validation else [])]
+    # Every band trains on the same encoded rows; lost blocks are recomputed.
+    encoded = encoder.transform(rows).select(*used).persist(StorageLevel.MEMORY_AND_DISK)
+    bands = [r.target for r in encoded.select("target").distinct().orderBy("target").collect()]
     stages = []
     for band in bands:
         booster = GBTClassifier(
@@ -130,12 +133,13 @@ def fit_boosted(
             maxBins=MAX_BINS,
             seed=seed,
             predictionCol=f"hit_{band}",
-            rawPredictionCol=f"raw_{band}",
-            probabilityCol=f"probability_{band}",
         )
+        booster = booster.setRawPredictionCol(f"raw_{band}").setProbabilityCol(f"probability_{band}")
         if validation:
-            booster = booster.setValidationIndicatorCol(validation).setValidationTol(params.tolerance)
+            booster = booster.setValidationIndicatorCol(validation)
+            booster.set(booster.validationTol, params.tolerance)
         stages.append(booster.fit(encoded.withColumn("is_band", (F.col("target") == band).cast("double"))))
+    encoded.unpersist()
     return PipelineModel([*encoder.stages, *stages])
 
 
