@@ -24,9 +24,9 @@ def _first_match(branches: list[tuple[Column, object]], otherwise: Column) -> Co
 
 def age_label(text: Column) -> Column:
     """Construction age label; case-sensitive, order of the rules matters."""
-    year = text.try_cast("int")
+    # Four-digit years compare as text just as they do as numbers.
     by_year = _first_match(
-        [(year <= last, F.lit(label)) for label, last in K.AGE_LAST_YEAR],
+        [(text <= F.lit(str(last)), F.lit(label)) for label, last in K.AGE_LAST_YEAR],
         F.lit(K.AGE_LABELS[-1]),
     )
     by_text = [(_any_of(text, parts), F.lit(label)) for label, parts in K.AGE_TEXT]

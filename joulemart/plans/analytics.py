@@ -145,13 +145,13 @@ def improvable(star: Star) -> DataFrame:
     return kinds.filter(F.col("property_type").isNotNull() & F.col("construction_age_band").isNotNull())
 
 
-def score_scale(star: Star) -> DataFrame:
-    """One row: the greatest value of each score part over scored certificates.
+def score_scale(star: Star, base: DataFrame) -> DataFrame:
+    """One row: the greatest value of each score part over ``improvable`` rows.
 
     A maximum ignores repeats, so the location test is a semi join of the
     per-postcode maxima instead of the fan-out join.
     """
-    peaks = improvable(star).groupBy("postcode").agg(*[F.max(p).alias(p) for p in _score_parts()])
+    peaks = base.groupBy("postcode").agg(*[F.max(p).alias(p) for p in _score_parts()])
     placed = star.locations.filter(F.col("local_authority").isNotNull()).select("location_id")
     return (
         peaks.withColumn("location_id", surrogate_key(F.col("postcode")))
@@ -160,14 +160,14 @@ def score_scale(star: Star) -> DataFrame:
     )
 
 
-def scored(star: Star) -> DataFrame:
-    """Improvable certificates with their 0-100 retrofit score.
+def scored(star: Star, base: DataFrame) -> DataFrame:
+    """``improvable`` rows with their 0-100 retrofit score.
 
     The scale comes in as a scalar subquery: one row, evaluated once.
     """
-    scale = score_scale(star)
+    scale = score_scale(star, base)
     peak = scale.select(F.struct(*[F.col(c) for c in scale.columns])).scalar()
-    rows = improvable(star).withColumn("peak", peak)
+    rows = base.withColumn("peak", peak)
     weighted = [
         F.lit(weight) * ratio(F.col(part), F.col("peak").getField(f"max_{part}"))
         for weight, part in zip(K.SCORE_WEIGHTS, _score_parts())
@@ -177,8 +177,13 @@ def scored(star: Star) -> DataFrame:
     return rows.withColumn("score", score.cast("decimal(9,1)")).drop("peak")
 
 
-def retrofit_priority(star: Star) -> DataFrame:
-    """Scores and savings per property kind, tenure, county and authority."""
+def retrofit_priority(star: Star, base: DataFrame | None = None) -> DataFrame:
+    """Scores and savings per property kind, tenure, county and authority.
+
+    The scale and the scores both read ``improvable`` rows. Pass them as
+    ``base`` when they have been written, and they are joined only once.
+    """
+    base = improvable(star) if base is None else base
     kind = ["property_type", "construction_age_band", "tenure"]
     measures = {
         "current": F.col("energy_efficiency_current"),
@@ -188,7 +193,7 @@ def retrofit_priority(star: Star) -> DataFrame:
         "co2_saving": F.col("co2_saving"),
         "score": F.col("score"),
     }
-    partial = scored(star).groupBy(*kind, "postcode").agg(
+    partial = scored(star, base).groupBy(*kind, "postcode").agg(
         F.count("*").alias("n"),
         F.max("score").alias("score_max"),
         *[F.sum(v).alias(f"{k}_sum") for k, v in measures.items()],

@@ -295,7 +295,7 @@ where energy_efficiency_potential - energy_efficiency_current > 30
     ),
     "v_retrofit_priority": (_on_star(analytics.retrofit_priority), _select_all("retrofit")),
     "global_max": (
-        _on_star(analytics.score_scale),
+        _on_star(lambda s: analytics.score_scale(s, analytics.improvable(s))),
         query(
             "select max(100 - sap_now) as max_inefficiency, max(gain) as max_gap,"
             " cast(max(saved) as decimal(11, 2)) as max_co2_saving from base",

@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot never compiles methods above this size; wide staging projections
+    # come close, and are better split into small functions than interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -62,7 +62,8 @@ def raw_certificates(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataF
     raw = spark.sql(RAW_SQL, **sources)
     if copies == 1:
         return raw
-    numbered = raw.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    # Spread the few source files over the cluster before multiplying their rows.
+    numbered = raw.repartition(spark.sparkContext.defaultParallelism).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     suffix = F.concat(F.lit("-"), F.col("copy").cast("string"))
     return numbered.withColumns(
         {"LMK_KEY": F.concat("LMK_KEY", suffix), "UPRN": F.concat("UPRN", suffix)}

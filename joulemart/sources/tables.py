@@ -70,7 +70,9 @@ class Warehouse:
         self._write(marts.certificate_facts(staged), "fct_certificates")
         self._write(marts.fct_energy_performance(staged), "fct_property_energy_performance")
         self._write(marts.fct_property_aggregations(self.star()), "fct_property_aggregations")
-        self._write(analytics.retrofit_priority(self.star()), "v_retrofit_priority")
+        # Read twice, for the score scale and for the scores.
+        self._write(analytics.improvable(self.star()), "improvable")
+        self._write(analytics.retrofit_priority(self.star(), self.table("improvable")), "v_retrofit_priority")
         return self
 
     def star(self) -> Star:
