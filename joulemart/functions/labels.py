@@ -1,8 +1,11 @@
-"""Free survey text to fixed labels, and label formatting."""
+"""Free survey text to fixed labels, and label formatting.
 
-from __future__ import annotations
+The label rules are long CASE expressions. They are built as SQL text, from
+the SQL text of a string expression, so that a plan is put together in a few
+calls to the JVM instead of hundreds.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,49 +13,43 @@ from pyspark.sql import functions as F
 from joulemart import constants as K
 
 
-def _any_of(text: Column, fragments: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(part) for part in fragments])
+def _any_of(text: str, fragments: tuple[str, ...]) -> str:
+    return "(" + " or ".join(f"contains({text}, '{part}')" for part in fragments) + ")"
 
 
-def _first_match(branches: list[tuple[Column, object]], otherwise: Column) -> Column:
-    """CASE whose branches are tried in the given order."""
-    chain = F
-    for condition, value in branches:
-        chain = chain.when(condition, value)
-    return chain.otherwise(otherwise)
+def _first_match(branches: list[tuple[str, str]], otherwise: str) -> str:
+    """CASE whose (condition, label) branches are tried in the given order."""
+    whens = " ".join(f"when {condition} then '{label}'" for condition, label in branches)
+    return f"case {whens} else {otherwise} end"
 
 
-def age_label(text: Column) -> Column:
+def age_label(text: str) -> Column:
     """Construction age label; case-sensitive, order of the rules matters."""
     # Four-digit years compare as text just as they do as numbers.
-    by_year = _first_match(
-        [(text <= F.lit(str(last)), F.lit(label)) for label, last in K.AGE_LAST_YEAR],
-        F.lit(K.AGE_LABELS[-1]),
-    )
-    by_text = [(_any_of(text, parts), F.lit(label)) for label, parts in K.AGE_TEXT]
-    return _first_match(
-        [*by_text, (text.rlike(r"\A[0-9]{4}\z"), by_year)],
-        F.lit(K.UNKNOWN_AGE),
+    by_year = _first_match([(f"{text} <= '{last}'", label) for label, last in K.AGE_LAST_YEAR], f"'{K.AGE_LABELS[-1]}'")
+    by_text = _first_match(
+        [(_any_of(text, parts), label) for label, parts in K.AGE_TEXT],
+        f"if(rlike({text}, r'\\A[0-9]{{4}}\\z'), {by_year}, '{K.UNKNOWN_AGE}')",
     )
+    return F.expr(by_text)
 
 
-def fuel_label(lowered: Column) -> Column:
+def fuel_label(lowered: str) -> Column:
     """Fuel label of an already lower-cased text ("biogas" counts as gas)."""
-    return _first_match(
-        [(_any_of(lowered, parts), F.lit(label)) for label, parts in K.FUEL_TEXT],
-        F.lit(K.UNKNOWN_FUEL),
+    return F.expr(
+        _first_match([(_any_of(lowered, parts), label) for label, parts in K.FUEL_TEXT], f"'{K.UNKNOWN_FUEL}'")
     )
 
 
-def wall_label(lowered: Column) -> Column:
+def wall_label(lowered: str) -> Column:
     """Wall label of an already lower-cased description."""
     branches = []
     for label, material, insulation in K.WALL_TEXT:
-        condition = lowered.contains(material)
+        condition = _any_of(lowered, (material,))
         if insulation:
-            condition = condition & _any_of(lowered, insulation)
-        branches.append((condition, F.lit(label)))
-    return _first_match(branches, F.lit(K.UNKNOWN_WALL))
+            condition += f" and {_any_of(lowered, insulation)}"
+        branches.append((condition, label))
+    return F.expr(_first_match(branches, f"'{K.UNKNOWN_WALL}'"))
 
 
 def ordinal(label: Column, ordered: tuple[str, ...]) -> Column:

@@ -1,5 +1,6 @@
 """Typed values out of all-text columns.
 
+Functions take the SQL text of a string expression, usually a column name.
 Text that does not parse becomes NULL; ``plans.staging.parse_failures``
 counts it, so a bad cell is reported instead of failing a long job.
 """
@@ -9,22 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_SHORTEST_DATE = len("2020-1-5")
 
-def text_to_int(text: Column) -> Column:
+
+def text_to_int(text: str) -> Column:
     """Integer from text; fractions round half away from zero."""
-    rounded = F.round(text.try_cast("decimal(30,12)"), 0)
-    return F.coalesce(text.try_cast("int"), rounded.try_cast("int"))
+    rounded = f"round(try_cast({text} as decimal(30,12)), 0)"
+    return F.expr(f"coalesce(try_cast({text} as int), try_cast({rounded} as int))")
 
 
-def text_to_decimal(text: Column, precision: int = 10, scale: int = 2) -> Column:
-    return text.try_cast(f"decimal({precision},{scale})")
+def text_to_decimal(text: str, precision: int = 10, scale: int = 2) -> Column:
+    return F.expr(f"try_cast({text} as decimal({precision},{scale}))")
 
 
-def text_to_date(text: Column) -> Column:
+def text_to_date(text: str) -> Column:
     """Date from ISO text. Bare years and year-months are not dates."""
-    shortest_full_date = 8  # 2020-1-5
-    return F.when(F.length(F.trim(text)) >= shortest_full_date, text.try_cast("date"))
+    return F.expr(f"if(length(trim({text})) >= {_SHORTEST_DATE}, try_cast({text} as date), null)")
 
 
-def allowed_or_null(value: Column, allowed: tuple[str, ...]) -> Column:
-    return F.when(value.isin(*allowed), value)
+def allowed_or_null(value: str, allowed: tuple[str, ...]) -> Column:
+    listed = ", ".join(f"'{v}'" for v in allowed)
+    return F.expr(f"case when {value} in ({listed}) then {value} end")

@@ -37,7 +37,7 @@ def _project(rows: DataFrame) -> DataFrame:
         F.col("total_floor_area_sqm").cast("double").alias("total_floor_area_sqm"),
         "construction_age_band",
         "main_fuel",
-        wall_label(F.col("walls_lower")).alias("wall_type"),
+        wall_label("walls_lower").alias("wall_type"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joulemart import constants as K
@@ -99,23 +99,23 @@ def stage_certificates(raw: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame
     rows = valid_rows(lower_case_columns(raw))
     present = set(rows.columns)
 
-    def source(name: str) -> Column:
-        return F.col(name) if name in present else F.lit(None).cast("string")
+    def source(name: str) -> str:
+        return name if name in present else "cast(null as string)"
 
     # Lower-cased once here so that the label rules below share it.
-    rows = rows.withColumn("fuel_lower", F.lower(source("main_fuel")))
+    rows = rows.withColumn("fuel_lower", F.expr(f"lower({source('main_fuel')})"))
 
-    staged = {name: source(raw_name) for name, raw_name in TEXT.items()}
+    staged = {name: F.expr(source(raw_name)) for name, raw_name in TEXT.items()}
     staged |= {name: allowed_or_null(source(raw_name), K.BANDS) for name, raw_name in RATING.items()}
     staged |= {name: text_to_int(source(raw_name)) for name, raw_name in INTEGER.items()}
     staged |= {name: text_to_decimal(source(raw_name)) for name, raw_name in DECIMAL.items()}
     staged |= {name: text_to_date(source(raw_name)) for name, raw_name in DATE.items()}
-    staged["certificate_key"] = surrogate_key(source("lmk_key"))
+    staged["certificate_key"] = surrogate_key(F.expr(source("lmk_key")))
     staged["construction_age_band"] = age_label(source("construction_age_band"))
-    staged["main_fuel"] = fuel_label(F.col("fuel_lower"))
+    staged["main_fuel"] = fuel_label("fuel_lower")
     return rows.select(
         *[staged[name].alias(name) for name in STAGED],
-        *[source(name).alias(name) for name in extra],
+        *[F.expr(source(name)).alias(name) for name in extra],
     )
 
 
@@ -139,7 +139,7 @@ def parse_failures(raw: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(name).alias("raw_column"),
                 F.count_if(filled).alias("n_text"),
-                F.count_if(filled & parse(text).isNull()).alias("n_failed"),
+                F.count_if(filled & parse(name).isNull()).alias("n_failed"),
             )
         )
     return rows.agg(F.array(*counts).alias("checks")).select(F.inline("checks"))

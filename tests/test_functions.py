@@ -14,7 +14,7 @@ from joulemart.functions import labels, numbers, parsing
 def evaluate(spark, texts, build):
     """``build`` applied to each text, in order."""
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    return [r.v for r in rows.select("i", build(F.col("t")).alias("v")).orderBy("i").collect()]
+    return [r.v for r in rows.select("i", build("t").alias("v")).orderBy("i").collect()]
 
 
 AGES = {
@@ -86,8 +86,8 @@ WALLS = {
     ("cases", "build"),
     [
         (AGES, labels.age_label),
-        (FUELS, lambda t: labels.fuel_label(F.lower(t))),
-        (WALLS, lambda t: labels.wall_label(F.lower(t))),
+        (FUELS, lambda t: labels.fuel_label(f"lower({t})")),
+        (WALLS, lambda t: labels.wall_label(f"lower({t})")),
     ],
 )
 def test_labels(spark, cases, build):
