@@ -282,7 +282,7 @@ with c as (select c_nationkey as n, c_custkey % 4 as q, count(distinct c_custkey
 select concat('E', n, q) as lad_code, concat(' la_', n, '_', q, ' ') as lad_name,
   case when n = 24 then null when n % 5 = 1 then 'MultiPolygon' else 'Polygon' end as geometry_type,
   cast(case when n = 24 then null when n % 5 = 1 then 2 else 1 end as integer) as n_polygons,
-  cast(case when n = 24 then null when n % 5 = 1 then greatest(v, 3) else v end as integer) as n_vertices
+  cast(case when n <> 24 then v end as integer) as n_vertices
 from c
 """,
     ),
