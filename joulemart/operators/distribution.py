@@ -25,28 +25,29 @@ def box_summary(counts: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers and median notch per group, from ``value_counts``.
 
     ``value`` must come from a bounded grid (two-decimal tonnes, whole
-    points): the exact percentile keeps one counter per distinct value.
+    points): a group is held as one counter per distinct value.
     """
     number = F.col(value).cast("double")
     quartiles = F.percentile(number, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    # The group's distinct values ride along, so that the whiskers need no second pass.
     box = counts.groupBy(group).agg(
-        quartiles.alias("q"),
-        F.sum("n").alias("n_rows"),
-        F.min(number).alias("min_value"),
-        F.max(number).alias("max_value"),
+        quartiles.alias("q"), F.sum("n").alias("n_rows"), F.collect_set(number).alias("values")
     ).select(
-        group, "n_rows", "min_value", "max_value",
+        group, "n_rows", "values",
         F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
     )
     reach = (F.col("q3") - F.col("q1")) * WHISKER
-    inside = number.between(F.col("q1") - reach, F.col("q3") + reach)
-    whiskers = counts.join(box.select(group, "q1", "q3"), group).filter(inside).groupBy(group).agg(
-        F.min(number).alias("lower_whisker"), F.max(number).alias("upper_whisker")
-    )
+    low, high = F.col("q1") - reach, F.col("q3") + reach
+    inside = F.filter("values", lambda v: (v >= low) & (v <= high))
     notch = (F.col("q3") - F.col("q1")) * NOTCH / F.sqrt(F.col("n_rows").cast("double"))
-    return box.join(whiskers, group).select(
-        group, "n_rows", "min_value",
-        "lower_whisker", "q1", "median", "q3", "upper_whisker", "max_value",
+    return box.withColumn("inside", inside).select(
+        group,
+        "n_rows",
+        F.array_min("values").alias("min_value"),
+        F.array_min("inside").alias("lower_whisker"),
+        "q1", "median", "q3",
+        F.array_max("inside").alias("upper_whisker"),
+        F.array_max("values").alias("max_value"),
         rounded(F.col("median") - notch, 4).alias("notch_low"),
         rounded(F.col("median") + notch, 4).alias("notch_high"),
     )

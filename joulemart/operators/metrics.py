@@ -79,13 +79,13 @@ def labels_present(pairs: DataFrame, ordered: tuple[str, ...]) -> DataFrame:
 
 def confusion_matrix(pairs: DataFrame, ordered: tuple[str, ...]) -> DataFrame:
     """Counts: one row per actual class, one column per predicted class."""
-    return pivot_fill(pairs, "actual", "predicted", "n", ordered, "pred_")
+    return pivot_fill(pairs, "actual", "predicted", {"pred_": "n"}, ordered)
 
 
 def confusion_shares(pairs: DataFrame, ordered: tuple[str, ...], digits: int = 1) -> DataFrame:
     """The matrix as percent of each actual class."""
     shares = pairs.withColumn("pct", share_of_group(F.col("n"), "actual", digits))
-    return pivot_fill(shares, "actual", "predicted", "pct", ordered, "pct_")
+    return pivot_fill(shares, "actual", "predicted", {"pct_": "pct"}, ordered)
 
 
 def naive_baselines(rows: DataFrame, label: str, n_classes: int) -> DataFrame:

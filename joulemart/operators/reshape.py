@@ -13,11 +13,21 @@ def column_name(label: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", label.lower()).strip("_")
 
 
-def pivot_fill(df: DataFrame, index: str, on: str, value: str, labels: tuple[str, ...], prefix: str = "") -> DataFrame:
-    """One row per ``index``, one column per label, 0 where there is no row.
+def pivot_fill(df: DataFrame, index: str, on: str, values: dict[str, str], labels: tuple[str, ...]) -> DataFrame:
+    """One row per ``index``, one column per value and label, 0 where there is no row.
 
-    The labels are given, so the result's columns do not depend on the data
-    and no extra pass looks for them.
+    ``values`` maps a column-name prefix to a value column; several are
+    pivoted in one pass. The labels are given, so the result's columns do not
+    depend on the data and no extra pass looks for them.
     """
-    wide = df.groupBy(index).pivot(on, list(labels)).agg(F.first(value)).na.fill(0, list(labels))
-    return wide.select(index, *[F.col(f"`{v}`").alias(prefix + column_name(v)) for v in labels])
+    firsts = [F.first(column).alias(column) for column in values.values()]
+    wide = df.groupBy(index).pivot(on, list(labels)).agg(*firsts)
+    # Spark names a pivoted column by its label, plus the value if there are several.
+    source = "{label}" if len(values) == 1 else "{label}_{column}"
+    names = {
+        source.format(label=label, column=column): prefix + column_name(label)
+        for prefix, column in values.items()
+        for label in labels
+    }
+    filled = wide.na.fill(0, list(names))
+    return filled.select(index, *[F.col(f"`{old}`").alias(new) for old, new in names.items()])

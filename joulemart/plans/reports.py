@@ -122,10 +122,8 @@ def retrofit_cells(retrofit: DataFrame) -> DataFrame:
 
 def retrofit_matrix(retrofit: DataFrame) -> DataFrame:
     """Wide form: one score and one count column per construction age."""
-    cells = retrofit_cells(retrofit)
-    scores = pivot_fill(cells, "property_type", "construction_age_band", "score", K.AGE_LABELS, "score_")
-    counts = pivot_fill(cells, "property_type", "construction_age_band", "total_props", K.AGE_LABELS, "props_")
-    return scores.join(counts, "property_type")
+    values = {"score_": "score", "props_": "total_props"}
+    return pivot_fill(retrofit_cells(retrofit), "property_type", "construction_age_band", values, K.AGE_LABELS)
 
 
 def la_treemap(retrofit: DataFrame, min_count: int = 500) -> DataFrame:
@@ -187,7 +185,7 @@ def postcode_band_shares(star: Star) -> DataFrame:
 
 def postcode_band_matrix(star: Star) -> DataFrame:
     """Share of each band per postcode area, most G-rated areas first."""
-    wide = pivot_fill(postcode_band_shares(star), "postcode_area", "rating", "pct", K.BANDS, "band_")
+    wide = pivot_fill(postcode_band_shares(star), "postcode_area", "rating", {"band_": "pct"}, K.BANDS)
     return wide.orderBy(F.desc_nulls_last("band_g"), F.asc_nulls_last("postcode_area"))
 
 

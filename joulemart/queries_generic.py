@@ -37,7 +37,7 @@ def events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = read_table(spark, sf_dir, "events").groupBy(
         F.to_date("ts").alias("day"), "event_type"
     ).agg(F.count("*").alias("n"))
-    return pivot_fill(counts, "day", "event_type", "n", _EVENT_TYPES, "n_")
+    return pivot_fill(counts, "day", "event_type", {"n_": "n"}, _EVENT_TYPES)
 
 
 def sales_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Registered queries of the band prediction work.
 
 Model fits run with few trees and shallow depths here, on all usable rows;
-the reference sizes are the defaults of the parameter classes.
+full sizes are the defaults of the parameter classes.
 """
 
 from __future__ import annotations

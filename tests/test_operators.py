@@ -108,7 +108,7 @@ def test_shares(spark):
 
 def test_pivot_keeps_absent_labels(spark):
     df = spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "g string, c string, n int")
-    got = pivot_fill(df, "g", "c", "n", ("x", "y", "Never Seen"), "n_").orderBy("g")
+    got = pivot_fill(df, "g", "c", {"n_": "n"}, ("x", "y", "Never Seen")).orderBy("g")
     assert got.columns == ["g", "n_x", "n_y", "n_never_seen"]
     assert [tuple(r) for r in got.collect()] == [("a", 1, 0, 0), ("b", 0, 2, 0)]
 
