@@ -209,3 +209,24 @@ def test_incremental_stream_equals_batch(spark, sf_dir, tmp_path):
     batch = marts.dim_properties(stage_certificates(raw)).drop("property_id")
     state = read_state(spark, str(tmp_path / "log"))
     assert sorted(map(tuple, state.collect()), key=str) == sorted(map(tuple, batch.collect()), key=str)
+
+
+class _Session:
+    """Just the settings of a session."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_work_folder_is_the_shared_one():
+    shared = _Session(spark_master="yarn", **{"spark_checkpoint_dir": "hdfs:///work"})
+    assert new_work_dir(shared, "x").startswith("hdfs:///work/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        new_work_dir(_Session(spark_master="yarn"), "x")
