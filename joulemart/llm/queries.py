@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from joulemart.llm import mixing
+from joulemart.llm import huffman_files, mixing, packing
+from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def words_file() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def pack_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces, packed into sequences of 2,048 tokens."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), words_file())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from Huffman-coded files."""
+    folder = new_work_dir(spark, "huffman")
+    huffman_files.write_token_files(table(spark, sf_dir, "documents"), folder, words_file())
+    return huffman_files.read_token_files(spark, folder)
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repeated so that a source of n of them has a share in proportion to the root of n."""
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
@@ -43,5 +62,7 @@ from (select *, unnest(range(1, copies + 1)) as copy_no from counted)
 
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_best_fit_packing": (pack_all, None),
+    "op3_huffman_files": (token_files, None),
     "op4_poisson_mix": (mix_sources, MIX_SQL),
 }
