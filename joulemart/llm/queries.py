@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from joulemart.llm import huffman_files, mixing, packing
+from joulemart.llm import huffman_files, jaccard_join, mixing, packing
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,9 +60,16 @@ select doc_id, text, lang, source, n_chars, copy_no, md5('42s:' || doc_id || ':'
 from (select *, unnest(range(1, copies + 1)) as copy_no from counted)
 """
 
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under 85 % similarity of 4-word shingles."""
+    found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_best_fit_packing": (pack_all, None),
     "op3_huffman_files": (token_files, None),
     "op4_poisson_mix": (mix_sources, MIX_SQL),
+    "op10_ngram_jaccard_join": (ngram_join, None),
 }
