@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from joulemart.llm import huffman_files, jaccard_join, mixing, packing
+from joulemart.llm import huffman_files, jaccard_join, mixing, packing, quality
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Documents with a lower score are rejected.
+QUALITY_THRESHOLD = 0.3
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -66,10 +71,24 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned without the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(~quality.held_out(F.col("doc_id"))))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_best_fit_packing": (pack_all, None),
     "op3_huffman_files": (token_files, None),
     "op4_poisson_mix": (mix_sources, MIX_SQL),
+    "op8_subword_quality": (quality_scores, None),
     "op10_ngram_jaccard_join": (ngram_join, None),
 }
