@@ -51,6 +51,10 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     return out
 
 
+def _stored(width: int) -> str:
+    return f"<u{width}"
+
+
 class Code:
     """Encoder and decoder tables of ids and their code lengths."""
 
@@ -104,14 +108,16 @@ class Code:
         return out[:n]
 
 
-def count_ids(stored: DataFrame) -> DataFrame:
-    """How often each id occurs, as (id, n); every task counts its own rows first."""
+def count_ids(stored: DataFrame, width: int) -> DataFrame:
+    """How often each id of `width` bytes occurs, as (id, n); every task counts its own rows first."""
+
+    kind = _stored(width)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for payload in batch.column(0):
-                found = np.bincount(np.frombuffer(payload.as_buffer(), "<u4"))
+                found = np.bincount(np.frombuffer(payload.as_buffer(), kind))
                 if len(found) > len(total):
                     total = np.pad(total, (0, len(found) - len(total)))
                 total[: len(found)] += found
@@ -130,10 +136,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """
     spark = docs.sparkSession
     key_type = docs.schema[key].dataType.simpleString()
+    # In between, an id takes two bytes where the vocabulary allows it.
+    width = 2 if max(tokens.encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
     def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, ids, offsets in tokens.encoded_rows(batches, tokenizer, end_id):
-            packed = ids.astype("<u4")
+            packed = ids.astype(_stored(width))
             yield pa.RecordBatch.from_pydict({
                 key: rows.column(rows.schema.get_field_index(key)),
                 "ids": pa.array([packed[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary()),
@@ -145,7 +153,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     stored = spark.read.parquet(scratch)
 
     # As many rows as the vocabulary has ids, whatever the input.
-    counted = count_ids(stored).toPandas().sort_values("id")
+    counted = count_ids(stored, width).toPandas().sort_values("id")
     lengths = code_lengths(counted["n"].to_numpy(np.int64))
     code_ids = counted["id"].to_numpy(np.int64)
     code_rows = pd.DataFrame({"id": code_ids, "bits": lengths})
@@ -173,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             key_arrow = batch.column(0).type
             for name, payload in zip(batch.column(0), batch.column(1)):
                 keys.append(name.as_py())
-                rows.append(np.frombuffer(payload.as_buffer(), "<u4"))
+                rows.append(np.frombuffer(payload.as_buffer(), _stored(width)))
                 size += len(rows[-1])
                 if size >= BLOCK_IDS:
                     yield flush()
