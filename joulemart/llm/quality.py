@@ -1,7 +1,7 @@
 """Supervised subword embeddings: averaged vectors of words and character n-grams, softmax on top.
 
-A document is the mean of the vectors of its words, its character n-grams and a constant, all by hashed
-bucket. The vectors and the output layer are learned with numpy by stochastic gradient descent on a
+A document is the mean of the vectors of its words, its character n-grams, repeats of a word and a
+constant, all by hashed bucket. The vectors and the output layer are learned with numpy by stochastic gradient descent on a
 bounded sample of labelled rows; scoring needs no more than one number per bucket, as the output is
 linear in the mean.
 """
@@ -22,6 +22,9 @@ from joulemart.llm import text_hash
 SAMPLE_ROWS = 4_000
 
 
+_REPEAT = 0x2545F4914F6CDD1D
+
+
 @dataclass(frozen=True)
 class Settings:
     """Sizes and rates of a fit; the last bucket is the constant's."""
@@ -39,6 +42,10 @@ def text_features(data: np.ndarray, offsets: np.ndarray, settings: Settings) ->
     starts, ends, first = text_hash.word_bounds(data, offsets, text_hash.WHITE_SPACE)
     words = text_hash.range_hashes(text_hash.prefix_hashes(data), starts, ends)
     yield (words % np.uint64(settings.buckets)).astype(np.int64), first
+    # A word that only repeats the one before it is a feature of its own, whatever the word.
+    again = np.flatnonzero(words[1:] == words[:-1]) + 1
+    again = again[~np.isin(again, first)]
+    yield np.full(len(again), int(_REPEAT % settings.buckets)), np.searchsorted(again, first)
     # Characters as their UTF-8 bytes in one number; white space stands for the border of a word.
     begins = np.flatnonzero((data & 0xC0) != 0x80)
     code = data[begins].astype(np.uint64)
