@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulemart.llm import huffman_files, jaccard_join, mixing, packing, quality
+from joulemart.llm import graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,11 +84,30 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License and rights notices of every document."""
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def near_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest embeddings of every one whose vec_id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return graph_search.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_best_fit_packing": (pack_all, None),
+    "op2_hnsw_near_duplicates": (near_vectors_all, None),
     "op3_huffman_files": (token_files, None),
     "op4_poisson_mix": (mix_sources, MIX_SQL),
+    "op6_license_signatures": (license_scan, None),
+    "op7_robust_graph_search": (nearest_vectors, None),
     "op8_subword_quality": (quality_scores, None),
     "op10_ngram_jaccard_join": (ngram_join, None),
 }
