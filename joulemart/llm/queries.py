@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulemart.llm import graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality
+from joulemart.llm import backoff, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,40 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean stupid-backoff score of every document under the whole corpus."""
+    scored = backoff.backoff_scores(table(spark, sf_dir, "documents"))
+    # The order of a sum shows in its last digits.
+    return scored.withColumn("score", F.round("score", 9))
+
+
+BACKOFF_SQL = r"""
+with words as (
+    select doc_id, rn, unnest(w) as word, generate_subscripts(w, 1) as i
+    from (select doc_id, row_number() over () as rn, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents)
+), pairs as (
+    select *, lag(word) over (partition by rn order by i) as before from words
+), singles as (
+    select word, count(*) as n from words group by word
+), doubles as (
+    select before, word, count(*) as n from pairs where before is not null group by all
+), events as (
+    select p.rn,
+        case when p.before is null then ln(s.n / (select count(*) from words)::double)
+             when d.n >= 2 then ln(d.n::double) - ln(c.n::double)
+             else ln(s.n / (select count(*) from words)::double) + ln(0.4) end as value,
+        case when p.before is not null and d.n < 2 then 1 else 0 end as backed_off
+    from pairs p join singles s on p.word = s.word left join singles c on p.before = c.word
+    left join doubles d on p.before = d.before and p.word = d.word
+), sums as (
+    select rn, count(*) as n_words, sum(backed_off)::bigint as n_backed_off, sum(value) as total from events group by rn
+)
+select r.doc_id, coalesce(s.n_words, 0) as n_words, coalesce(s.n_backed_off, 0) as n_backed_off,
+    round(s.total / s.n_words, 9) as score
+from (select doc_id, row_number() over () as rn from documents) r left join sums s using (rn)
+"""
+
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_best_fit_packing": (pack_all, None),
@@ -109,5 +143,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op6_license_signatures": (license_scan, None),
     "op7_robust_graph_search": (nearest_vectors, None),
     "op8_subword_quality": (quality_scores, None),
+    "op9_stupid_backoff": (backoff_scores, BACKOFF_SQL),
     "op10_ngram_jaccard_join": (ngram_join, None),
 }
