@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulemart.llm import backoff, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality
+from joulemart.llm import backoff, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, tool_calls
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,12 +134,70 @@ select r.doc_id, coalesce(s.n_words, 0) as n_words, coalesce(s.n_backed_off, 0)
 from (select doc_id, row_number() over () as rn from documents) r left join sums s using (rn)
 """
 
+#: What the tools take that the turns of conversations are read as calls of.
+TOOLS = {
+    "system": {"prompt": {"kind": "string", "required": True, "longest": 400}},
+    "user": {
+        "prompt": {"kind": "string", "required": True, "longest": 300},
+        "words": {"kind": "integer", "required": True, "least": 10, "most": 1000},
+        "follows": {"kind": "integer"},
+    },
+}
+
+
+def link_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """System and user turns as calls, the turn after each as its result, two turns before as what it needs."""
+    turns = table(spark, sf_dir, "conversations")
+    at = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    words = F.size(F.split("text", "[ \n]+")).cast("bigint")
+    arguments = F.when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("prompt")))).otherwise(
+        F.to_json(F.struct(words.alias("words"), F.col("text").alias("prompt"), F.when(F.col("turn") >= 2, F.col("turn") - 2).alias("follows")))
+    )
+    calls = turns.filter("role <> 'assistant'").select(
+        at(F.col("turn")).alias("call_id"), F.col("role").alias("name"), arguments.alias("arguments"), at(F.col("turn") - 2).alias("depends_on")
+    )
+    results = turns.filter("role = 'assistant'").select(
+        at(F.col("turn") - 1).alias("call_id"), F.col("turn").alias("place"), F.col("text").alias("content")
+    )
+    return tool_calls.link_tool_calls(calls, results, TOOLS)
+
+
+TOOL_SQL = r"""
+with recursive calls as (
+    select conv_id, turn, 'c' || conv_id || '-' || turn as call_id, role as name, text,
+        len(string_split_regex(text, '[ 
+]+')) as words
+    from conversations where role <> 'assistant'
+), chains as (
+    select c.conv_id, c.turn, 0 as depth from calls c
+    where not exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2)
+    union all
+    select c.conv_id, c.turn, depth + 1 from chains p join calls c on c.conv_id = p.conv_id and c.turn = p.turn + 2
+), results as (
+    select 'c' || conv_id || '-' || (turn - 1) as call_id, turn as place, text as content from conversations where role = 'assistant'
+), checked as (
+    select c.*, h.depth, list_filter([
+        case when name = 'system' and length(text) > 400 then 'prompt: too long' end,
+        case when name = 'user' and length(text) > 300 then 'prompt: too long' end,
+        case when name = 'user' and words > 1000 then 'words: too large' end,
+        case when name = 'user' and words < 10 then 'words: too small' end], lambda x: x is not null) as found
+    from calls c join chains h using (conv_id, turn)
+)
+select call_id, name, place, depth, len(found)::int as n_problems, array_to_string(found, '; ') as problems,
+    '{"arguments":' || case when name is null then 'null' when name = 'system' then '{"prompt":' || to_json(text)::varchar || '}'
+        else '{' || case when turn >= 2 then '"follows":' || (turn - 2) || ',' else '' end || '"prompt":' || to_json(text)::varchar || ',"words":' || words || '}' end
+    || ',"content":' || coalesce(to_json(content)::varchar, 'null') || ',"id":' || to_json(call_id)::varchar || ',"name":' || coalesce(to_json(name)::varchar, 'null')
+    || ',"valid":' || coalesce((len(found) = 0)::varchar, 'null') || '}' as message
+from checked full join results using (call_id)
+"""
+
 #: name -> (query, SQL or None)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_best_fit_packing": (pack_all, None),
     "op2_hnsw_near_duplicates": (near_vectors_all, None),
     "op3_huffman_files": (token_files, None),
     "op4_poisson_mix": (mix_sources, MIX_SQL),
+    "op5_tool_call_links": (link_turns, TOOL_SQL),
     "op6_license_signatures": (license_scan, None),
     "op7_robust_graph_search": (nearest_vectors, None),
     "op8_subword_quality": (quality_scores, None),
