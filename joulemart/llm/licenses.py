@@ -204,10 +204,11 @@ def scan(docs: DataFrame) -> DataFrame:
     names are replaced, all others stay.
     """
     kept = [c for c in docs.columns if c not in ("n_words", "detections")]
+    texts, name = text_hash.with_text(docs.select(*kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, data, offsets in text_hash.text_chunks(batch, "__text"):
+            for low, data, offsets in text_hash.text_chunks(batch, name):
                 lowered = text_hash.LOWER[data]
                 _, _, first = text_hash.word_bounds(lowered, offsets, _OUTSIDE)
                 whole, rows = lowered.tobytes(), []
@@ -227,7 +228,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     detection = "struct<label: string, priority: int, base: boolean, start: bigint, `end`: bigint, word: bigint>"
-    return docs.select(*kept, F.col("text").cast("string").alias("__text")).mapInArrow(
+    return texts.mapInArrow(
         run, f"{fields}, n_words bigint, detections array<{detection}>"
     )
 

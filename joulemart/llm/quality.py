@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from joulemart.llm import text_hash
 
 #: Labelled rows that a fit takes at most; the rest of a corpus is scored, not learned from.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_000
 
 
 _REPEAT = 0x2545F4914F6CDD1D
@@ -144,12 +144,12 @@ def score(docs: DataFrame, model: np.ndarray, settings: Settings = Settings(), c
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c != column]
-    schema = docs.select(*kept).schema
+    texts, name = text_hash.with_text(docs.select(*kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            for low, data, offsets in text_hash.text_chunks(batch, "__text"):
+            for low, data, offsets in text_hash.text_chunks(batch, name):
                 total = np.full(len(offsets) - 1, float(weights[settings.buckets]))
                 count = np.ones(len(offsets) - 1)
                 for bucket, bounds in text_features(data, offsets, settings):
@@ -160,8 +160,8 @@ def score(docs: DataFrame, model: np.ndarray, settings: Settings = Settings(), c
                 arrays = [rows.column(rows.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(1 / (1 + np.exp(-total / count)))], [*kept, column])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.select(*kept, F.col("text").cast("string").alias("__text")).mapInArrow(run, f"{fields}, `{column}` double")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    return texts.mapInArrow(run, f"{fields}, `{column}` double")
 
 
 def held_out(key: Column) -> Column:

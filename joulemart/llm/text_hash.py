@@ -6,15 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text worked on at a time; scratch arrays take about fifty times as much.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _ROOT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, _U), np.ones(1, _U))
 
 
+def with_text(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with their text as a string column, and its name: `text` itself, where it is one."""
+    if dict(docs.dtypes)["text"] == "string":
+        return docs, "text"
+    return docs.withColumn("__text", F.col("text").cast("string")), "__text"
+
+
 def byte_table(members: bytes) -> np.ndarray:
     """A look-up table that is true for the given byte values."""
     table = np.zeros(256, bool)

@@ -14,8 +14,8 @@ from tokenizers import Tokenizer
 
 from joulemart.llm.text_hash import LOWER, WHITE_SPACE, byte_table, prefix_hashes, range_hashes, text_chunks, word_bounds
 
-#: Units a worker remembers before it starts anew; about 50 MB.
-CACHE_UNITS = 1_000_000
+#: Units a worker remembers before it starts anew; about 15 MB.
+CACHE_UNITS = 300_000
 
 _LETTERS = byte_table(bytes(range(65, 91)) + bytes(range(97, 123)))
 _PLAIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
@@ -31,15 +31,16 @@ def _byte_characters() -> dict[int, int]:
 _BYTE_CHARACTERS = _byte_characters()
 
 
-def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the stretches that can be encoded alone, and each row's first one.
+def text_units(data: np.ndarray, offsets: np.ndarray, joining: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The text with most letters A-Z lower-cased, and starts and ends of the stretches that can be encoded
+    alone, and each row's first one.
 
-    That is a word between white space; where all its letters are ASCII or Latin-1 and no apostrophe
-    could start a contraction, its runs of letters and its runs of other characters.
+    That is a word between white space; where all its letters are ASCII or Latin-1 and it has none of the
+    `joining` bytes, its runs of letters and its runs of other characters. Only these are lower-cased.
     """
     starts, ends, first = word_bounds(data, offsets, WHITE_SPACE)
     if not len(starts):
-        return starts, ends, first
+        return data, starts, ends, first
     high = data >= 0x80
     lead = data == 0xC3
     trail = np.zeros(len(data), bool)
@@ -47,8 +48,12 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     trail &= high & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
     good_lead = np.zeros(len(data), bool)
     good_lead[:-1] = lead[:-1] & trail[1:]
-    odd = np.concatenate([[0], np.cumsum((high & ~good_lead & ~trail) | (data == 39))])
+    odd = np.concatenate([[0], np.cumsum((high & ~good_lead & ~trail) | joining[data])])
     plain = odd[ends] == odd[starts]
+    whole = np.zeros(len(data) + 1, np.int8)
+    whole[starts[~plain]] += 1
+    whole[ends[~plain]] -= 1
+    lowered = np.where(np.cumsum(whole[:-1], dtype=np.int8) > 0, data, LOWER[data])
     letter = _LETTERS[data] | high
     change = np.zeros(len(data), bool)
     change[1:] = letter[1:] != letter[:-1]
@@ -56,7 +61,7 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     word = np.searchsorted(starts, inner, "right") - 1
     inner = inner[(word >= 0) & (inner > starts[word]) & (inner < ends[word]) & plain[word]]
     starts, ends = np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
-    return starts, ends, np.searchsorted(starts, offsets)
+    return lowered, starts, ends, np.searchsorted(starts, offsets)
 
 
 class WordEncoder:
@@ -69,14 +74,17 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # An apostrophe may start a contraction, and other bytes a token that is cut out of the text first.
+        added = [token.content.encode()[:1] for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self._joining = byte_table(b"'" + b"".join(added))
         self.by_units = self._splits()
         self._forget()
 
     def _splits(self) -> bool:
         for text in ["Ab, cd.\n EFÉ ß12 a's#x\tñandú", "x  y", "don't stop", "Ünder### (ça) vom$$$ 3.5%", "x×y …!a"]:
             data = np.frombuffer(text.encode(), np.uint8)
-            starts, ends, _ = unit_bounds(data, np.array([0, len(data)]))
-            pieces = [i for a, b in zip(starts, ends) for i in self._unit_ids(LOWER[data[a:b]].tobytes().decode())]
+            lowered, starts, ends, _ = text_units(data, np.array([0, len(data)]), self._joining)
+            pieces = [i for a, b in zip(starts, ends) for i in self._unit_ids(lowered[a:b].tobytes().decode())]
             if pieces != self.tokenizer.encode(text, add_special_tokens=False).ids:
                 return False
         return True
@@ -119,8 +127,7 @@ class WordEncoder:
             return ids, np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
         if len(self._hashes) > CACHE_UNITS:
             self._forget()
-        data = LOWER[data]
-        starts, ends, first = unit_bounds(data, offsets)
+        data, starts, ends, first = text_units(data, offsets, self._joining)
         hashes = range_hashes(prefix_hashes(data), starts, ends)
         distinct, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         text = data.tobytes()

@@ -1,0 +1,343 @@
+"""Every operator on awkward rows and on the small tables, against plain recomputation."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from joulemart.llm import backoff, components, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, tool_calls
+from joulemart.llm.queries import QUERIES, TOOLS
+from tests.llm.edge_rows import components as reachable
+from tests.llm.edge_rows import documents, lower, shingles
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return documents(spark).repartition(3).persist()
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf_dir):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+
+
+def _ids(text, end):
+    return np.array(Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [end], "<u4")
+
+
+def _crc(ids):
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def _sequences_hold(rows, most=2048):
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= most
+    return len(by_sequence)
+
+
+def _run(name, spark, sf_dir):
+    return QUERIES[name][0](spark, sf_dir).collect()
+
+
+def test_packing_of_small_tables(spark, sf_dir, texts):
+    rows = _run("op1_best_fit_packing", spark, sf_dir)
+    expected = []
+    for key, text in texts.items():
+        ids = _ids(text, 0)
+        expected += [(key, p, s, len(ids[s : s + 2048]), _crc(ids[s : s + 2048])) for p, s in enumerate(range(0, len(ids), 2048))]
+    assert sorted(tuple(r)[:5] for r in rows) == sorted(expected)
+    assert _sequences_hold(rows) <= math.ceil(sum(r["length"] for r in rows) / 2048) + 2
+
+
+def test_packing_of_odd_rows(odd):
+    rows = packing.pack_documents(odd, WORDS, with_ids=True).collect()
+    assert _sequences_hold(rows) >= 1
+    assert sum(r["length"] for r in rows) == sum(len(_ids(r["text"], 0)) for r in odd.collect())
+    assert all(_crc(np.array(r["ids"])) == r["ids_crc32"] and r["length"] == len(r["ids"]) for r in rows)
+    assert sum(r["doc_id"] is None for r in rows) == 2
+    assert packing.pack_documents(odd.limit(0), WORDS).count() == 0
+
+
+def test_equal_rows_are_dealt_to_many_shards(spark):
+    pieces = spark.range(0, 4000, 1, 4).select(F.lit(1).alias("doc_id"), F.lit(700).cast("long").alias("length"), F.lit("x").alias("offset"))
+    rows = packing.pack(pieces, shard_pieces=500).collect()
+    assert len({r["sequence_id"] >> 32 for r in rows}) == 8 and _sequences_hold(rows) <= 2000 + 8
+
+
+def test_token_files_of_small_tables(spark, sf_dir, texts):
+    rows = {r["doc_id"]: tuple(r)[1:] for r in _run("op3_huffman_files", spark, sf_dir)}
+    start = 0
+    for key in sorted(texts):
+        ids = _ids(texts[key], 2)
+        assert rows[key] == (start, len(ids), _crc(ids))
+        start += len(ids)
+
+
+def test_token_files_of_odd_rows(spark, odd, tmp_path):
+    huffman_files.write_token_files(odd, str(tmp_path / "files"), WORDS)
+    rows = huffman_files.read_token_files(spark, str(tmp_path / "files"), with_ids=True).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in odd.collect()), key=lambda i: (i is not None, i))
+    assert sorted((r["ids"] for r in rows)) == sorted(_ids(r["text"], 2).tolist() for r in odd.collect())
+    huffman_files.write_token_files(odd.limit(0), str(tmp_path / "none"), WORDS)
+    assert huffman_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_mixing_of_odd_rows(spark, odd):
+    mixed = mixing.poisson_mix(odd.withColumn("copy_no", F.lit("old")), total=3000)
+    rows = mixed.collect()
+    assert mixed.columns == [*odd.columns, "copy_no", "shuffle_key"]
+    assert 2500 < len(rows) < 3500 and {r["source"] for r in rows} == {None, "s0", "s1"}
+    weighted = mixing.poisson_mix(odd, weights={None: 1, "s1": 3}, total=4000).groupBy("source").count().collect()
+    shares = {r["source"]: r["count"] for r in weighted}
+    assert set(shares) == {None, "s1"} and 2.3 < shares["s1"] / shares[None] < 3.9
+    assert mixing.poisson_mix(odd.limit(0)).count() == 0
+    assert sorted(map(str, mixing.poisson_mix(odd, total=50).collect())) == sorted(map(str, mixing.poisson_mix(odd.repartition(5), total=50).collect()))
+
+
+def test_mixing_by_join_when_there_are_many_sources(odd, monkeypatch):
+    sent = sorted(map(str, mixing.poisson_mix(odd, total=60).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(str, mixing.poisson_mix(odd, total=60).collect())) == sent
+
+
+def test_mixing_runs_no_python(spark, sf_dir):
+    plan = QUERIES["op4_poisson_mix"][0](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+def _base_places(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+    found = []
+    for phrase, label in licenses.BASE_PHRASES.items():
+        parts = phrase.split()
+        found += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    return len(words), sorted(found)
+
+
+def test_license_scan_of_odd_and_small_tables(spark, sf_dir, odd):
+    for docs in (odd, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        scanned = licenses.scan(docs.withColumn("detections", F.lit(1)))
+        assert scanned.columns == [*docs.columns, "n_words", "detections"]
+        rows = licenses.digest(scanned).collect()
+        given = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+        expected = []
+        for key, text in given:
+            n, found = _base_places(text)
+            at = [i for i, _ in found]
+            expected.append((key, n, len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found}))))
+        assert sorted((tuple(r)[:6] for r in rows), key=str) == sorted(expected, key=str)
+        for r in rows:
+            assert 0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+    assert licenses.digest(licenses.scan(odd.limit(0))).count() == 0
+
+
+def _expected_join(rows, width, percent):
+    sets = [shingles(t, width) for _, t in rows]
+    links = [
+        (i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
+        if a and b and 100 * len(a & b) >= percent * len(a | b)
+    ]
+    group = reachable(len(rows), links)
+    least = {}
+    for (key, _), g in zip(rows, group):
+        if key is not None:
+            least[g] = min(key, least.get(g, key))
+    return sorted(((key, len(s), least.get(g) if s else key) for (key, _), s, g in zip(rows, sets, group)), key=str)
+
+
+def test_ngram_join_of_odd_and_small_tables(spark, sf_dir, odd):
+    for docs, width, percent in ((odd, 5, 80), (spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85)):
+        rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        found = jaccard_join.similar_documents(docs, width, percent).collect()
+        assert sorted((tuple(r)[:3] for r in found), key=str) == _expected_join(rows, width, percent)
+    assert jaccard_join.similar_documents(odd.limit(0)).count() == 0
+
+
+def test_ngram_join_of_chains_and_a_family(spark):
+    random = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(90):  # edits of one text, of which some link with each other and some only with the text
+        words = list(base)
+        for at in random.integers(0, 70, int(random.integers(0, 4))):
+            words[at] = f"e{i}x{at}"
+        rows.append((i + 5, " ".join(words)))
+    chain = [f"c{i}" for i in range(100)]
+    rows += [(500 - i, " ".join(chain[i * 2 : i * 2 + 40])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted((tuple(r)[:3] for r in jaccard_join.similar_documents(docs, 4, 80).collect()), key=str)
+    assert found == _expected_join(rows, 4, 80)
+
+
+@pytest.mark.parametrize("finish", [10**6, 20, 0])
+def test_components_in_rounds_and_at_once(spark, finish):
+    random = np.random.default_rng(8)
+    links = [tuple(map(int, random.integers(0, 150, 2))) for _ in range(110)] + [(200 + i, 201 + i) for i in range(40)]
+    expected = reachable(300, links)
+    df = spark.createDataFrame([*links, (None, 1), (9, 9)], "a long, b long")
+    found = {r["node"]: r["component"] for r in components.connected_components(df, finish_links=finish).collect()}
+    assert found == {x: expected[x] for pair in links if pair[0] != pair[1] for x in pair}
+
+
+def _vector_rows():
+    random = np.random.default_rng(6)
+    near = random.normal(size=8)
+    vectors = [(near + random.normal(size=8) * 0.08).tolist() for _ in range(60)] + random.normal(size=(60, 8)).tolist()
+    rows = [(i + 1, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(300 + i, rows[0][1]) for i in range(20)] + [(1, rows[0][1])]
+    rows += [(400, None), (401, [0.0] * 8), (402, [float("nan")] * 8), (403, [float("inf")] + [1.0] * 7), (404, [None] + [1.0] * 7)]
+    return rows
+
+
+def _unit(rows):
+    good = [v is not None and None not in v and np.isfinite(v).all() and any(v) for _, v in rows]
+    wide = np.array([v if g else [1.0] * 8 for (_, v), g in zip(rows, good)])
+    return np.array(good), wide / np.sqrt((wide * wide).sum(1, keepdims=True))
+
+
+def test_near_vectors(spark):
+    rows = _vector_rows()
+    vectors = spark.createDataFrame([(k, v, "a", 1) for k, v in rows], "vec_id long, embedding array<float>, label string, cid int").repartition(3)
+    good, unit = _unit(rows)
+    link = (unit @ unit.T >= 0.95 - 1e-12) & good[:, None] & good & ~np.eye(len(rows), dtype=bool)
+    group = reachable(len(rows), [(int(a), int(b)) for a, b in zip(*np.nonzero(link))])
+    least = {}
+    for (key, _), g in zip(rows, group):
+        least[g] = min(key, least.get(g, key))
+    expected = sorted((key, int(n), least[g], key == least[g]) for (key, _), n, g in zip(rows, link.sum(1), group))
+    assert sorted(map(tuple, near_vectors.near_duplicates(vectors).collect())) == expected
+    assert near_vectors.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_nearest_vectors(spark):
+    rows = _vector_rows()
+    vectors = spark.createDataFrame([(k, v, "a", 1) for k, v in rows] + [(None, [1.0] * 8, "b", 2)], "vec_id long, embedding array<float>, label string, rank int").repartition(3)
+    queries = vectors.filter("vec_id % 7 = 0 or vec_id in (1, 300, 401)")
+    found = {}
+    for r in graph_search.nearest(vectors, queries, 5).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(found[r["query_id"]])
+    good, unit = _unit(rows)
+    at = {k: i for i, (k, _) in enumerate(rows)}
+    assert set(found) == {k for k in at if good[at[k]] and (k % 7 == 0 or k in (1, 300))}
+    for query, best in found.items():
+        scores = unit @ unit[at[query]]
+        expected = sorted({(-round(float(scores[i]), 9), k) for (k, _), i in zip(rows, range(len(rows))) if good[i] and k != query})[:5]
+        assert [(-round(s, 9), k) for k, s in best] == expected
+    assert graph_search.nearest(vectors.limit(0), queries.limit(0)).count() == 0
+    assert {r["rank"] for r in graph_search.nearest(vectors.filter("vec_id < 4"), queries, 5).filter("query_id = 7").collect()} == {1, 2, 3}
+
+
+def test_vectors_of_the_given_tables(spark, sf_dir):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    wide = np.array([v for _, v in rows])
+    unit = wide / np.sqrt((wide * wide).sum(1, keepdims=True))
+    keys = np.array([k for k, _ in rows])
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, -2)
+    linked = {r["vec_id"]: r["n_links"] for r in _run("op2_hnsw_near_duplicates", spark, sf_dir)}
+    assert linked == {int(k): int(n) for k, n in zip(keys, (sims >= 0.95).sum(1))}
+    found = _run("op7_robust_graph_search", spark, sf_dir)
+    hits = 0
+    for i in np.flatnonzero(keys % 50 == 0):
+        best = set(keys[np.argsort(-sims[i])[:5]].tolist())
+        hits += len(best & {r["vec_id"] for r in found if r["query_id"] == keys[i]})
+    assert hits >= 0.9 * len(found) and len(found) == 5 * (keys % 50 == 0).sum()
+
+
+def test_quality_learns_and_takes_odd_rows(spark, odd):
+    good = [(i, f"the plain words of text {i} go on and on to the end of it", 1) for i in range(60)]
+    bad = [(i, "CLICK!! NOW!! " * 5 + f"${i}$$ |", 0) for i in range(60, 120)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in good + bad], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y, "x") for i, _, y in good + bad] + [(None, 1, "x"), (3, None, "x"), (999, 0, "x"), (4, 7, "x")], "doc_id long, quality int, text string")
+    model = quality.fit(docs, labels.filter(~quality.held_out(F.col("doc_id"))))
+    rows = quality.score(docs, model).join(labels.filter("quality in (0, 1)").select("doc_id", "quality"), "doc_id").collect()
+    assert all((r["score"] > 0.5) == (r["quality"] == 1) for r in rows)
+    scored = quality.score(odd, model)
+    assert scored.columns == [c for c in odd.columns if c != "score"] + ["score"] and scored.count() == odd.count()
+    assert all(0 <= r["score"] <= 1 for r in scored.collect())
+    empty = {r["score"] for r in scored.filter("text is null or trim(text) = ''").collect()}
+    assert len(empty) <= 2
+    none = quality.fit(docs, labels.limit(0))
+    assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
+    assert quality.score(odd.limit(0), model).count() == 0
+
+
+def test_quality_holds_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = QUERIES["op8_subword_quality"][0](spark, sf_dir).join(labels, "doc_id").filter("held_out").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) >= 0.95
+
+
+def test_backoff_of_odd_rows(odd):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", lower(t)) for _, t in rows]
+    single, double, total = {}, {}, sum(map(len, words))
+    for own in words:
+        for i, w in enumerate(own):
+            single[w] = single.get(w, 0) + 1
+            if i:
+                double[own[i - 1], w] = double.get((own[i - 1], w), 0) + 1
+    expected = []
+    for (key, _), own in zip(rows, words):
+        score, back = 0.0, 0
+        for i, w in enumerate(own):
+            pair = double.get((own[i - 1], w), 0) if i else 0
+            if i and pair >= 2:
+                score += math.log(pair / single[own[i - 1]])
+            else:
+                score += math.log(single[w] / total) + (math.log(0.4) if i else 0)
+                back += bool(i)
+        expected.append((key, len(own), back, round(score / len(own), 6) if own else None))
+    found = [(r["doc_id"], r["n_words"], r["n_backed_off"], None if r["score"] is None else round(r["score"], 6)) for r in backoff.backoff_scores(odd).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert backoff.backoff_scores(odd.limit(0)).count() == 0
+
+
+def test_tool_calls(spark):
+    calls = spark.createDataFrame(
+        [
+            ("a", "user", '{"words": 20, "prompt": "hi", "zeta": [1, {"b": 1, "a": 2}]}', None, 1),
+            ("b", "user", '{"words": 5, "prompt": "x"}', "a", 1),
+            ("c", "user", '{"words": "20"}', "b", 1),
+            ("d", "nope", "[1]", "gone", 1),
+            ("e", "user", "no json", "f", 1),
+            ("f", "system", '{"prompt": null}', "e", 1),
+            ("g", "system", '{"prompt": "p"}', "f", 1),
+            (None, "system", '{"prompt": "p"}', None, 1),
+            ("a", "user", '{"words": 20, "prompt": "hi", "zeta": [1, {"b": 1, "a": 2}]}', None, 2),
+            ("h", None, None, None, 1),
+        ],
+        "call_id string, name string, arguments string, depends_on string, place int",
+    )
+    results = spark.createDataFrame(
+        [("a", 2, 'say "so"\n'), ("a", 3, None), ("b", 4, "é"), ("x", 5, "lost"), (None, 6, "none"), ("b", 4, "é")],
+        "call_id string, place long, content string",
+    )
+    rows = tool_calls.link_tool_calls(calls, results, TOOLS).collect()
+    found = sorted(((r["call_id"], r["place"], r["depth"], r["problems"]) for r in rows if r["call_id"] not in (None, "h")), key=str)
+    expected = [
+        ("a", 2, 0, ""), ("a", 3, 0, ""), ("b", 4, 1, "words: too small"), ("b", 4, 1, "words: too small"),
+        ("c", None, 2, "prompt: missing; words: no integer"), ("d", None, 0, "arguments are no object; unknown tool"),
+        ("e", None, None, "arguments are no object"), ("f", None, None, "prompt: missing"), ("g", None, None, ""), ("x", 5, None, None),
+    ]
+    assert found == sorted(expected, key=str)
+    message = next(r["message"] for r in rows if r["place"] == 2)
+    assert message == '{"arguments":{"prompt":"hi","words":20,"zeta":[1,{"a":2,"b":1}]},"content":"say \\"so\\"\\n","id":"a","name":"user","valid":true}'
+    assert sum(r["call_id"] is None for r in rows) == 2
+    assert tool_calls.link_tool_calls(calls.limit(0), results.limit(0), TOOLS).count() == 0
