@@ -6,8 +6,9 @@
 2. Rows with the same set become one class. A class's prefix holds its rarest shingles, so many that
    linked sets share one. Classes of one size and one prefix become a group.
 3. Groups that share a prefix shingle are candidates if their sizes and the shingle's places allow a
-   link. First each is paired with a few neighbours in each list; then all remaining candidates whose
-   members aren't yet connected, without the pairs inside the largest component of a list.
+   link. First each is paired with a few neighbours in each list, in several orders; then all remaining
+   candidates whose members aren't yet connected, without the pairs inside the largest component of a
+   list.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ RANGE_SHINGLES = 2_000_000
 HASH_BITS = 48
 #: Distances of the neighbours that are tried first.
 NEIGHBOURS = (1, 2, 4, 8, 16)
+#: Neighbours are tried so often in further orders of the lists, while that finds links.
+NEIGHBOUR_ROUNDS = 5
 
 _BLOCK_SCHEMA = "slot int, block bigint, keys binary, rows binary, low binary, high binary, n binary"
 _SET_SCHEMA = "row_id bigint, n bigint, d1 bigint, d2 bigint, shared array<bigint>"
@@ -168,6 +171,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common") * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent).select("a", "b")
 
 
+def _neighbours(entries: DataFrame, order: list, percent: int) -> DataFrame:
+    """Pairs of groups of different components that are near each other in a list, in some order of the lists."""
+    in_list = Window.partitionBy("shingle").orderBy(*order)
+    near = [F.lag(F.struct("gid", "n", "at", "component"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
+    fits = lambda x: x.isNotNull() & (x["component"] != F.col("component")) & _may_link(F.col("n"), F.col("at"), x["n"], x["at"], percent)
+    tried = entries.select("gid", "n", "at", "component", F.array(*near).alias("near"))
+    tried = tried.select("gid", F.explode(F.filter("near", fits)).alias("x"))
+    return tried.select(F.greatest("gid", "x.gid").alias("a"), F.least("gid", "x.gid").alias("b"))
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough links between classes to connect all that links connect."""
     lone = F.col("n") - F.size("shared")
@@ -185,18 +198,21 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     entries = written(in_lists.select("shingle", "gid", "n", "at"), "entries")
 
     # Neighbours: in every list, and from one member of a group to the next.
-    in_list = Window.partitionBy("shingle").orderBy("n", "at", "gid")
-    near = [F.lag(F.struct("gid", "n", "at"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
-    tried = entries.select("gid", "n", "at", F.array(*near).alias("near")).select(
-        "gid",
-        F.explode(F.filter("near", lambda x: x.isNotNull() & _may_link(F.col("n"), F.col("at"), x["n"], x["at"], percent))).alias("x"),
-    )
-    tried = tried.select(F.greatest("gid", "x.gid").alias("a"), F.least("gid", "x.gid").alias("b"))
     in_group = members.select(F.col("cid").alias("a"), F.lag("cid").over(Window.partitionBy("gid").orderBy("cid")).alias("b")).filter("b is not null")
-    first = written(_verified(tried.union(in_group).distinct(), sets, percent), "links")
+    tried = _neighbours(entries.withColumn("component", F.col("gid")), ["n", "at", "gid"], percent)
+    links = written(_verified(tried.union(in_group).distinct(), sets, percent), "links")
+    labels = connected_components(links)
+    for turn in range(NEIGHBOUR_ROUNDS):
+        labelled = entries.join(labels.withColumnRenamed("node", "gid"), "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+        tried = _neighbours(labelled, [F.xxhash64(F.lit(turn), "gid"), "gid"], percent)
+        more = written(_verified(tried.distinct(), sets, percent), "links")
+        if not more.limit(1).count():
+            break
+        links = links.union(more)
+        labels = connected_components(links)
 
     # What is left: pairs of groups that no component holds whole.
-    labels = connected_components(first).select(F.col("node").alias("cid"), "component")
+    labels = labels.select(F.col("node").alias("cid"), "component")
     of_member = members.join(labels, "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("component"))
     of_member = written(of_member, "member-components")
     of_group = of_member.groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -218,7 +234,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     two = of_member.select(F.col("gid").alias("b"), F.col("cid").alias("cb"), F.col("component").alias("lb"))
     pairs = open_pairs.union(mixed).distinct().join(one, "a").join(two, "b").filter("la <> lb and (a <> b or ca > cb)")
     rest = _verified(pairs.select(F.col("ca").alias("a"), F.col("cb").alias("b")), sets, percent)
-    return first.union(rest)
+    return links.union(rest)
 
 
 def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
