@@ -31,9 +31,12 @@ RANGE_SHINGLES = 2_000_000
 #: equals another's of the other by chance once in 700,000 pairs of sets.
 HASH_BITS = 48
 #: Distances of the neighbours that are tried first.
-NEIGHBOURS = (1, 2, 4, 8, 16)
+NEIGHBOURS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 #: Neighbours are tried so often in further orders of the lists, while that finds links.
-NEIGHBOUR_ROUNDS = 5
+NEIGHBOUR_ROUNDS = 2
+
+#: Sets of up to so many shingles together, 8 bytes each, are sent to every task for verification.
+BROADCAST_SHINGLES = 4_000_000
 
 _BLOCK_SCHEMA = "slot int, block bigint, keys binary, rows binary, low binary, high binary, n binary"
 _SET_SCHEMA = "row_id bigint, n bigint, d1 bigint, d2 bigint, shared array<bigint>"
@@ -165,6 +168,7 @@ def _may_link(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) ->
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose similarity is high enough."""
+    # Where the sets are few enough they carry a hint, which selecting columns keeps.
     one = sets.select(F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("shared").alias("s1"))
     two = sets.select(F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("shared").alias("s2"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("s1", "s2")))
@@ -256,6 +260,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: s
     may_link = F.col("n") - F.size("shared") < _prefix_length(F.col("n"), percent)
     sets = full.filter(may_link).groupBy(*identity).agg(F.any_value("shared").alias("shared"))
     sets = written(sets.join(classes, identity).select("cid", "n", "shared"), "class-sets")
+    if (sets.agg(F.sum(F.size("shared"))).first()[0] or 0) <= BROADCAST_SHINGLES:
+        sets = F.broadcast(sets)
     labels = written(connected_components(_links(sets, percent)), "components")
     labelled = classes.join(labels.select(F.col("node").alias("cid"), "component"), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
