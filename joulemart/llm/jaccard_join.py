@@ -35,9 +35,6 @@ NEIGHBOURS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 #: Neighbours are tried so often in further orders of the lists, while that finds links.
 NEIGHBOUR_ROUNDS = 2
 
-#: Sets of up to so many shingles together, 8 bytes each, are sent to every task for verification.
-BROADCAST_SHINGLES = 4_000_000
-
 _BLOCK_SCHEMA = "slot int, block bigint, keys binary, rows binary, low binary, high binary, n binary"
 _SET_SCHEMA = "row_id bigint, n bigint, d1 bigint, d2 bigint, shared array<bigint>"
 
@@ -168,7 +165,6 @@ def _may_link(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) ->
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose similarity is high enough."""
-    # Where the sets are few enough they carry a hint, which selecting columns keeps.
     one = sets.select(F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("shared").alias("s1"))
     two = sets.select(F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("shared").alias("s2"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("s1", "s2")))
@@ -176,13 +172,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _neighbours(entries: DataFrame, order: list, percent: int) -> DataFrame:
-    """Pairs of groups of different components that are near each other in a list, in some order of the lists."""
+    """Pairs of classes of different components that are near each other in a list, in some order of the lists."""
     in_list = Window.partitionBy("shingle").orderBy(*order)
-    near = [F.lag(F.struct("gid", "n", "at", "component"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
+    near = [F.lag(F.struct("cid", "n", "at", "component"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
     fits = lambda x: x.isNotNull() & (x["component"] != F.col("component")) & _may_link(F.col("n"), F.col("at"), x["n"], x["at"], percent)
-    tried = entries.select("gid", "n", "at", "component", F.array(*near).alias("near"))
-    tried = tried.select("gid", F.explode(F.filter("near", fits)).alias("x"))
-    return tried.select(F.greatest("gid", "x.gid").alias("a"), F.least("gid", "x.gid").alias("b"))
+    tried = entries.select("cid", "n", "at", "component", F.array(*near).alias("near"))
+    tried = tried.select("cid", F.explode(F.filter("near", fits)).alias("x"))
+    return tried.select(F.greatest("cid", "x.cid").alias("a"), F.least("cid", "x.cid").alias("b"))
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
@@ -201,18 +197,19 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     in_lists = entries.join(entries.groupBy("shingle").agg(F.count("gid").alias("size")).filter("size > 1"), "shingle")
     entries = written(in_lists.select("shingle", "gid", "n", "at"), "entries")
 
-    # Neighbours: in every list, and from one member of a group to the next.
-    in_group = members.select(F.col("cid").alias("a"), F.lag("cid").over(Window.partitionBy("gid").orderBy("cid")).alias("b")).filter("b is not null")
-    tried = _neighbours(entries.withColumn("component", F.col("gid")), ["n", "at", "gid"], percent)
-    links = written(_verified(tried.union(in_group).distinct(), sets, percent), "links")
-    labels = connected_components(links)
-    for turn in range(NEIGHBOUR_ROUNDS):
-        labelled = entries.join(labels.withColumnRenamed("node", "gid"), "gid", "left").withColumn("component", F.coalesce("component", "gid"))
-        tried = _neighbours(labelled, [F.xxhash64(F.lit(turn), "gid"), "gid"], percent)
-        more = written(_verified(tried.distinct(), sets, percent), "links")
-        if not more.limit(1).count():
+    # Neighbours, class by class: in every list, and in every group, as a list of its own below zero.
+    in_lists = entries.join(members, "gid").select("shingle", "cid", "n", "at")
+    sizes = members.groupBy("gid").agg(F.count("cid").alias("size")).filter("size > 1")
+    in_groups = members.join(sizes, "gid").select((-1 - F.col("gid")).alias("shingle"), "cid", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("at"))
+    class_entries = written(in_lists.union(in_groups), "class-entries")
+    links, labels = None, class_entries.select(F.col("cid").alias("node"), F.col("cid").alias("component")).limit(0)
+    orders = [["n", "at", "cid"], *[[F.xxhash64(F.lit(turn), "cid"), "cid"] for turn in range(NEIGHBOUR_ROUNDS)]]
+    for order in orders:
+        labelled = class_entries.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        more = written(_verified(_neighbours(labelled, order, percent).distinct(), sets, percent), "links")
+        if links is not None and not more.limit(1).count():
             break
-        links = links.union(more)
+        links = more if links is None else links.union(more)
         labels = connected_components(links)
 
     # What is left: pairs of groups that no component holds whole.
@@ -260,8 +257,6 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: s
     may_link = F.col("n") - F.size("shared") < _prefix_length(F.col("n"), percent)
     sets = full.filter(may_link).groupBy(*identity).agg(F.any_value("shared").alias("shared"))
     sets = written(sets.join(classes, identity).select("cid", "n", "shared"), "class-sets")
-    if (sets.agg(F.sum(F.size("shared"))).first()[0] or 0) <= BROADCAST_SHINGLES:
-        sets = F.broadcast(sets)
     labels = written(connected_components(_links(sets, percent)), "components")
     labelled = classes.join(labels.select(F.col("node").alias("cid"), "component"), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
