@@ -31,7 +31,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group that 5-word shingles of 80 % similarity link.
 
-    Of equal rows one stays, and of rows with one doc_id and one text. Documents without words stay.
+    Of equal rows one stays, and of rows with one doc_id and one text. Documents without words stay, and so
+    do those without a doc_id, which no list of losers can name.
     """
     found = written(jaccard_join.similar_documents(docs), "similar")
     losers = _sent_out(found.filter("not keeper and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct())
