@@ -26,7 +26,9 @@ from joulemart.llm import text_hash
 from joulemart.llm.components import written
 
 #: Words of a part, on average; a task holds one part.
-PART_WORDS = 2_000_000
+PART_WORDS = 1_000_000
+#: Bytes of text of a block: the more, the fewer times a word travels.
+BLOCK_BYTES = 4 << 20
 #: Hash bits of a word. Among ten million words about one has another's hash.
 HASH_BITS = 48
 _END = np.uint64((1 << HASH_BITS) - 1)  # follows the last word of a document
@@ -36,8 +38,8 @@ _SCHEMA = "kind int, slot int, block bigint, " + ", ".join(f"{c} binary" for c i
 _HEAD, _GRAMS, _SUMS = 0, 1, 2
 
 
-def _row(kind: int, slot: int, block: int, **payloads: np.ndarray) -> dict:
-    return {"kind": kind, "slot": slot, "block": block} | {k: v.tobytes() for k, v in payloads.items()}
+def _row(kind: int, slot: int, block: int, **payloads: np.ndarray | bytes) -> dict:
+    return {"kind": kind, "slot": slot, "block": block} | {k: v if isinstance(v, bytes) else v.tobytes() for k, v in payloads.items()}
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -53,6 +55,16 @@ def _whole_hash(row: dict) -> np.ndarray:
     return np.frombuffer(row["low"], "<u4").astype(np.uint64) | (np.frombuffer(row["high"], "<u2").astype(np.uint64) << np.uint64(32))
 
 
+def _counts(n: np.ndarray) -> bytes:
+    """Numbers with their high halves, nearly all zero, apart: that packs well."""
+    return n.astype("<u2").tobytes() + (n >> 16).astype("<u2").tobytes()
+
+
+def _counts_of(row: dict) -> np.ndarray:
+    low, high = np.frombuffer(row["n"], "<u2").astype(np.int64).reshape(2, -1)
+    return low | high << 16
+
+
 def _slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
     return (text_hash.mix(hashes) % np.uint64(slots)).astype(np.int64)
 
@@ -61,7 +73,7 @@ def _word_runs(batches: Iterator[pa.RecordBatch]):
     """Runs of at most 65,536 rows: (block number, keys, word hashes, first word of each row)."""
     part, count = TaskContext.get().partitionId(), 0
     for batch in batches:
-        for low, data, offsets in text_hash.text_chunks(batch):
+        for low, data, offsets in text_hash.text_chunks(batch, size=BLOCK_BYTES):
             for at in range(0, len(offsets) - 1, 1 << 16):
                 own = offsets[at : at + (1 << 16) + 1]
                 lowered = text_hash.LOWER[data[own[0] : own[-1]]]
@@ -82,7 +94,7 @@ def _count_words(slots: int):
             distinct, n = distinct[order], n[order]
             cuts = np.searchsorted(slot[order], np.arange(slots + 1))
             yield _batch([
-                _row(_GRAMS, s, block, n=n[a:b].astype("<u4"), **_cut_hash(distinct[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
+                _row(_GRAMS, s, block, n=_counts(n[a:b]), **_cut_hash(distinct[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
             ])
 
     return run
@@ -92,7 +104,7 @@ def _sum_words(group: pa.Table) -> pa.Table:
     """Of one part: its words in ascending order, how often each occurs, and their sum."""
     rows = group.to_pylist()
     words = np.concatenate([_whole_hash(r) for r in rows])
-    n = np.concatenate([np.frombuffer(r["n"], "<u4") for r in rows])
+    n = np.concatenate([_counts_of(r) for r in rows])
     distinct, at = np.unique(words, return_inverse=True)
     counts = np.bincount(at, weights=n).astype(np.int64)
     return pa.table({
@@ -140,22 +152,23 @@ def _bigrams(slots: int, crowding):
             a, b, row_of = a[at], b[at], row_of[at]
             is_hot = np.isin(a, hot)
             slot = np.where(is_hot, _slot_of(a * np.uint64(31) + b, slots), _slot_of(a, slots))
-            order = np.argsort(slot, kind="stable")
+            order = np.lexsort((b, slot))
             a, b, row_of, n = a[order], b[order], row_of[order], n[order]
             cuts = np.searchsorted(slot[order], np.arange(slots + 1))
             for s, (low, high) in enumerate(zip(cuts, cuts[1:])):
                 if high > low:
-                    starts = np.flatnonzero(np.diff(a[low:high], prepend=~a[low : low + 1]))
+                    firsts, of = np.unique(a[low:high], return_inverse=True)
                     out.append(_row(
-                        _GRAMS, s, block, rows=row_of[low:high].astype("<u2"), n=n[low:high].astype("<u4"),
-                        first=a[low:high][starts].astype("<u8"), runs=starts.astype("<u4"), **_cut_hash(b[low:high]),
+                        _GRAMS, s, block, rows=row_of[low:high].astype("<u2"), n=_counts(n[low:high]),
+                        first=firsts.astype("<u4"), keys=(firsts >> np.uint64(32)).astype("<u2"),
+                        runs=of.astype("<u2" if len(firsts) <= 1 << 16 else "<u4"), **_cut_hash(b[low:high]),
                     ))
             begin_rows = np.flatnonzero(count > 0)
             slot = _slot_of(words[begins], slots)
             for s in np.unique(slot):
                 own = slot == s
                 # Without a first word: nothing to be counted, scored in the last step.
-                out.append(_row(_SUMS, int(s), block, rows=begin_rows[own].astype("<u2"), n=np.zeros(own.sum(), "<u4"), **_cut_hash(words[begins][own])))
+                out.append(_row(_SUMS, int(s), block, rows=begin_rows[own].astype("<u2"), n=_counts(np.zeros(own.sum(), np.int64)), **_cut_hash(words[begins][own])))
             yield _batch(out)
 
     return run
@@ -164,7 +177,7 @@ def _bigrams(slots: int, crowding):
 def _sums(block: int, slot: int, rows: np.ndarray, value: np.ndarray, n: np.ndarray) -> dict:
     """A row's sums of values and numbers in one part."""
     own, at = np.unique(rows, return_inverse=True)
-    return _row(_SUMS, slot, block, rows=own.astype("<u2"), value=np.bincount(at, weights=value).astype("<f8"), n=np.bincount(at, weights=n).astype("<u4"))
+    return _row(_SUMS, slot, block, rows=own.astype("<u2"), value=np.bincount(at, weights=value).astype("<f8"), n=_counts(np.bincount(at, weights=n).astype(np.int64)))
 
 
 def _score_bigrams(slots: int, crowding, min_count: int):
@@ -179,9 +192,9 @@ def _score_bigrams(slots: int, crowding, min_count: int):
             b = np.concatenate([_whole_hash(r) for r in rows])
             sizes = [len(r["rows"]) // 2 for r in rows]
             a = np.concatenate([
-                np.repeat(np.frombuffer(r["first"], "<u8"), np.diff(np.frombuffer(r["runs"], "<u4"), append=size)) for r, size in zip(rows, sizes)
+                _whole_hash({"low": r["first"], "high": r["keys"]})[np.frombuffer(r["runs"], f"<u{len(r['runs']) // size}")] for r, size in zip(rows, sizes)
             ])
-            n = np.concatenate([np.frombuffer(r["n"], "<u4") for r in rows])
+            n = np.concatenate([_counts_of(r) for r in rows])
             place = np.concatenate([np.frombuffer(r["rows"], "<u2") for r in rows])
             _, at = np.unique(a, return_inverse=True)
             of_first = np.bincount(at, weights=n)[at]
@@ -212,7 +225,7 @@ def _score_bigrams(slots: int, crowding, min_count: int):
                 for s, (x, y) in enumerate(zip(cuts, cuts[1:])):
                     if y > x:
                         at = rest[x:y]
-                        out.append(_row(_GRAMS, s, r["block"], rows=place[part][at], n=n[part][at].astype("<u4"), **_cut_hash(b[part][at])))
+                        out.append(_row(_GRAMS, s, r["block"], rows=place[part][at], n=_counts(n[part][at]), **_cut_hash(b[part][at])))
         return pa.Table.from_batches([_batch(out)])
 
     return run
@@ -233,7 +246,7 @@ def _score_words(total: int, backoff: float):
                 out.append(r)
                 continue
             value = logs[np.searchsorted(words, _whole_hash(r))]
-            n = np.frombuffer(r["n"], "<u4")
+            n = _counts_of(r)
             if r["kind"] == _SUMS:  # first words of documents
                 out.append(_sums(r["block"], r["slot"], np.frombuffer(r["rows"], "<u2"), value, n))
             else:
@@ -251,7 +264,7 @@ def _assemble(group: pa.Table) -> pa.Table:
     for r in sorted((r for r in rows if r["kind"] == _SUMS), key=lambda r: (r["slot"], r["rows"], r["value"])):
         at = np.frombuffer(r["rows"], "<u2")
         value[at] += np.frombuffer(r["value"], "<f8")
-        backed_off[at] += np.frombuffer(r["n"], "<u4")
+        backed_off[at] += _counts_of(r)
     some = lengths > 0
     score = pa.array(np.where(some, value / np.maximum(lengths, 1), 0.0), mask=~some)
     return pa.table({"row_id": keys, "n_words": lengths, "n_backed_off": backed_off, "score": score})

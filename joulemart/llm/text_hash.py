@@ -38,7 +38,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def text_chunks(batch: pa.RecordBatch, column: str = "text", size: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Cut a batch into runs of rows: (first row, text bytes, row offsets into them).
 
     A null text counts as empty. A single row longer than a chunk is a chunk of its own.
@@ -52,7 +52,7 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
     data = np.frombuffer(data_buffer, np.uint8) if data_buffer else np.zeros(0, np.uint8)
     low = 0
     while low < rows:
-        high = int(np.searchsorted(offsets, offsets[low] + CHUNK_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + (size or CHUNK_BYTES), "right")) - 1
         high = min(max(high, low + 1), rows)
         yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
