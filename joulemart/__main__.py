@@ -5,6 +5,7 @@
     check   RAW_PATH WAREHOUSE AS_OF     data checks; exit code 1 if one fails
     report  WAREHOUSE OUT [NAME ...]     write reports (all of them by default)
     train   WAREHOUSE MODEL [ROWS]       fit and save the forest, print its scores
+    tune    WAREHOUSE MODEL [ROWS]       compare, search, refit and save boosted trees
     score   MODEL ROWS_PATH OUT          predict bands of feature rows
 """
 
@@ -22,8 +23,11 @@ from joulemart.sources.csv_landing import read_csv_by_name
 from joulemart.sources.tables import Warehouse
 
 
+TRIALS = 30
+
+
 def main(args: list[str]) -> int:
-    if not args or args[0] not in {"load", "build", "check", "report", "train", "score"}:
+    if not args or args[0] not in {"load", "build", "check", "report", "train", "tune", "score"}:
         print(__doc__)
         return 2
     job, *rest = args
@@ -59,6 +63,15 @@ def main(args: list[str]) -> int:
         band_models.save_model(model, path)
         scored = band_models.score_forest(model, split.filter("is_test"))
         class_report(pair_counts(scored, "target", "predicted")).show(100, truncate=False)
+    elif job == "tune":
+        root, path, *size = rest
+        rows = f"{path}-rows"
+        sampled = band_features.sampled_features(
+            Warehouse(spark, root).table("stg_certificates"), int(size[0]) if size else band_features.SAMPLE_ROWS
+        )
+        band_features.split_features(sampled).write.mode("overwrite").parquet(rows)
+        about = band_models.tune(spark.read.parquet(rows), path, band_features.TUNE_ROWS, TRIALS)
+        print(f"accuracy {about['accuracy']:.4f}, macro F1 {about['macro_f1']:.4f}: {about['parameters']}")
     else:
         path, source, out = rest
         scored = band_models.score_forest(band_models.load_model(path), spark.read.parquet(source))

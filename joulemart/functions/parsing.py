@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SHORTEST_DATE = len("2020-1-5")
+#: Year, month and day; what follows a day (a time) is cut off.
+_DATE_FORM = r"^\\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def text_to_int(text: str) -> Column:
@@ -25,7 +26,7 @@ def text_to_decimal(text: str, precision: int = 10, scale: int = 2) -> Column:
 
 def text_to_date(text: str) -> Column:
     """Date from ISO text. Bare years and year-months are not dates."""
-    return F.expr(f"if(length(trim({text})) >= {_SHORTEST_DATE}, try_cast({text} as date), null)")
+    return F.expr(f"if({text} rlike '{_DATE_FORM}', try_cast({text} as date), null)")
 
 
 def allowed_or_null(value: str, allowed: tuple[str, ...]) -> Column:

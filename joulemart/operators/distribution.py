@@ -29,25 +29,22 @@ def box_summary(counts: DataFrame, group: str, value: str) -> DataFrame:
     """
     number = F.col(value).cast("double")
     quartiles = F.percentile(number, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    # The group's distinct values ride along, so that the whiskers need no second pass.
-    box = counts.groupBy(group).agg(
-        quartiles.alias("q"), F.sum("n").alias("n_rows"), F.collect_set(number).alias("values")
-    ).select(
-        group, "n_rows", "values",
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
-    )
+    box = counts.groupBy(group).agg(quartiles.alias("q"), F.sum("n").alias("n_rows"))
+    box = box.select(F.col(group).alias("_group"), "n_rows", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = (F.col("q3") - F.col("q1")) * WHISKER
-    low, high = F.col("q1") - reach, F.col("q3") + reach
-    inside = F.filter("values", lambda v: (v >= low) & (v <= high))
+    inside = F.when((number >= F.col("q1") - reach) & (number <= F.col("q3") + reach), number)
+    # The counters meet their group's quartiles again: no group's values are gathered.
+    box = (
+        counts.join(box, F.col(group).eqNullSafe(F.col("_group")))
+        .groupBy(group, "n_rows", "q1", "median", "q3")
+        .agg(
+            F.min(number).alias("min_value"), F.min(inside).alias("lower_whisker"),
+            F.max(inside).alias("upper_whisker"), F.max(number).alias("max_value"),
+        )
+    )
     notch = (F.col("q3") - F.col("q1")) * NOTCH / F.sqrt(F.col("n_rows").cast("double"))
-    return box.withColumn("inside", inside).select(
-        group,
-        "n_rows",
-        F.array_min("values").alias("min_value"),
-        F.array_min("inside").alias("lower_whisker"),
-        "q1", "median", "q3",
-        F.array_max("inside").alias("upper_whisker"),
-        F.array_max("values").alias("max_value"),
+    return box.select(
+        group, "n_rows", "min_value", "lower_whisker", "q1", "median", "q3", "upper_whisker", "max_value",
         rounded(F.col("median") - notch, 4).alias("notch_low"),
         rounded(F.col("median") + notch, 4).alias("notch_high"),
     )

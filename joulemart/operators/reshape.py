@@ -18,8 +18,12 @@ def pivot_fill(df: DataFrame, index: str, on: str, values: dict[str, str], label
 
     ``values`` maps a column-name prefix to a value column; several are
     pivoted in one pass. The labels are given, so the result's columns do not
-    depend on the data and no extra pass looks for them.
+    depend on the data and no extra pass looks for them. A row whose ``on`` is none of the labels fails
+    the query: no value is left out of the result in silence. Filter first where that is wanted.
     """
+    listed = F.coalesce(F.col(on).isin(*labels), F.lit(False))
+    told = F.concat(F.lit(f"{on} is none of the pivoted labels: "), F.coalesce(F.col(on).cast("string"), F.lit("NULL")))
+    df = df.withColumn(on, F.when(listed, F.col(on)).otherwise(F.raise_error(told)))
     firsts = [F.first(column).alias(column) for column in values.values()]
     wide = df.groupBy(index).pivot(on, list(labels)).agg(*firsts)
     # Spark names a pivoted column by its label, plus the value if there are several.

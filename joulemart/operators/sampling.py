@@ -18,22 +18,23 @@ def draw(key: str, seed: int) -> Column:
 def sample_exact(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly ``n`` rows (all of them, if there are fewer), each equally likely.
 
-    Sorting everything to keep ``n`` rows would push ``n`` candidates from
-    every partition into one merge. Instead rows are counted per leading hash
-    digits (at most 65,536 counters), the digits that cover the first ``n``
-    rows are found, and only the rows up to there are ordered: ``n`` plus at
-    most one counter's worth.
+    Rows are counted per leading hash digits (at most 65,536 counters), and the digits at which the
+    first ``n`` rows end are found. Rows before them stay where they are; only the rows of that one
+    counter are ordered, so that the result keeps the input's partitions.
     """
     digits = 4
-    order = draw(key, seed)
-    counts = df.groupBy(F.substring(order, 1, digits).alias("lead")).agg(F.count("*").alias("c"))
+    drawn = df.withColumn("_draw", draw(key, seed))
+    lead = F.substring("_draw", 1, digits)
+    counts = drawn.groupBy(lead.alias("lead")).agg(F.count("*").alias("c"))
     upto = F.sum("c").over(Window.orderBy("lead"))
-    # NULL when the whole frame holds fewer than n rows.
-    cut = counts.withColumn("upto", upto).filter(F.col("upto") >= n).agg(F.min("lead")).scalar()
-    near = df.withColumn("_draw", order).filter(
-        F.substring("_draw", 1, digits) <= F.coalesce(cut, F.lit("g"))
-    )
-    return near.orderBy("_draw", key).limit(n).drop("_draw")
+    ends = counts.withColumn("upto", upto).filter(F.col("upto") >= n)
+    # NULL when the whole frame holds fewer than n rows: then all of them are before the cut.
+    last = ends.agg(F.min(F.struct("lead", (F.lit(n) - F.col("upto") + F.col("c")).alias("take"))).alias("last"))
+    cut, take = last.select("last.lead").scalar(), last.select("last.take").scalar()
+    before = drawn.filter(lead < F.coalesce(cut, F.lit("g")))
+    place = F.row_number().over(Window.partitionBy(lead).orderBy("_draw", key))
+    edge = drawn.filter(lead == cut).withColumn("_place", place).filter(F.col("_place") <= take).drop("_place")
+    return before.union(edge).drop("_draw")
 
 
 def rank_in_stratum(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
@@ -75,6 +76,25 @@ def stratified_subset(df: DataFrame, label: str, key: str, share: float, seed: i
     return stratified_split(df, label, key, share, seed).filter("is_test").drop("is_test")
 
 
+def stratified_exact(df: DataFrame, label: str, key: str, n: int, seed: int) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), shared out over the labels in proportion.
+
+    A label gets the whole part of its share; what is then left goes to the labels with the largest
+    fractions, one row each, ties to the smaller label. Quotas are one row per label and meet the rows as
+    one map value, so that no label's rows are gathered.
+    """
+    counts = df.groupBy(label).agg(F.count("*").alias("size"))
+    rows = counts.agg(F.sum("size")).scalar()
+    shares = counts.withColumn("all", rows).withColumn("n", F.least(F.lit(n), F.col("all")))
+    shares = shares.select(label, F.expr("size * n div all").alias("base"), (F.col("size") * F.col("n") % F.col("all")).alias("rest"), "n")
+    place = F.row_number().over(Window.orderBy(F.desc("rest"), label))
+    left = F.col("n") - F.sum("base").over(Window.partitionBy("n"))
+    quotas = shares.select(label, (F.col("base") + (place <= left).cast("bigint")).alias("quota"))
+    by_label = quotas.agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce(F.col(label).cast("string"), F.lit("")), "quota")))).scalar()
+    ranked = rank_in_stratum(df, label, key, seed).withColumn("_quota", F.element_at(by_label, F.coalesce(F.col(label).cast("string"), F.lit(""))))
+    return ranked.filter(F.col("stratum_rank") < F.col("_quota")).drop("_quota", "stratum_rank", "stratum_size")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int, seed: int) -> DataFrame:
     """Add ``fold`` (0..k-1), balanced within every label."""
     ranked = rank_in_stratum(df, label, key, seed)

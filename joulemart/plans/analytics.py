@@ -86,7 +86,7 @@ def regional_means(star: Star) -> DataFrame:
 
 
 def regional_performance(star: Star) -> DataFrame:
-    return regional_means(star).orderBy(F.desc_nulls_last("avg_current_efficiency"))
+    return regional_means(star).orderBy(F.desc_nulls_last("avg_current_efficiency"), "county", "local_authority", "post_town")
 
 
 def efficiency_gaps(star: Star, min_gap: int = 30) -> DataFrame:
@@ -108,7 +108,8 @@ def efficiency_gaps(star: Star, min_gap: int = 30) -> DataFrame:
             "energy_efficiency_current", "energy_efficiency_potential",
             "efficiency_gap", "co2_reduction_potential_tonnes",
         )
-        .orderBy(F.desc_nulls_last("efficiency_gap"))
+        # Gaps are few; the key lets the sort spread over more tasks than there are gaps.
+        .orderBy(F.desc_nulls_last("efficiency_gap"), "certificate_id")
     )
 
 

@@ -78,8 +78,10 @@ def class_weights(features: DataFrame) -> DataFrame:
 
 
 def with_class_weight(features: DataFrame) -> DataFrame:
-    """Features plus ``weight``; the weights are one row per class."""
-    return features.join(class_weights(features).select("target", "weight"), "target")
+    """Features plus ``weight``; the weights are one row per class and come as one map value, without a join."""
+    entries = F.collect_list(F.struct("target", "weight"))
+    by_class = class_weights(features).agg(F.map_from_entries(entries)).scalar()
+    return features.withColumn("weight", F.element_at(by_class, F.col("target")))
 
 
 def encode_ordinal(features: DataFrame) -> DataFrame:

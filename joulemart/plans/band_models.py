@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import random
 import statistics
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,12 +24,15 @@ from joulemart import constants as K
 from joulemart.functions.labels import feature_text
 from joulemart.operators.metrics import accuracy_macro_f1, pair_counts
 from joulemart.operators.ranking import top_k
+from joulemart.operators.sampling import stratified_exact
 from joulemart.operators.shares import share_of_total
-from joulemart.plans.band_features import FOLDS, SEED, with_class_weight
+from joulemart.plans.band_features import FOLDS, SEED, fold_features, with_class_weight
+from joulemart.session import new_work_dir
 
 CATEGORIES = ("main_fuel", "wall_type")
-# Age band and the two category codes split as categories of at most this many values.
+# Bins of a feature, at least; boosting takes more where a category has more values.
 MAX_BINS = 32
+CONCURRENT_FITS = 4
 
 
 def _age_stage() -> SQLTransformer:
@@ -120,8 +125,10 @@ def fit_boosted(
     # Every band trains on the same encoded rows; lost blocks are recomputed.
     encoded = encoder.transform(rows).select(*used).persist(StorageLevel.MEMORY_AND_DISK)
     bands = [r.target for r in encoded.select("target").distinct().orderBy("target").collect()]
-    stages = []
-    for band in bands:
+    # A category is a bin of its own.
+    categories = max((len(s.labels) for s in encoder.stages if hasattr(s, "labels")), default=0)
+
+    def fit_band(band: str) -> GBTClassificationModel:
         booster = GBTClassifier(
             labelCol="is_band",
             maxIter=params.rounds,
@@ -130,7 +137,7 @@ def fit_boosted(
             minInstancesPerNode=params.min_leaf,
             subsamplingRate=params.subsample,
             weightCol="weight",
-            maxBins=MAX_BINS,
+            maxBins=max(MAX_BINS, categories + 1),
             seed=seed,
             predictionCol=f"hit_{band}",
         )
@@ -138,7 +145,11 @@ def fit_boosted(
         if validation:
             booster = booster.setValidationIndicatorCol(validation)
             booster.set(booster.validationTol, params.tolerance)
-        stages.append(booster.fit(encoded.withColumn("is_band", (F.col("target") == band).cast("double"))))
+        return booster.fit(encoded.withColumn("is_band", (F.col("target") == band).cast("double")))
+
+    # The bands' fits are independent jobs; side by side they fill the gaps of each other's short stages.
+    with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
+        stages = list(pool.map(fit_band, bands))
     encoded.unpersist()
     return PipelineModel([*encoder.stages, *stages])
 
@@ -173,8 +184,12 @@ def score_forest(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.select(*rows.columns, "predicted", "probabilities")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: PipelineModel, path: str, about: dict | None = None) -> None:
+    """Save a model and, beside it in ``path``-about, what was chosen and measured, as one JSON row."""
     model.write().overwrite().save(path)
+    if about is not None:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(json.dumps(about, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}-about")
 
 
 def load_model(path: str) -> PipelineModel:
@@ -283,6 +298,36 @@ def best_trial(trials: Sequence[Trial]) -> Trial:
     return max(trials, key=lambda t: t.macro_f1)
 
 
+def tune(split: DataFrame, path: str, subset: int, trials: int, max_rounds: int = 400, k: int = FOLDS, sizes: tuple[int, int] = (100, 200)) -> dict:
+    """Compare candidates and search parameters on an exact stratified subset, refit on all, evaluate, save.
+
+    ``split`` has ``is_test`` and must be a written table. ``subset`` bounds the labelled rows that are tried
+    many times; the best parameters are fitted on every training row. ``sizes`` are the trees of the forest and the rounds of
+    both boosters that are compared. The result is also saved beside the model.
+    """
+    spark, train = split.sparkSession, split.filter(~F.col("is_test"))
+    folder = new_work_dir(spark, "tuning")
+    fold_features(stratified_exact(train, "target", "certificate_id", subset, SEED), k).write.parquet(folder)
+    folded = spark.read.parquet(folder)
+    trees, rounds = sizes
+    compared = [
+        cross_validate("random forest", forest_trainer(ForestParams(trees, 10, 1)), folded, k),
+        cross_validate("boosted trees", boosted_trainer(BoostParams(rounds)), folded, k),
+        cross_validate("deep boosted trees", boosted_trainer(BoostParams(rounds, 8)), folded, k),
+    ]
+    tried = search(folded, draw_boost_params(trials, max_rounds=max_rounds), k)
+    best = best_trial(tried)
+    model = fit_boosted(train, best.params)
+    accuracy, macro_f1 = scores_of(score_boosted(model, split.filter("is_test")))
+    about = {
+        "accuracy": accuracy, "macro_f1": macro_f1, "bands": list(K.BANDS), "features": feature_names(model),
+        "compared": [asdict(c) for c in compared], "parameters": asdict(best.params), "tuned_rows": folded.count(),
+        "trials": [{"number": t.number, "macro_f1": t.macro_f1, **asdict(t.params)} for t in tried],
+    }
+    save_model(model, path, about)
+    return about
+
+
 def trial_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
     """One row per trial; feed it to ``ranking.running_max`` for best-so-far."""
     rows = [(t.number, t.macro_f1, t.params.rounds, t.params.depth, t.params.step) for t in trials]

@@ -13,6 +13,7 @@ from joulemart.oracle import mean, query, rnd
 from joulemart.operators.shares import with_total
 from joulemart.plans import analytics, marts, reports, staging
 from joulemart.plans.marts import Star
+from joulemart.session import new_work_dir
 from joulemart.sources.certificate_rows import raw_certificates
 
 
@@ -24,12 +25,34 @@ def star(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Star:
     return Star.from_staged(staging.stage_certificates(raw(spark, sf_dir), extra))
 
 
+def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows that are read more than once, from a table in the shared work folder."""
+    path = new_work_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def written_star(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Star:
+    """The star over certificates that are staged once, for what reads them several times."""
+    return Star.from_staged(written(spark, star(spark, sf_dir, extra).staged, "staged"))
+
+
+def retrofit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrofit priorities, the joined rows behind scale and scores written once too."""
+    once = written_star(spark, sf_dir)
+    return analytics.retrofit_priority(once, written(spark, analytics.improvable(once), "improvable"))
+
+
+def _on_written(build: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(written_star(spark, sf_dir))
+
+
 def _on_star(build: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(star(spark, sf_dir))
 
 
 def _on_retrofit(build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(analytics.retrofit_priority(star(spark, sf_dir)))
+    return lambda spark, sf_dir: build(retrofit(spark, sf_dir))
 
 
 def _select_all(relation: str, columns: str = "*") -> str:
@@ -229,7 +252,7 @@ from stg
         ),
     ),
     "fct_property_aggregations": (
-        _on_star(marts.fct_property_aggregations),
+        _on_written(marts.fct_property_aggregations),
         query(
             f"""
 select county, property_type, tenure, construction_age_band,
@@ -293,7 +316,7 @@ where energy_efficiency_potential - energy_efficiency_current > 30
             "facts", "props",
         ),
     ),
-    "v_retrofit_priority": (_on_star(analytics.retrofit_priority), _select_all("retrofit")),
+    "v_retrofit_priority": (retrofit, _select_all("retrofit")),
     "global_max": (
         _on_star(lambda s: analytics.score_scale(s, analytics.improvable(s))),
         query(
@@ -315,7 +338,7 @@ where energy_efficiency_potential - energy_efficiency_current > 30
         ),
     ),
     "county_best_worst": (
-        _on_star(reports.county_best_worst),
+        _on_written(reports.county_best_worst),
         query(
             """
 with placed as (select *, row_number() over (order by avg_current_efficiency nulls last, county, local_authority, post_town) as up,
@@ -344,15 +367,15 @@ from facts join props using (property_id) where construction_age_band is not nul
         ),
     ),
     "co2_box_by_type": (
-        lambda spark, d: _rounded_box(reports.co2_box_by_type(star(spark, d))),
+        lambda spark, d: _rounded_box(reports.co2_box_by_type(written_star(spark, d))),
         query(_box_sql(200_000), "facts", "props"),
     ),
     "efficiency_density": (
-        _on_star(reports.efficiency_density),
+        _on_written(reports.efficiency_density),
         query(_density_sql(150_000), "facts", "props"),
     ),
     "sample_before_filter": (
-        _on_star(lambda s: reports.efficiency_density(s, 2_000)),
+        _on_written(lambda s: reports.efficiency_density(s, 2_000)),
         query(_density_sql(2_000), "facts", "props"),
     ),
     "retrofit_cells": (

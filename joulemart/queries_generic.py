@@ -17,7 +17,7 @@ from joulemart.oracle import rnd
 from joulemart.sources.certificate_rows import read_table
 
 _MONEY = "decimal(18,2)"
-_EVENT_TYPES = ("click", "error", "purchase", "view")
+_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +121,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         "select cast(ts as date) as day, "
         + ", ".join(
             f"cast(count(*) filter (where event_type = '{k}') as bigint) as n_{k}"
-            for k in _EVENT_TYPES
+            for k in ("click", "error", "purchase", "signup", "view")
         )
         + " from events group by 1",
     ),

@@ -1,7 +1,8 @@
 """Registered queries of the band prediction work.
 
-Model fits run with few trees and shallow depths here, on all usable rows;
-full sizes are the defaults of the parameter classes.
+Model fits run with few trees and shallow depths here, on all usable rows:
+full sizes, the defaults of the parameter classes, take too long for a query
+that is checked each time. The ``train`` and ``tune`` jobs run them.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from pyspark.sql import functions as F
 from joulemart import constants as K
 from joulemart.operators import metrics
 from joulemart.operators.ranking import running_max
-from joulemart.operators.sampling import sample_exact, stratified_subset
+from joulemart.operators.sampling import sample_exact, stratified_exact, stratified_subset
 from joulemart.oracle import query, rnd
 from joulemart.plans import band_features as features
 from joulemart.plans import band_models as models
-from joulemart.queries_core import raw, star
+from joulemart.queries_core import raw, star, written_star
 from joulemart.session import new_work_dir
 
 SMALL_FOREST = models.ForestParams(trees=20, depth=6)
@@ -141,11 +142,11 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         query("select * from features", "features"),
     ),
     "reservoir_exact_n": (
-        lambda spark, d: sample_exact(star(spark, d).facts.select("certificate_id"), "certificate_id", 500, 42),
+        lambda spark, d: sample_exact(written_star(spark, d).facts.select("certificate_id"), "certificate_id", 500, 42),
         query("select certificate_id from facts order by md5('42:' || certificate_id), certificate_id limit 500", "facts"),
     ),
     "subquery_then_sample": (
-        lambda spark, d: features.sampled_features(star(spark, d, (features.WALLS,)).staged, 1000, 99),
+        lambda spark, d: features.sampled_features(written_star(spark, d, (features.WALLS,)).staged, 1000, 99),
         query(
             "select * from features order by md5('99:' || certificate_id), certificate_id limit 1000", "features"
         ),
@@ -158,6 +159,19 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         lambda spark, d: stratified_subset(_rows(spark, d), "target", "certificate_id", 0.15, 42).select("certificate_id"),
         query(_rank_sql("certificate_id") + " where place < round(whole * cast(0.15 as double))", "features"),
     ),
+    "stratified_exact_subset": (
+        lambda spark, d: stratified_exact(
+            features.feature_rows(written_star(spark, d, (features.WALLS,)).staged), "target", "certificate_id", 601, 42
+        ).select("certificate_id", "target"),
+        query(
+            f"""with ranked as ({_rank_sql("certificate_id, target, place, whole")}),
+sizes as (select target, count(*) as size, sum(count(*)) over () as rows from features group by 1),
+shares as (select target, size * least(601, rows) // rows as base, size * least(601, rows) % rows as rest, least(601, rows) as n from sizes),
+quotas as (select target, base + case when row_number() over (order by rest desc, target) <= n - sum(base) over () then 1 else 0 end as quota from shares)
+select certificate_id, target from ranked join quotas using (target) where place < quota""",
+            "features",
+        ),
+    ),
     "stratified_kfold": (
         lambda spark, d: features.fold_features(_rows(spark, d)).select("certificate_id", "target", "fold"),
         query(_rank_sql("certificate_id, target, cast(place % 3 as integer) as fold"), "features"),

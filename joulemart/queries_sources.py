@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from joulemart.operators import quality
 from joulemart.oracle import mean, query, rnd
 from joulemart.plans import checks, reports
-from joulemart.plans.analytics import retrofit_priority
 from joulemart.plans.staging import lower_case_columns, stage_certificates
-from joulemart.queries_core import SUMMARY_SQL, raw, star
+from joulemart.queries_core import SUMMARY_SQL, raw, retrofit, star, written_star
 from joulemart.session import new_work_dir
 from joulemart.sources.boundary_rows import boundary_documents
 from joulemart.sources.csv_landing import append_chunk, read_csv_by_name, write_csv_folders
@@ -146,16 +145,16 @@ def simplified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.map_figures(retrofit_priority(star(spark, sf_dir)), _MAP_COUNT)
+    return reports.map_figures(retrofit(spark, sf_dir), _MAP_COUNT)
 
 
 def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = reports.la_map(retrofit_priority(star(spark, sf_dir)), features(spark, sf_dir), _MAP_COUNT)
+    drawn = reports.la_map(retrofit(spark, sf_dir), features(spark, sf_dir), _MAP_COUNT)
     return drawn.withColumn("n_vertices", F.size("outline")).drop("outline")
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.quality_report(lower_case_columns(raw(spark, sf_dir)), star(spark, sf_dir), _AS_OF)
+    return checks.quality_report(lower_case_columns(raw(spark, sf_dir)), written_star(spark, sf_dir), _AS_OF)
 
 
 def line_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:

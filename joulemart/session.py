@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -33,20 +34,44 @@ def build_session(app_name: str = "joulemart", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can reach.
 
     That is the folder named by ``spark.checkpoint.dir``. Only a local-mode
-    session without the setting falls back to a temporary folder.
+    session without the setting falls back to a temporary folder, one a process.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="joulemart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="joulemart-")
+    return _local_root
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors of a session, once, so that its functions can run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="joulemart-code-"), "joulemart.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def new_work_dir(spark: SparkSession, name: str) -> str:

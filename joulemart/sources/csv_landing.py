@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,69 +15,85 @@ from pyspark.sql import types as T
 # RFC 4180 quoting: doubled quotes inside quoted fields.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 LINEAGE = "filename"
-_HEADER_BYTES = 1 << 20
+#: Files that are CSV by name, in either case, compressed or not; batches and streams read the same.
+CSV_FILES = "*.[cC][sS][vV]{,.*}"
+#: Up to so many files, the table of file headers is sent to every task.
+BROADCAST_FILES = 100_000
 
 
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _uri(path: str) -> str:
-    """Local paths are listed as ``file:/x``; a full URI has three slashes."""
-    local = "file:/"
-    if path.startswith(local) and not path.startswith("file://"):
-        return "file:///" + path.removeprefix(local)
-    return path
+def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first CSV record of every file in a run of (path, line) rows.
 
-
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First CSV record of each file, read from the file's first bytes only."""
-    from pyarrow import fs
-
-    for batch in batches:
-        headers = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(_uri(path))
-            with system.open_input_stream(inner) as stream:
-                start = stream.read(_HEADER_BYTES).decode("utf-8-sig", errors="replace")
-            headers.append(next(csv.reader(io.StringIO(start, newline="")), []))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
-
-
-def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files that have it.
-
-    The listing leaves file contents unread; headers are read by the
-    executors. Only names reach the driver, as they do for any file scan.
+    A record goes on while a quote is open. Lines of one file come in order and together.
     """
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv").load(path).filter(F.col("length") > 0).select("path")
+    path, lines = None, None
+    for batch in batches:
+        paths, headers = [], []
+        for name, line in zip(batch["path"], batch["line"]):
+            if name != path:
+                path, lines = name, []
+            if lines is None:
+                continue
+            lines.append(line)
+            if sum(x.count('"') for x in lines) % 2 == 0:
+                record = "\n".join(lines).removeprefix("\ufeff")
+                paths.append(path)
+                headers.append(next(csv.reader(io.StringIO(record, newline="")), []))
+                lines = None
+        yield pd.DataFrame({"path": paths, "header": headers})
+
+
+def file_headers(spark: SparkSession, path: str, files: str = CSV_FILES) -> DataFrame:
+    """(path, header) of every file below ``path`` that is not empty, read by Spark's own file access."""
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files).text(path)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), "_metadata.file_block_start")
+        .filter("file_block_start = 0").select("path", "line")
     )
-    headers = listing.mapInPandas(_read_headers, "path string, header array<string>")
-    groups = headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("files"))
-    return {tuple(r.header): r.files for r in groups.orderBy("header").collect()}
+    return lines.mapInPandas(_first_records, "path string, header array<string>")
 
 
-def read_csv_by_name(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, path: str, multi_line: bool = True, files: str = CSV_FILES) -> DataFrame:
     """All CSV files below ``path`` as text columns plus ``filename``.
 
-    Spark's reader aligns several files by position, so files are read per
-    header and united by name; a column a file lacks is NULL. ``multi_line``
-    keeps line breaks inside quotes, at the price of one task per file. Turn
-    it off for large files without them, and they are split.
+    ``path`` may be a glob; ``files`` is one over file names. Spark's reader aligns files by position, so rows are read by position once, meet the
+    header of their file, and take each column from where that header has it; a column a file lacks
+    is NULL. Only the distinct headers reach the driver. ``multi_line`` keeps line breaks inside
+    quotes, at the price of one task per file. Turn it off for large files without them, and they
+    are split.
     """
-    parts = []
-    for header, files in files_by_header(spark, path).items():
-        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-        rows = reader.schema(text_schema(list(header))).csv(files)
-        parts.append(rows.withColumn(LINEAGE, F.col("_metadata.file_path")))
-    if not parts:
+    headers = file_headers(spark, path, files)
+    distinct = [tuple(r.header) for r in headers.select("header").distinct().collect()]
+    if not distinct:
         raise FileNotFoundError(f"no CSV files below {path}")
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part, allowMissingColumns=True)
-    return united
+    distinct.sort()
+    places = [f"_c{i}" for i in range(max(map(len, distinct)))]
+    rows = (
+        spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", files).schema(text_schema(places)).csv(path).select("*", F.col("_metadata.file_path").alias(LINEAGE))
+    )
+    few = headers.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
+    known = headers.withColumnRenamed("path", LINEAGE)
+    rows = rows.join(F.broadcast(known) if few else known, LINEAGE)
+    names = list(dict.fromkeys(n for header in distinct for n in header))
+
+    def column(name: str):
+        having = [(h, h.index(name)) for h in distinct if name in h]
+        if len(having) == len(distinct) and len({i for _, i in having}) == 1:
+            return F.col(places[having[0][1]]).alias(name)
+        cases = reduce(
+            lambda chain, case: chain.when(F.col("_header") == case[0], F.col(places[case[1]])),
+            [(distinct.index(h), i) for h, i in having], F,
+        )
+        return cases.alias(name)
+
+    numbered = F.array_position(F.array(*[F.array(*map(F.lit, h)) for h in distinct]), F.col("header")) - 1
+    rows = rows.withColumn("_header", numbered)
+    return rows.select(*[column(n) for n in names], LINEAGE)
 
 
 def append_chunk(chunk: DataFrame, path: str, first: bool) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,19 +63,30 @@ class Warehouse:
         df.write.mode("overwrite").parquet(self.path(name))
 
     def build(self, raw: DataFrame) -> Warehouse:
-        """Write all tables, inputs before the tables that read them."""
+        """Write all tables, inputs before the tables that read them; what is independent, together."""
         self._write(stage_certificates(raw, ("walls_description",)), "stg_certificates")
         staged = self.table("stg_certificates")
-        self._write(marts.dim_properties(staged), "dim_properties")
-        self._write(marts.dim_locations(staged), "dim_locations")
-        self._write(marts.certificate_facts(staged), "fct_certificates")
-        self._write(marts.fct_energy_performance(staged), "fct_property_energy_performance")
-        self._write(marts.fct_property_aggregations(self.star()), "fct_property_aggregations")
-        # Read twice, for the score scale and for the scores.
-        self._write(analytics.improvable(self.star()), "improvable")
+        self._write_together({
+            "dim_properties": lambda: marts.dim_properties(staged),
+            "dim_locations": lambda: marts.dim_locations(staged),
+            "fct_certificates": lambda: marts.certificate_facts(staged),
+            "fct_property_energy_performance": lambda: marts.fct_energy_performance(staged),
+        })
+        # The improvable rows are read twice, for the score scale and for the scores.
+        self._write_together({
+            "fct_property_aggregations": lambda: marts.fct_property_aggregations(self.star()),
+            "improvable": lambda: analytics.improvable(self.star()),
+        })
         self._write(analytics.retrofit_priority(self.star(), self.table("improvable")), "v_retrofit_priority")
         return self
 
+    def _write_together(self, tables: dict[str, Callable[[], DataFrame]]) -> None:
+        """Write tables at the same time: Spark runs their jobs side by side where there is room."""
+        with ThreadPoolExecutor(len(tables)) as pool:
+            writes = [pool.submit(lambda n=name, b=build: self._write(b(), n)) for name, build in tables.items()]
+        for write in writes:
+            write.result()
+
     def star(self) -> Star:
         return Star(
             self.table("stg_certificates"),

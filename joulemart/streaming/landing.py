@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulemart.sources.csv_landing import CSV_OPTIONS, LINEAGE, text_schema
+from joulemart.sources.csv_landing import CSV_FILES, CSV_OPTIONS, LINEAGE, text_schema
 
 
-def csv_stream(spark: SparkSession, landing: str, columns: list[str], files_per_batch: int = 1000) -> DataFrame:
+def csv_stream(
+    spark: SparkSession, landing: str, columns: list[str], files_per_batch: int = 1000, multi_line: bool = True
+) -> DataFrame:
     """New CSV files below ``landing`` as text rows with their file name.
 
     A file whose header differs from ``columns`` stops the stream instead of
-    being read by position.
+    being read by position. Line breaks inside quotes are kept, as the batch reader does.
     """
     return (
         spark.readStream.options(**CSV_OPTIONS)
+        .option("multiLine", multi_line)
         .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", CSV_FILES)
         .option("maxFilesPerTrigger", files_per_batch)
         .schema(text_schema(columns))
         .csv(landing)

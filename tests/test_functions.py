@@ -109,6 +109,7 @@ def test_dates(spark):
     texts = ["2020-01-05", "2020-1-5", "2020-01-05 10:00:00", "2020", "2020-01", "5/1/2020", "", None, "2020-02-30"]
     day = datetime.date(2020, 1, 5)
     assert evaluate(spark, texts, parsing.text_to_date) == [day, day, day, None, None, None, None, None, None]
+    assert evaluate(spark, ["12020-12", "2020-12", " 2020-1-5 ", "2020-12-", "120201205"], parsing.text_to_date) == [None, None, day, None, None]
 
 
 def test_surrogate_key(spark):

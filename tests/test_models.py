@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,22 @@ def test_class_weights(spark):
     frame = spark.createDataFrame([("D",)] * 6 + [("A",)] * 2, "target string")
     got = {r.target: r.weight for r in features.class_weights(frame).collect()}
     assert got == {"D": pytest.approx(8 / (2 * 6)), "A": pytest.approx(8 / (2 * 2))}
+
+
+def test_more_categories_than_bins(spark, rows):
+    many = rows.withColumn("wall_type", F.concat(F.lit("wall "), (F.hash("certificate_id") % 60).cast("string")))
+    model = models.fit_boosted(many, models.BoostParams(rounds=2, depth=2))
+    assert models.score_boosted(model, many).count() == many.count()
+
+
+def test_tune_job(spark, rows):
+    path = new_work_dir(spark, "tuned")
+    about = models.tune(rows, path, subset=400, trials=2, max_rounds=2, k=2, sizes=(4, 2))
+    assert about["tuned_rows"] == 400 and len(about["compared"]) == 3 and len(about["trials"]) == 2
+    assert max(t["macro_f1"] for t in about["trials"]) == next(
+        t["macro_f1"] for t in about["trials"] if t["depth"] == about["parameters"]["depth"] and t["step"] == about["parameters"]["step"]
+    )
+    saved = json.loads(spark.read.text(f"{path}-about").first().value)
+    assert saved == json.loads(json.dumps(about)) and saved["bands"] == list(K.BANDS)
+    test = rows.filter("is_test")
+    assert models.scores_of(models.score_boosted(models.load_model(path), test))[0] == pytest.approx(about["accuracy"])

@@ -7,10 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from joulemart import constants as K
 from joulemart.operators import distribution, metrics, quality, ranking, sampling, shares
 from joulemart.operators.latest import latest_per_key
 from joulemart.operators.reshape import pivot_fill
+from joulemart.operators.sampling import sample_exact, stratified_exact
 from joulemart.plans.examples import example_first, example_second
 
 
@@ -113,6 +115,36 @@ def test_pivot_keeps_absent_labels(spark):
     assert [tuple(r) for r in got.collect()] == [("a", 1, 0, 0), ("b", 0, 2, 0)]
 
 
+def test_pivot_refuses_other_labels(spark):
+    for other in ("c", None):
+        rows = spark.createDataFrame([(1, "a", 2), (1, other, 3)], "k int, label string, n int")
+        with pytest.raises(Exception, match="none of the pivoted labels"):
+            pivot_fill(rows, "k", "label", {"n_": "n"}, ("a", "b")).collect()
+
+
+def test_pivoted_events_are_all_events(spark, sf_dir):
+    wide = contract.queries()["pivot_fill"](spark, sf_dir)
+    cells = sum(sum(r[c] for c in wide.columns if c != "day") for r in wide.collect())
+    assert cells == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+@pytest.mark.parametrize("n", [1, 7, 100, 333, 5000])
+def test_stratified_exact(spark, n):
+    labels = ["a"] * 700 + ["b"] * 201 + ["c"] * 98 + [None]
+    rows = spark.createDataFrame([(i, label) for i, label in enumerate(labels)], "id long, label string").repartition(3)
+    got = Counter(r.label for r in stratified_exact(rows, "label", "id", n, 3).collect())
+    assert sum(got.values()) == min(n, 1000)
+    for label, size in Counter(labels).items():
+        assert abs(got[label] - min(n, 1000) * size / 1000) < 1
+
+
+def test_exact_sample_keeps_partitions(spark):
+    rows = spark.range(0, 40_000, 1, 8)
+    sample = sample_exact(rows, "id", 10_000, 5)
+    assert sample.count() == 10_000 and sample.rdd.getNumPartitions() > 4
+    assert "TakeOrdered" not in sample._jdf.queryExecution().executedPlan().toString()
+
+
 def test_examples_and_checks(spark):
     first, second = example_first(spark), example_second(spark)
     assert sorted(r.id or 0 for r in first.collect()) == [0, 1]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 
 import numpy as np
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 from joulemart.functions.outlines import simplify_ring
 from joulemart.plans import marts
 from joulemart.plans.staging import parse_failures, stage_certificates
-from joulemart.session import new_work_dir
-from joulemart.sources import geojson
+from joulemart.session import new_work_dir, work_root
+from joulemart.sources import csv_landing, geojson
 from joulemart.sources.certificate_rows import raw_certificates
-from joulemart.sources.csv_landing import append_chunk, files_by_header, read_csv_by_name
+from joulemart.sources.csv_landing import append_chunk, file_headers, read_csv_by_name
 from joulemart.sources.tables import Warehouse, create_namespace, list_tables, replace_table
 from joulemart.streaming.incremental import merge_available, merge_batch, read_state
 from joulemart.streaming.landing import append_available, csv_stream
@@ -30,8 +31,8 @@ def csv_parts(tmp_path):
 
 
 def test_csv_aligned_by_name(spark, csv_parts):
-    groups = files_by_header(spark, csv_parts)
-    assert {header: len(files) for header, files in groups.items()} == {("A", "B", "C"): 2, ("B", "A", "D"): 1}
+    headers = sorted(tuple(r.header) for r in file_headers(spark, csv_parts).collect())
+    assert headers == [("A", "B", "C"), ("A", "B", "C"), ("B", "A", "D")]
     rows = {r.A: r for r in read_csv_by_name(spark, csv_parts).collect()}
     assert {a: (r.B, r.C, r.D) for a, r in rows.items()} == {
         "1": ("x, y", None, None),
@@ -43,6 +44,36 @@ def test_csv_aligned_by_name(spark, csv_parts):
     assert rows["3"].filename.endswith("south/certificates.csv")
 
 
+def test_csv_files_of_any_suffix_in_batch_and_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('A,B\n1,"x\ny"\n2,b\n')
+    (folder / "b.CSV").write_text("A,B\n3,c\n")
+    (folder / "c.csv.gz").write_bytes(gzip.compress(b"A,B\n4,d\n"))
+    rows = sorted((r.A, r.B) for r in read_csv_by_name(spark, str(folder)).collect())
+    assert rows == [("1", "x\ny"), ("2", "b"), ("3", "c"), ("4", "d")]
+    append_available(csv_stream(spark, str(folder), ["A", "B"]), str(tmp_path / "t"), str(tmp_path / "c"))
+    assert sorted((r.A, r.B) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == rows
+
+
+def test_csv_header_longer_than_any_prefix(spark, tmp_path):
+    names = [f"column_{i}_" + "x" * 150 for i in range(9000)]
+    (tmp_path / "wide.csv").write_text(",".join(names) + "\n" + ",".join("v" for _ in names) + "\n")
+    (tmp_path / "quoted.csv").write_text('"A\n1",B\n1,2\n')
+    headers = sorted((tuple(r.header) for r in file_headers(spark, str(tmp_path)).collect()), key=len)
+    assert headers == [("A\n1", "B"), tuple(names)]
+
+
+def test_csv_many_files_of_two_headers(spark, tmp_path, monkeypatch):
+    for i in range(600):
+        (tmp_path / f"{i}.csv").write_text(f"A,B\n{i},x\n" if i % 2 else f"B,A\nx,{i}\n")
+    for most in (1000, 10):  # the headers sent to all tasks, and joined
+        monkeypatch.setattr(csv_landing, "BROADCAST_FILES", most)
+        rows = read_csv_by_name(spark, str(tmp_path))
+        assert "collect_list" not in rows._jdf.queryExecution().toString()
+        assert sorted((int(r.A), r.B) for r in rows.collect()) == [(i, "x") for i in range(600)]
+
+
 def test_csv_missing_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_csv_by_name(spark, str(tmp_path))
@@ -225,6 +256,12 @@ class _Session:
         self.settings[key] = value
 
 
+def test_work_folder_of_a_local_session_without_setting():
+    local = _Session(spark_master="local[2]")
+    assert work_root(local) == work_root(local) and new_work_dir(local, "x").startswith(work_root(local))
+    assert "spark.checkpoint.dir" not in local.settings
+
+
 def test_work_folder_is_the_shared_one():
     shared = _Session(spark_master="yarn", **{"spark_checkpoint_dir": "hdfs:///work"})
     assert new_work_dir(shared, "x").startswith("hdfs:///work/x-")
