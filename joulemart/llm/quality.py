@@ -69,25 +69,25 @@ def text_features(data: np.ndarray, offsets: np.ndarray, settings: Settings) ->
         yield (text_hash.mix(value) % np.uint64(settings.buckets)).astype(np.int64), np.searchsorted(at, bounds)
 
 
-def _bags(settings: Settings):
-    """Task: each row's distinct buckets and their shares, packed."""
+def _fitted(settings: Settings):
+    """Task, the only one: the model of all its rows, of which the number is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags = []
         for batch in batches:
             for low, data, offsets in text_hash.text_chunks(batch):
                 kinds = list(text_features(data, offsets, settings))
-                bags = []
-                for row in range(len(offsets) - 1):
+                rows = batch.slice(low, len(offsets) - 1)
+                places, labels = (rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("place", "label"))
+                for row, (place, label) in enumerate(zip(places, labels)):
                     found = [np.array([settings.buckets])] + [b[bounds[row] : bounds[row + 1]] for b, bounds in kinds]
                     bucket, n = np.unique(np.concatenate(found), return_counts=True)
-                    bags.append((bucket.astype("<u4").tobytes(), (n / n.sum()).astype("<f4").tobytes()))
-                rows = batch.slice(low, len(bags))
-                yield pa.RecordBatch.from_pydict({
-                    "place": rows.column(rows.schema.get_field_index("place")),
-                    "label": rows.column(rows.schema.get_field_index("label")),
-                    "buckets": pa.array([b for b, _ in bags], pa.binary()),
-                    "shares": pa.array([s for _, s in bags], pa.binary()),
-                })
+                    bags.append((place, label, bucket.astype(np.uint32), (n / n.sum()).astype(np.float32)))
+        if bags:
+            # Rows arrive in any order; learning goes by the order of their hash.
+            bags.sort(key=lambda bag: (bag[0], bag[1], len(bag[2])))
+            model = train([bag[1:] for bag in bags], settings)
+            yield pa.RecordBatch.from_pydict({"model": pa.array([model.tobytes()], pa.binary())})
 
     return run
 
@@ -129,11 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), sam
     texts = docs.select(F.col(key).alias("__key"), F.col("text").cast("string").alias("text"))
     # At most sample_rows keys are sent out; a key that very many rows have gives no more than its share.
     labelled = texts.join(F.broadcast(chosen), "__key").select(F.xxhash64("__key", "text").alias("place"), "label", "text").limit(sample_rows)
-    table = labelled.mapInArrow(_bags(settings), "place bigint, label int, buckets binary, shares binary").toArrow()
-    rows = sorted(zip(*(table.column(i).to_pylist() for i in range(4))))
-    if not rows:
-        return np.zeros(settings.buckets + 1, np.float32)
-    return train([(y, np.frombuffer(b, "<u4"), np.frombuffer(s, "<f4")) for _, y, b, s in rows], settings)
+    rows = labelled.coalesce(1).mapInArrow(_fitted(settings), "model binary").collect()
+    return np.frombuffer(rows[0]["model"], np.float32) if rows else np.zeros(settings.buckets + 1, np.float32)
 
 
 def score(docs: DataFrame, model: np.ndarray, settings: Settings = Settings(), column: str = "score") -> DataFrame:
