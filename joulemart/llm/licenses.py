@@ -1,7 +1,7 @@
 """License and rights notices found by ordered signature rules.
 
 A rule is a regular expression with a label, a priority and keywords. It is tried on a text only if the
-text has all its keywords. Of overlapping detections, one inside another of the same or a higher priority
+text has all its keywords; they are parts of single words that every match holds, so that none is lost. Of overlapping detections, one inside another of the same or a higher priority
 goes; so does one that partly overlaps another of a higher priority. Base phrases always stay.
 """
 
@@ -77,27 +77,28 @@ _FAMILIES = (
     ("ms-pl", ("microsoft public license",), (), "ms pl"),
     ("ms-rl", ("microsoft reciprocal license",), (), "ms rl"),
 )
-# Wordings of rights and grants, as (label, priority, keywords, pattern over words).
+# Wordings of rights and grants, as (label, priority, keywords, pattern over words). In patterns
+# a blank is any gap between words, and "_" one that may be missing.
 _NOTICES = (
     ("copyright", 10, ("copyright",), r"copyright (?:c )?(?:1[89]|20)\d\d"),
     ("copyright", 10, ("©",), r"©\s*(?:1[89]|20)\d\d"),
     ("copyright", 8, ("copyright",), r"copyright (?:holder|owner|notice|law|act|protected|reserved)s?"),
-    ("reserved", 20, ("rights reserved",), r"(?:all|some|no) rights reserved"),
-    ("proprietary", 20, ("proprietary",), r"proprietary (?:and|or) confidential"),
+    ("reserved", 20, ("reserved", "rights"), r"(?:all|some|no) rights reserved"),
+    ("proprietary", 20, ("proprietary", "confidential"), r"proprietary (?:and|or) confidential"),
     ("proprietary", 20, ("proprietary",), r"proprietary (?:information|software|license|material)"),
-    ("proprietary", 20, ("reproduced",), r"may not be (?:reproduced|copied|redistributed)"),
-    ("proprietary", 20, ("no part of",), r"no part of this (?:work|book|publication|document)"),
-    ("public-domain", 30, ("public domain",), r"(?:in|into|to) the public domain"),
-    ("public-domain", 30, ("dedicated",), r"dedicated to the public domain"),
-    ("permissive", 30, ("permission is hereby granted",), r"permission is hereby granted free of charge"),
-    ("permissive", 30, ("redistribution and use",), r"redistribution and use in source and binary forms"),
-    ("permissive", 30, ("permission to use",), r"permission to use copy modify and(?: or)? distribute"),
-    ("no-warranty", 15, ("as is",), r"provided (?:by .{0,80}? )?as is"),
-    ("no-warranty", 15, ("without warranty",), r"without (?:any )?warrant(?:y|ies)"),
-    ("copyleft", 25, ("free software",), r"free software you can redistribute it and or modify"),
-    ("noncommercial", 25, ("commercial",), r"(?:for )?non ?commercial (?:use|purposes?) only"),
-    ("noncommercial", 25, ("commercial use",), r"no commercial use"),
-    ("licensed", 5, ("licen",), r"(?:licen[cs]ed|released|distributed|available|published) under"),
+    ("proprietary", 20, ("reproduced|copied|redistributed", "may", "not"), r"may not be (?:reproduced|copied|redistributed)"),
+    ("proprietary", 20, ("part", "work|book|publication|document", "this"), r"no part of this (?:work|book|publication|document)"),
+    ("public-domain", 30, ("domain", "public"), r"(?:in|into|to) the public domain"),
+    ("public-domain", 30, ("dedicated", "domain", "public"), r"dedicated to the public domain"),
+    ("permissive", 30, ("hereby", "permission", "granted", "charge"), r"permission is hereby granted free of charge"),
+    ("permissive", 30, ("redistribution", "binary", "forms"), r"redistribution and use in source and binary forms"),
+    ("permissive", 30, ("permission", "modify", "distribute"), r"permission to use copy modify and(?: or)? distribute"),
+    ("no-warranty", 15, ("provided", "as", "is"), r"provided (?:by (?s:.){0,80}? )?as is"),
+    ("no-warranty", 15, ("warrant", "without"), r"without (?:any )?warrant(?:y|ies)"),
+    ("copyleft", 25, ("redistribute", "software", "modify"), r"free software you can redistribute it and or modify"),
+    ("noncommercial", 25, ("commercial", "only"), r"(?:for )?non_commercial (?:use|purposes?) only"),
+    ("noncommercial", 25, ("commercial", "use"), r"no commercial use"),
+    ("licensed", 5, ("under", "licensed|licenced|released|distributed|available|published"), r"(?:licen[cs]ed|released|distributed|available|published) under"),
 )
 
 
@@ -105,6 +106,7 @@ _NOTICES = (
 class Rule:
     label: str
     priority: int
+    #: What every match holds: a part of a word each, or several with "|" between, of which it holds one.
     keywords: tuple[str, ...]
     pattern: str
     base: bool = False
@@ -134,50 +136,49 @@ def _family_rules() -> Iterator[Rule]:
         label = "cc-" + code.replace(" ", "-")
         size = len(code)  # longer codes hold shorter ones
         yield Rule(label, 40 + size, ("cc", *code.split()), _spaced(f"cc {code}"))
-        yield Rule(label, 40 + size, ("creative commons", *name.split()), _spaced(f"creative commons {name}"))
+        yield Rule(label, 40 + size, ("commons", "creative", *name.split()), _spaced(f"creative commons {name}"))
         for version in _CREATIVE_VERSIONS:
             number = _spaced(version)
-            yield Rule(f"{label}-{version}", 60 + size, ("cc", version), _spaced(f"cc {code}") + _GAP + number)
-            yield Rule(f"{label}-{version}", 60 + size, ("creative commons", version), _spaced(f"creative commons {name}") + rf"(?:{_GAP}international|{_GAP}unported)?" + _GAP + number)
-            yield Rule(f"{label}-{version}", 80 + size, ("creativecommons.org", version), _spaced(f"creativecommons org licenses {code} {version}"))
+            yield Rule(f"{label}-{version}", 60 + size, ("cc", *code.split(), *version.split(".")), _spaced(f"cc {code}") + _GAP + number)
+            yield Rule(f"{label}-{version}", 60 + size, ("commons", "creative", *name.split(), *version.split(".")), _spaced(f"creative commons {name}") + rf"(?:{_GAP}international|{_GAP}unported)?" + _GAP + number)
+            yield Rule(f"{label}-{version}", 80 + size, ("creativecommons", "licenses", *version.split(".")), _spaced(f"creativecommons org licenses {code} {version}"))
 
 
 @functools.lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
     """All rules, those of high priority first."""
     base = [Rule(label, 100, tuple(phrase.split()), _spaced(phrase), True) for phrase, label in BASE_PHRASES.items()]
-    notices = [Rule(label, priority, keywords, pattern.replace(" ", _GAP)) for label, priority, keywords, pattern in _NOTICES]
+    notices = [Rule(label, priority, keywords, pattern.replace(" ", _GAP).replace("_", f"(?:{_GAP})?")) for label, priority, keywords, pattern in _NOTICES]
     return tuple(sorted([*base, *_family_rules(), *notices], key=lambda r: (-r.priority, r.label, r.pattern)))
 
 
 @functools.lru_cache(maxsize=1)
-def _compiled() -> list[tuple[Rule, frozenset[str], re.Pattern]]:
-    return [(r, frozenset(r.keywords), re.compile(f"(?<!{_WORD})(?:{r.pattern})(?!{_WORD})")) for r in rules()]
-
-
-@functools.lru_cache(maxsize=1)
-def _anchors() -> re.Pattern:
-    """Words of which every rule's match has one; a text without any is not looked at further."""
-    return re.compile("licen|cc|gpl|reserved|copyright|©|public|free|redistribut|propriet|commercial|warrant|permission|spdx|bsd|mpl|eupl|cddl|odbl|reproduced|psf|as is|as-is|no part")
+def _compiled() -> list[tuple[Rule, tuple[str, ...], re.Pattern]]:
+    return [(r, tuple(sorted(r.keywords, key=len, reverse=True)), re.compile(f"(?<!{_WORD})(?:{r.pattern})(?!{_WORD})")) for r in rules()]
 
 
 def detect(text: str) -> list[tuple[Rule, int, int]]:
     """Detections that stay in a text in which A-Z are lower case, as (rule, start, end), by place."""
-    if _anchors().search(text) is None:
-        return []
     present: dict[str, bool] = {}
 
     def has(keyword: str) -> bool:
         if keyword not in present:
-            present[keyword] = keyword in text
+            present[keyword] = any(word in text for word in keyword.split("|"))
         return present[keyword]
 
-    base, found = [], []
-    for rule, keywords, pattern in _compiled():
-        if all(map(has, keywords)):
-            (base if rule.base else found).extend((rule, m.start(), m.end()) for m in pattern.finditer(text))
+    return resolve([
+        (rule, m.start(), m.end())
+        for rule, keywords, pattern in _compiled()
+        if all(map(has, keywords))
+        for m in pattern.finditer(text)
+    ])
+
+
+def resolve(matches: list[tuple[Rule, int, int]]) -> list[tuple[Rule, int, int]]:
+    """The matches that stay, by place."""
+    base = [d for d in matches if d[0].base]
     # By priority, wide ones first; `ends` and `starts` are of those that stay, by place and disjoint or nested.
-    found.sort(key=lambda d: (-d[0].priority, d[1] - d[2], d[1], d[0].label))
+    found = sorted((d for d in matches if not d[0].base), key=lambda d: (-d[0].priority, d[1] - d[2], d[1], d[0].label))
     stay: list[tuple[Rule, int, int]] = []
     starts: list[int] = []
     spans: list[tuple[int, int]] = []

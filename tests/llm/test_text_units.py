@@ -154,3 +154,56 @@ def test_detections_that_stay_do_not_overlap():
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
     assert sum(r.base for r, _, _ in licenses.detect(text)) == 150
     assert re.findall("cc by", text)
+
+
+def _license_texts():
+    """Short names, and notices broken over lines as in wrapped headers."""
+    names = [name for _, found, _, _ in licenses._FAMILIES for name in found]
+    names += [f"{name} {'.' if i % 2 else ''} version {v}" for _, found, versions, _ in licenses._FAMILIES for name in found for i, v in enumerate(versions)]
+    names += [f"spdx-license-identifier: {short}-{v}" for _, _, versions, short in licenses._FAMILIES for v in (*versions, "")]
+    for code, name in licenses._CREATIVE.items():
+        names += [f"cc {code}", f"creative commons {name}"]
+        for version in licenses._CREATIVE_VERSIONS:
+            names += [f"cc {code} {version}", f"cc {code} {version.replace('.', '-')}", f"creative commons {name} international {version}"]
+            names += [f"creative commons {name} {version.replace('.', ' ')}", f"creativecommons.org/licenses/{code.replace(' ', '-')}/{version}"]
+    notices = [
+        "copyright (c) 1999", "© 2020", "copyright holders", "some rights reserved", "proprietary and confidential", "proprietary material",
+        "may not be reproduced", "may not be copied", "may not be redistributed", "no part of this book", "no part of this work",
+        "into the public domain", "dedicated to the public domain", "permission is hereby granted, free of charge",
+        "redistribution and use in source and binary forms", "permission to use, copy, modify, and distribute", "provided as is",
+        "provided by the holders and contributors \"as is\"", "without any warranty", "without warranties",
+        "free software; you can redistribute it and/or modify", "noncommercial use only", "for non-commercial purposes only", "no commercial use",
+        "licensed under", "licenced under", "released under", "distributed under", "available under", "published under",
+    ]
+    for text in [*names, *notices, *licenses.BASE_PHRASES]:
+        yield text
+        yield text.replace(" ", "\n")
+        yield text.replace(" ", "  \r\n * ")
+
+
+def test_no_gate_loses_a_match():
+    patterns = [(rule, pattern) for rule, _, pattern in licenses._compiled()]
+    met = set()
+    for text in _license_texts():
+        matches = [(rule, m.start(), m.end()) for rule, pattern in patterns for m in pattern.finditer(text)]
+        met.update(rule for rule, _, _ in matches)
+        assert licenses.detect(text) == licenses.resolve(matches), text
+    assert met == set(licenses.rules())
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("wtfpl", "wtfpl"),
+        ("gfdl", "gfdl"),
+        ("creative commons zero", "cc0"),
+        ("creative commons attribution 4.0", "cc-by-4.0"),
+        ("public\ndomain: dedicated\nto the public\ndomain", "public-domain"),
+        ("permission\n# is hereby\n# granted, free of charge", "permissive"),
+        ("may not be copied", "proprietary"),
+        ("noncommercial use only", "noncommercial"),
+        ("provided by the holders\nand others \"as\nis\"", "no-warranty"),
+    ],
+)
+def test_short_names_and_wrapped_notices_are_found(text, label):
+    assert label in {r.label for r, _, _ in licenses.detect(text)}
