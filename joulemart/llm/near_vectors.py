@@ -1,12 +1,15 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs, one a shard.
 
-Every vector searches the graph of every shard. A graph's beam is widened until an audit against brute
-force over a sample of its vectors passes, and a query's beam as long as it is full of near vectors.
+Every vector searches the graph of every shard. Where a slice of vectors meets a graph, the beam is widened
+until an audit against brute force passes, query by query; a query's beam is widened as long as it is full of
+near vectors. Where the widest beam does not do, and for nodes that no links lead to, the shard is scanned.
 Pairs are verified in double precision.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,8 +22,17 @@ from joulemart.llm.vector_tables import is_usable, matrix, met_by_all, shard_cou
 DEGREE = 16
 BUILD_WIDTH = 48
 FIRST_WIDTH = 32
+#: Beams that would be wider are scans of the shard.
+WIDEST = 512
+#: Queries of each kind in an audit, and those looked through for some that have partners.
 AUDIT_QUERIES = 128
+AUDIT_POOL = 1_024
+#: Mean over the queries, and over those with few partners.
 AUDIT_RECALL = 0.999
+FEW_PARTNERS = 16
+#: Similarities that a scan has at a time, and queries whose finds are held at a time.
+SCAN_CELLS = 1 << 24
+HELD_QUERIES = 512
 
 
 class LayeredGraph:
@@ -62,55 +74,104 @@ class LayeredGraph:
             entry, _ = g.beam_search(self.vectors, edges, queries, entry, 4)
         return g.beam_search(self.vectors, self.layers[0], queries, entry, width)
 
+    @functools.cached_property
+    def strays(self) -> np.ndarray:
+        """Nodes that no path over links of the lowest layer reaches from the top node."""
+        seen = np.zeros(len(self.vectors), bool)
+        front = np.array([self.top] if self.top >= 0 else [], np.int64)
+        while len(front):
+            seen[front] = True
+            ahead = np.unique(self.layers[0][front])
+            front = ahead[(ahead >= 0) & ~seen[ahead]]
+        return np.flatnonzero(~seen)
+
+    def scan(self, queries: np.ndarray, cosine: float, among: np.ndarray | None = None) -> list[np.ndarray]:
+        """All nodes, or all of some, within a similarity of each query."""
+        vectors = self.vectors if among is None else self.vectors[among]
+        out: list[np.ndarray] = []
+        step = max(1, SCAN_CELLS // max(1, len(vectors)))
+        for low in range(0, len(queries), step):
+            rows, nodes = np.nonzero(queries[low : low + step] @ vectors.T >= cosine)
+            nodes = nodes if among is None else among[nodes]
+            out.extend(np.split(nodes, np.searchsorted(rows, np.arange(1, min(step, len(queries) - low)))))
+        return out
+
     def near(self, queries: np.ndarray, cosine: float, width: int) -> list[np.ndarray]:
-        """Nodes found within a similarity of each query; a beam that is full of them is doubled."""
+        """Nodes found within a similarity of each query; a beam that is full of them is doubled, and a scan
+        takes the place of beams wider than WIDEST or as wide as the shard."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
         left = np.arange(len(queries))
-        while len(left):
-            width = min(width, max(1, len(self.vectors)))
+        while len(left) and width <= WIDEST and width < len(self.vectors):
             nodes, sims = self.search(queries[left], width)
             inside = (sims >= cosine) & (nodes >= 0)
-            full = (inside.sum(1) * 2 > width) & (width < len(self.vectors))
+            full = inside.sum(1) * 2 > width
             for row in np.flatnonzero(~full):
                 out[left[row]] = nodes[row, inside[row]]
             left, width = left[full], width * 2
+        done = np.setdiff1d(np.arange(len(queries)), left)
+        for row, nodes in zip(left, self.scan(queries[left], cosine)):
+            out[row] = nodes
+        if len(done) and len(self.strays):
+            for row, nodes in zip(done, self.scan(queries[done], cosine, self.strays)):
+                out[row] = np.union1d(out[row], nodes)
         return out
 
-    def audited_width(self, cosine: float, seed: int = 11) -> int:
-        """The smallest tried beam by which sampled vectors find what brute force finds."""
-        n = len(self.vectors)
-        sample = np.random.default_rng(seed).permutation(n)[:AUDIT_QUERIES]
-        truth = self.vectors[sample] @ self.vectors.T >= cosine
+    def audited_width(self, cosine: float, queries: np.ndarray | None = None, own: np.ndarray | None = None, seed: int = 11) -> int:
+        """The smallest tried beam by which each kind of sampled query finds what brute force finds, or the
+        number of nodes, which stands for a scan.
+
+        `own` is the node that a query is itself, -1 for none; it counts as no partner. Queries with partners
+        are sampled from those that a scan of a pool finds and from those that have the fewest; as there may be
+        none, nodes moved away by less than the similarity are queries, too.
+        """
+        n, random = len(self.vectors), np.random.default_rng(seed)
+        if queries is None:
+            queries, own = self.vectors, np.arange(n)
+        if n <= FIRST_WIDTH or not len(queries):
+            return n
+        pool = random.permutation(len(queries))[:AUDIT_POOL]
+        near = self.scan(queries[pool], cosine)
+        partners = np.array([len(nodes) - (own[q] in nodes) for q, nodes in zip(pool, near)])
+        has = np.flatnonzero(partners)
+        picked = np.union1d(has[:AUDIT_QUERIES], has[np.argsort(partners[has], kind="stable")[:AUDIT_QUERIES]])
+        moved = self.vectors[random.permutation(n)[:AUDIT_QUERIES]]
+        aside = random.normal(size=moved.shape).astype(np.float32)
+        aside -= (aside * moved).sum(1, keepdims=True) * moved
+        # In one dimension there is nowhere to move to.
+        aside /= np.maximum(np.sqrt((aside * aside).sum(1, keepdims=True)), 1e-6)
+        to = np.minimum(1, cosine + (1 - cosine) * random.uniform(0.05, 1, (len(moved), 1)))
+        moved = g.unit_rows(to * moved + np.sqrt(1 - to * to) * aside)
+        sample, selves = np.concatenate([queries[pool[picked]], moved]), np.concatenate([own[pool[picked]], np.full(len(moved), -1)])
+        truth = [near[i] for i in picked] + self.scan(moved, cosine)
+        truth = [nodes[nodes != self_] for nodes, self_ in zip(truth, selves)]
+        many = np.array([len(nodes) for nodes in truth])
+        kind = np.arange(len(sample)) < len(picked)
+        kinds = [many > 0, (many > 0) & kind, (many > 0) & (many <= FEW_PARTNERS), (many > 0) & (many <= FEW_PARTNERS) & kind]
         width = FIRST_WIDTH
-        while width < n:
-            found = self.near(self.vectors[sample], cosine, width)
-            hits = sum(int(truth[i, nodes].sum()) for i, nodes in enumerate(found))
-            if hits >= AUDIT_RECALL * truth.sum():
-                break
+        while width < n and width <= WIDEST:
+            found = self.near(sample, cosine, width)
+            recall = np.array([np.isin(t, f).mean() if len(t) else 1.0 for t, f in zip(truth, found)])
+            if all(recall[k].mean() >= AUDIT_RECALL for k in kinds if k.any()):
+                return width
             width *= 2
-        return width
+        return n
 
 
 def _pack(array: np.ndarray) -> bytes:
     return array.astype(np.int32).tobytes()
 
 
-def _build(cosine: float):
-    def run(group: pa.Table) -> pa.Table:
-        raw = matrix(group.column("vec"))
-        graph = LayeredGraph.build(g.unit_rows(raw))
-        return pa.table({
-            "shard": group.column("shard").slice(0, 1),
-            "ids": [np.asarray(group.column("cid"), np.int64).tobytes()],
-            "sizes": [np.asarray(group.column("size"), np.int64).tobytes()],
-            "vectors": [raw.tobytes()],
-            "layers": pa.array([[_pack(layer) for layer in graph.layers]], pa.list_(pa.binary())),
-            "top": pa.array([graph.top], pa.int64()),
-            # Slightly less than asked for, as graphs hold single precision.
-            "width": pa.array([graph.audited_width(cosine - 1e-4)], pa.int64()),
-        })
-
-    return run
+def _build(group: pa.Table) -> pa.Table:
+    raw = matrix(group.column("vec"))
+    graph = LayeredGraph.build(g.unit_rows(raw))
+    return pa.table({
+        "shard": group.column("shard").slice(0, 1),
+        "ids": [np.asarray(group.column("cid"), np.int64).tobytes()],
+        "sizes": [np.asarray(group.column("size"), np.int64).tobytes()],
+        "vectors": [raw.tobytes()],
+        "layers": pa.array([[_pack(layer) for layer in graph.layers]], pa.list_(pa.binary())),
+        "top": pa.array([graph.top], pa.int64()),
+    })
 
 
 def _search(cosine: float):
@@ -123,7 +184,13 @@ def _search(cosine: float):
             layers = [np.frombuffer(layer, np.int32).reshape(len(ids), -1).astype(np.int64) for layer in row["layers"]]
             graph = LayeredGraph(g.unit_rows(raw), layers, row["top"])
             qids, vectors = np.asarray(right.column("qid"), np.int64), matrix(right.column("vec"))
-            found = graph.near(g.unit_rows(vectors), cosine - 1e-4, row["width"])
+            units = g.unit_rows(vectors)
+            order = np.argsort(ids)
+            at = order[np.minimum(np.searchsorted(ids, qids, sorter=order), len(ids) - 1)]
+            # Slightly less than asked for, as graphs hold single precision.
+            least = cosine - 1e-4
+            width = graph.audited_width(least, units, np.where(ids[at] == qids, at, -1))
+            found = (nodes for low in range(0, len(units), HELD_QUERIES) for nodes in graph.near(units[low : low + HELD_QUERIES], least, width))
             parent: dict[int, int] = {}
 
             def root(x: int) -> int:
@@ -163,7 +230,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id
     classes = vector_classes(vectors, key, vector)
     n, shards = classes.count(), shard_count(classes)
     built = with_shard(classes.select("cid", "vec", "size"), shards).groupBy("shard").applyInArrow(
-        _build(cosine), "shard int, ids binary, sizes binary, vectors binary, layers array<binary>, top bigint, width bigint"
+        _build, "shard int, ids binary, sizes binary, vectors binary, layers array<binary>, top bigint"
     )
     left, right = met_by_all(written(built, "graphs"), classes.select(F.col("cid").alias("qid"), "vec"), shards, n)
     found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(

@@ -114,6 +114,42 @@ def test_graphs_find_neighbours():
     assert np.mean([len(set(a) & set(b[:10].tolist())) / 5 for a, b in zip(best, nodes)]) >= 0.9
 
 
+def _cut(unit, nodes):
+    """A graph in which no link leads to some nodes."""
+    layered = near_vectors.LayeredGraph.build(unit)
+    for edges in layered.layers:
+        edges[np.isin(edges, nodes)] = -1
+    return layered
+
+
+def _found_pairs(layered, unit, width):
+    return [sorted(f.tolist()) for f in layered.near(unit, 0.95, width)]
+
+
+def test_lost_links_of_small_groups_are_noticed_beside_a_large_one():
+    random = np.random.default_rng(4)
+    family = random.normal(size=24) + random.normal(size=(1000, 24)) * 0.05
+    pairs = random.normal(size=(300, 24))
+    lone = random.normal(size=(1400, 24))
+    unit = graphs.unit_rows(np.concatenate([family, pairs, pairs + random.normal(size=pairs.shape) * 0.05, lone]).astype(np.float32))
+    # No path leads to the second vector of any pair.
+    layered = _cut(unit, np.arange(1300, 1600))
+    truth = [sorted(np.flatnonzero(row >= 0.95).tolist()) for row in unit @ unit.T]
+    assert _found_pairs(layered, unit, layered.audited_width(0.95)) == truth
+
+
+def test_audit_sees_rare_pairs_and_queries_of_other_shards(monkeypatch):
+    random = np.random.default_rng(5)
+    unit = graphs.unit_rows(random.normal(size=(2500, 24)).astype(np.float32))
+    layered = _cut(unit, np.arange(1, 2500, 2))
+    monkeypatch.setattr(layered, "strays", np.zeros(0, np.int64), raising=False)
+    # No vector has a partner in its own shard; half of the nodes cannot be found.
+    assert layered.audited_width(0.95) == len(unit)
+    others = graphs.unit_rows(unit[1::2] + random.normal(size=(1250, 24)).astype(np.float32) * 0.01)
+    width = layered.audited_width(0.95, others, np.full(len(others), -1))
+    assert [f.tolist() for f in layered.near(others, 0.95, width)] == [[i] for i in range(1, 2500, 2)]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 5])
 def test_small_graphs(n):
     unit = graphs.unit_rows(np.eye(8, dtype=np.float32)[:n] + 0.1) if n else np.zeros((0, 8), np.float32)
