@@ -31,17 +31,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group that 5-word shingles of 80 % similarity link.
 
-    Of equal rows one stays, and of rows with one doc_id and one text. Documents without words stay, and so
-    do those without a doc_id, which no list of losers can name.
+    Of equal rows one stays, and so does of rows with one doc_id in one group; rows with one doc_id and
+    different texts are judged each by its own text. Documents without words stay, and so do those without
+    a doc_id, of which equal ones are one.
     """
-    found = written(jaccard_join.similar_documents(docs), "similar")
+    found = written(jaccard_join.similar_documents(docs, identity_too=True), "similar")
     losers = _sent_out(found.filter("not keeper and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct())
     kept = docs.join(losers, F.col("doc_id") == F.col("__id"), "left_anti")
-    # A key that several rows have: those with one text are one document.
+    # A key that several rows have does not tell which of them is meant.
     again = found.groupBy("doc_id").count().filter("count > 1").select(F.coalesce("doc_id", F.lit(jaccard_join.NO_KEY)).alias("__id"))
     again = _sent_out(written(again, "repeated"))
     is_again = F.coalesce("doc_id", F.lit(jaccard_join.NO_KEY)) == F.col("__id")
-    twice = kept.join(again, is_again, "left_semi").withColumn("__text", F.md5("text")).dropDuplicates(["doc_id", "__text"])
+    several = docs.join(again, is_again, "left_semi").withColumn("__text", F.coalesce(F.md5("text"), F.lit("")))
+    texts = several.filter("doc_id is not null").select("doc_id", "__text", "text").dropDuplicates(["doc_id", "__text"])
+    identity = ["doc_id", "n", "d1", "d2"]
+    keepers = found.filter("keeper").select(*identity, "component").distinct()
+    judged = jaccard_join.set_digests(texts).join(keepers, identity)
+    # Of a group one text, of those without words each.
+    stay = judged.groupBy("doc_id", "component", F.when(F.col("n") == 0, F.col("__text"))).agg(F.min("__text").alias("__text"))
+    own = several.join(stay.select("doc_id", "__text"), ["doc_id", "__text"], "left_semi").select(*several.columns)
+    twice = own.union(several.filter("doc_id is null")).dropDuplicates(["doc_id", "__text"])
     return kept.join(again, is_again, "left_anti").union(twice.drop("__text"))
 
 

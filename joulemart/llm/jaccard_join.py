@@ -49,6 +49,28 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({c: pa.array([r.get(c) for r in rows], kinds.get(c, pa.binary())) for c in names})
 
 
+def _digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over each whole set, which stand for it."""
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(text_hash.mix(hashes ^ np.uint64(salt)))]) for salt in (1, 2)]
+    return tuple(s[bounds[1:]] - s[bounds[:-1]] for s in sums)
+
+
+def set_digests(texts: DataFrame, width: int = 5) -> DataFrame:
+    """The columns of texts, but for `text` its set of shingles as similar_documents identifies it: n, d1, d2."""
+    kept = [c for c in texts.columns if c != "text"]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*kept).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, data, offsets in text_hash.text_chunks(batch):
+                hashes, bounds = text_hash.shingle_sets(data, offsets, width)
+                part = batch.slice(low, len(bounds) - 1)
+                digests = [pa.array(d.view(np.int64)) for d in _digests(hashes, bounds)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(np.diff(bounds), pa.int64()), *digests], [*kept, "n", "d1", "d2"])
+
+    return texts.withColumn("text", F.col("text").cast("string")).mapInArrow(run, f"{fields}, n bigint, d1 bigint, d2 bigint")
+
+
 def _set_blocks(width: int, slots: int):
     """Task: sets of a run of documents, cut by hash range; and a row with what is known of the documents."""
 
@@ -60,9 +82,7 @@ def _set_blocks(width: int, slots: int):
                     part = offsets[first : first + (1 << 16) + 1]
                     hashes, bounds = text_hash.shingle_sets(data[part[0] : part[-1]], part - part[0], width)
                     sizes = np.diff(bounds)
-                    # Two sums over the whole set stand for it.
-                    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(text_hash.mix(hashes ^ np.uint64(salt)))]) for salt in (1, 2)]
-                    d1, d2 = (s[bounds[1:]] - s[bounds[:-1]] for s in sums)
+                    d1, d2 = _digests(hashes, bounds)
                     ids = batch.column(0).slice(low + first, len(sizes))
                     keys = np.concatenate([np.asarray(ids.cast(pa.int64()), np.int64), d1.view(np.int64), d2.view(np.int64)])
                     block = (part_id << 32) + count
@@ -238,7 +258,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return links.union(rest)
 
 
-def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
+def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", identity_too: bool = False) -> DataFrame:
     """Every row's number of shingles and the smallest key it is linked with, over any number of links.
 
     Gives key (long), n_shingles (long), component_id (long) and keeper (boolean: the row is the one of its
@@ -247,7 +267,8 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: s
     100 * intersection >= percent * union of their distinct shingles. Null, empty and blank texts have no
     shingles and no links: their component is their own key, and they are keepers. A row with a null key
     is linked like any other, but names no component; rows with equal keys stay rows. An empty table gives
-    no rows.
+    no rows. With `identity_too` rows also have n, d1, d2 (their set) and component (null without shingles), by
+    which rows with equal keys can be told apart.
     """
     rows = written(shared_shingles(docs, width, key), "shingle-sets")
     full = rows.filter("n > 0")
@@ -261,7 +282,7 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: s
     labelled = classes.join(labels.select(F.col("node").alias("cid"), "component"), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = labelled.join(least, "component").select(*identity, "component_id")
+    named = labelled.join(least, "component").select(*identity, "component_id", "component")
     out = rows.select("row_id", *identity).join(named, identity, "left")
     own = F.when(F.col("row_id") != NO_KEY, F.col("row_id"))
     return out.select(
@@ -269,4 +290,5 @@ def similar_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: s
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", own).alias("component_id"),
         ((F.col("n") == 0) | F.coalesce(F.col("component_id") == own, F.col("component_id").isNull())).alias("keeper"),
+        *([*identity, "component"] if identity_too else []),
     )

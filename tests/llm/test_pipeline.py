@@ -50,6 +50,21 @@ def test_similar_stage_on_odd_rows(spark, sf_dir):
     assert ids == sorted([1, 4, 5, 6, 7, 9, 10, 11, 12, None, None], key=str)
 
 
+def test_rows_with_one_id_are_judged_by_their_own_text(spark, sf_dir):
+    base, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b", "c"))
+    rows = [
+        (1, base), (7, base + " more"), (7, other), (7, other), (7, ""),
+        (5, third), (5, third + " more"), (5, " ".join(f"d{i}" for i in range(60))), (9, third + " end"), (6, other + " end"),
+    ]
+    full = [(i, t, "en", "s", len(t), k, "x") for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(full, documents(spark).schema)
+    kept = corpus_pipeline.keep_one_of_similar(spark, docs, sf_dir)
+    found = sorted((r["doc_id"], r["text"][:1]) for r in kept.collect())
+    assert found == [(1, "a"), (5, "c"), (5, "d"), (6, "b"), (7, "")]
+    alone = corpus_pipeline.keep_one_of_similar(spark, docs.filter("doc_id <> 6"), sf_dir)
+    assert sorted((r["doc_id"], r["text"][:1]) for r in alone.collect()) == [(1, "a"), (5, "c"), (5, "d"), (7, ""), (7, "b")]
+
+
 def test_stages_take_empty_tables(spark, sf_dir):
     docs = documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
