@@ -298,6 +298,23 @@ def best_trial(trials: Sequence[Trial]) -> Trial:
     return max(trials, key=lambda t: t.macro_f1)
 
 
+def tuning_folds(train: DataFrame, subset: int, k: int = FOLDS) -> DataFrame:
+    """An exact stratified subset of the training rows with their folds, written."""
+    folder = new_work_dir(train.sparkSession, "tuning")
+    fold_features(stratified_exact(train, "target", "certificate_id", subset, SEED), k).write.parquet(folder)
+    return train.sparkSession.read.parquet(folder)
+
+
+def compare(folded: DataFrame, k: int = FOLDS, sizes: tuple[int, int] = (100, 200)) -> list[CrossValidation]:
+    """The three candidates; ``sizes`` are the trees of the forest and the rounds of both boosters."""
+    trees, rounds = sizes
+    return [
+        cross_validate("random forest", forest_trainer(ForestParams(trees, 10, 1)), folded, k),
+        cross_validate("boosted trees", boosted_trainer(BoostParams(rounds)), folded, k),
+        cross_validate("deep boosted trees", boosted_trainer(BoostParams(rounds, 8)), folded, k),
+    ]
+
+
 def tune(split: DataFrame, path: str, subset: int, trials: int, max_rounds: int = 400, k: int = FOLDS, sizes: tuple[int, int] = (100, 200)) -> dict:
     """Compare candidates and search parameters on an exact stratified subset, refit on all, evaluate, save.
 
@@ -305,16 +322,9 @@ def tune(split: DataFrame, path: str, subset: int, trials: int, max_rounds: int
     many times; the best parameters are fitted on every training row. ``sizes`` are the trees of the forest and the rounds of
     both boosters that are compared. The result is also saved beside the model.
     """
-    spark, train = split.sparkSession, split.filter(~F.col("is_test"))
-    folder = new_work_dir(spark, "tuning")
-    fold_features(stratified_exact(train, "target", "certificate_id", subset, SEED), k).write.parquet(folder)
-    folded = spark.read.parquet(folder)
-    trees, rounds = sizes
-    compared = [
-        cross_validate("random forest", forest_trainer(ForestParams(trees, 10, 1)), folded, k),
-        cross_validate("boosted trees", boosted_trainer(BoostParams(rounds)), folded, k),
-        cross_validate("deep boosted trees", boosted_trainer(BoostParams(rounds, 8)), folded, k),
-    ]
+    train = split.filter(~F.col("is_test"))
+    folded = tuning_folds(train, subset, k)
+    compared = compare(folded, k, sizes)
     tried = search(folded, draw_boost_params(trials, max_rounds=max_rounds), k)
     best = best_trial(tried)
     model = fit_boosted(train, best.params)

@@ -1,8 +1,8 @@
 """Registered queries of the band prediction work.
 
-Model fits run with few trees and shallow depths here, on all usable rows:
-full sizes, the defaults of the parameter classes, take too long for a query
-that is checked each time. The ``train`` and ``tune`` jobs run them.
+Model fits have full sizes, the defaults of the parameter classes. The comparison
+and the search run on the stratified subset of training rows that the ``tune``
+job takes, with its folds and trials.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from joulemart.plans import band_models as models
 from joulemart.queries_core import raw, star, written_star
 from joulemart.session import new_work_dir
 
-SMALL_FOREST = models.ForestParams(trees=20, depth=6)
-SMALL_BOOST = models.BoostParams(rounds=5, depth=3)
+#: Trials of the parameter search, as of the ``tune`` job.
+TRIALS = 30
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,25 +60,25 @@ def rule_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split(spark, sf_dir)
-    model = models.fit_forest(train, SMALL_FOREST)
+    model = models.fit_forest(train)
     return metrics.class_report(metrics.pair_counts(models.score_forest(model, test), "target", "predicted"))
 
 
 def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _split(spark, sf_dir)
-    return models.importance(spark, models.fit_forest(train, SMALL_FOREST))
+    return models.importance(spark, models.fit_forest(train))
 
 
 def forest_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _split(spark, sf_dir)
-    return models.split_counts(spark, models.fit_forest(train, SMALL_FOREST))
+    return models.split_counts(spark, models.fit_forest(train))
 
 
 def saved_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion shares of a forest that was saved and loaded before scoring."""
     train, test = _split(spark, sf_dir)
     path = new_work_dir(spark, "model")
-    models.save_model(models.fit_forest(train, SMALL_FOREST), path)
+    models.save_model(models.fit_forest(train), path)
     scored = models.score_forest(models.load_model(path), test)
     return metrics.confusion_shares(metrics.pair_counts(scored, "target", "predicted"), K.BANDS)
 
@@ -87,23 +87,20 @@ def boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early-stopped boosting: each training row's fold 0 decides when to stop."""
     train, test = _split(spark, sf_dir)
     marked = features.fold_features(train).withColumn("held_out", F.col("fold") == 0)
-    model = models.fit_boosted(_written(spark, marked), SMALL_BOOST, validation="held_out")
+    model = models.fit_boosted(_written(spark, marked), validation="held_out")
     return metrics.class_report(metrics.pair_counts(models.score_boosted(model, test), "target", "predicted"))
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folded = _written(spark, features.fold_features(_rows(spark, sf_dir), k=2))
-    results = [
-        models.cross_validate("random forest", models.forest_trainer(SMALL_FOREST), folded, k=2),
-        models.cross_validate("boosted trees", models.boosted_trainer(models.BoostParams(2, 3)), folded, k=2),
-    ]
+    train, _ = _split(spark, sf_dir)
+    results = models.compare(models.tuning_folds(train, features.TUNE_ROWS))
     return models.comparison(spark, results).drop("cv_seconds")
 
 
 def search_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two random trials and the best score so far."""
-    folded = _written(spark, features.fold_features(_rows(spark, sf_dir), k=2))
-    trials = models.search(folded, models.draw_boost_params(2, max_rounds=2), k=2)
+    """All random trials and the best score so far."""
+    train, _ = _split(spark, sf_dir)
+    trials = models.search(models.tuning_folds(train, features.TUNE_ROWS), models.draw_boost_params(TRIALS))
     return running_max(models.trial_table(spark, trials), "trial", "macro_f1", "best_so_far")
 
 

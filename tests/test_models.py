@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from joulemart import constants as K
+from joulemart import queries_models
 from joulemart.operators import metrics
 from joulemart.operators.ranking import running_max
 from joulemart.plans import band_features as features
@@ -121,3 +122,43 @@ def test_tune_job(spark, rows):
     assert saved == json.loads(json.dumps(about)) and saved["bands"] == list(K.BANDS)
     test = rows.filter("is_test")
     assert models.scores_of(models.score_boosted(models.load_model(path), test))[0] == pytest.approx(about["accuracy"])
+
+
+class _Asked(Exception):
+    pass
+
+
+def test_registered_models_have_full_sizes(spark, rows, monkeypatch):
+    split = rows.withColumn("is_test", F.col("certificate_id").endswith("7"))
+    monkeypatch.setattr(queries_models, "_split", lambda *_: (split.filter("not is_test"), split.filter("is_test")))
+    run = lambda name: queries_models.QUERIES[name][0](spark, "")
+    asked = []
+
+    def forest(self, *_):
+        asked.append((self.getNumTrees(), self.getMaxDepth(), self.getMinInstancesPerNode()))
+        raise _Asked
+
+    def booster(self, *_):
+        asked.append((self.getMaxIter(), self.getMaxDepth()))
+        raise _Asked
+
+    monkeypatch.setattr(models.RandomForestClassifier, "_fit", forest)
+    monkeypatch.setattr(models.GBTClassifier, "_fit", booster)
+    for name in ("random_forest", "ml_importance", "split_importance", "model_save_load", "boosted_trees"):
+        with pytest.raises(_Asked):
+            run(name)
+    assert asked[:4] == [(300, 12, 20)] * 4 and set(asked[4:]) == {(200, 5)}
+
+    asked.clear()
+
+    def cross_validate(name, train, folded, k=features.FOLDS):
+        asked.append((name, k, sorted(r.fold for r in folded.select("fold").distinct().collect())))
+        return models.CrossValidation(name, 0.5, 0.0, 0.5, 1.0)
+
+    monkeypatch.setattr(models, "cross_validate", cross_validate)
+    assert run("kfold_cv").count() == 3
+    assert asked == [(name, 3, [0, 1, 2]) for name in ("random forest", "boosted trees", "deep boosted trees")]
+    seen = []
+    monkeypatch.setattr(models, "search", lambda folded, tried, k=features.FOLDS: seen.append((k, tried)) or [models.Trial(i, p, 0.1) for i, p in enumerate(tried)])
+    assert run("hyperparameter_search").count() == 30
+    assert seen[0][0] == 3 and max(p.rounds for p in seen[0][1]) > 200
