@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joulemart.llm import backoff, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, tool_calls
+from joulemart.llm import backoff, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, queries_lines, tool_calls
 from joulemart.session import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,4 +203,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_subword_quality": (quality_scores, None),
     "op9_stupid_backoff": (backoff_scores, BACKOFF_SQL),
     "op10_ngram_jaccard_join": (ngram_join, None),
+    **queries_lines.QUERIES,
 }
