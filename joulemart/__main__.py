@@ -74,7 +74,7 @@ def main(args: list[str]) -> int:
         print(f"accuracy {about['accuracy']:.4f}, macro F1 {about['macro_f1']:.4f}: {about['parameters']}")
     else:
         path, source, out = rest
-        scored = band_models.score_forest(band_models.load_model(path), spark.read.parquet(source))
+        scored = band_models.score(band_models.load_model(path), spark.read.parquet(source))
         scored.write.mode("overwrite").parquet(out)
     return 0
 

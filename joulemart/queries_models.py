@@ -58,37 +58,49 @@ def rule_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
 
 
+_forests: dict[tuple[str, str], str] = {}
+
+
+def _forest(spark: SparkSession, sf_dir: str) -> tuple[models.Model, DataFrame, str]:
+    """The forest of a folder of tables, its test rows, and where it is saved; fitted once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _forests:
+        train, test = _split(spark, sf_dir)
+        path = new_work_dir(spark, "forest")
+        test.write.parquet(f"{path}-test")
+        models.save_model(models.fit_forest(train), path)
+        _forests[key] = path
+    path = _forests[key]
+    return models.load_model(path), spark.read.parquet(f"{path}-test"), path
+
+
 def forest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _split(spark, sf_dir)
-    model = models.fit_forest(train)
-    return metrics.class_report(metrics.pair_counts(models.score_forest(model, test), "target", "predicted"))
+    model, test, _ = _forest(spark, sf_dir)
+    return metrics.class_report(metrics.pair_counts(models.score(model, test), "target", "predicted"))
 
 
 def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _split(spark, sf_dir)
-    return models.importance(spark, models.fit_forest(train))
+    return models.importance(spark, _forest(spark, sf_dir)[0])
 
 
 def forest_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _split(spark, sf_dir)
-    return models.split_counts(spark, models.fit_forest(train))
+    model, _, path = _forest(spark, sf_dir)
+    return models.split_counts(spark, model, path)
 
 
 def saved_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion shares of a forest that was saved and loaded before scoring."""
-    train, test = _split(spark, sf_dir)
-    path = new_work_dir(spark, "model")
-    models.save_model(models.fit_forest(train), path)
-    scored = models.score_forest(models.load_model(path), test)
-    return metrics.confusion_shares(metrics.pair_counts(scored, "target", "predicted"), K.BANDS)
+    model, test, _ = _forest(spark, sf_dir)
+    return metrics.confusion_shares(metrics.pair_counts(models.score(model, test), "target", "predicted"), K.BANDS)
 
 
 def boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Early-stopped boosting: each training row's fold 0 decides when to stop."""
+    """Early-stopped boosting: fold 0 of the training rows decides when to stop; with the rounds tried and kept."""
     train, test = _split(spark, sf_dir)
     marked = features.fold_features(train).withColumn("held_out", F.col("fold") == 0)
     model = models.fit_boosted(_written(spark, marked), validation="held_out")
-    return metrics.class_report(metrics.pair_counts(models.score_boosted(model, test), "target", "predicted"))
+    report = metrics.class_report(metrics.pair_counts(models.score(model, test), "target", "predicted"))
+    return report.withColumns({n: F.lit(model.about[n]) for n in ("rounds_tried", "rounds_kept")})
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +110,11 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All random trials and the best score so far."""
+    """All random trials, pruned ones marked, and the best finished score so far."""
     train, _ = _split(spark, sf_dir)
     trials = models.search(models.tuning_folds(train, features.TUNE_ROWS), models.draw_boost_params(TRIALS))
-    return running_max(models.trial_table(spark, trials), "trial", "macro_f1", "best_so_far")
+    table = models.trial_table(spark, trials)
+    return table.join(running_max(table, "trial", "finished_f1", "best_so_far").drop("finished_f1"), "trial")
 
 
 _RULE = """
