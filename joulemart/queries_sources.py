@@ -7,7 +7,9 @@ and reads it back through the source under test.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +20,14 @@ from joulemart.plans.staging import lower_case_columns, stage_certificates
 from joulemart.queries_core import SUMMARY_SQL, raw, retrofit, star, written_star
 from joulemart.session import new_work_dir
 from joulemart.sources.boundary_rows import boundary_documents
-from joulemart.sources.csv_landing import append_chunk, read_csv_by_name, write_csv_folders
+from joulemart.sources.csv_landing import CSV_OPTIONS, append_chunk, read_csv_by_name, write_csv_folders
 from joulemart.sources.geojson import (
     match_districts, read_features, simplified_rings, unmatched_districts,
 )
 from joulemart.sources.tables import Warehouse, write_json_summary
+from joulemart.sources.versions import Versions
 from joulemart.streaming.incremental import compact, merge_available, read_state
-from joulemart.streaming.landing import append_available, csv_stream
+from joulemart.streaming.landing import append_available, csv_stream, land_available, read_landed
 
 _MAP_COUNT = 50
 _AS_OF = "2013-06-30"
@@ -36,21 +39,46 @@ def _foldered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir).withColumn("folder", folder).drop("filename")
 
 
-def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows after a trip through CSV files with three different headers."""
-    root = new_work_dir(spark, "landing")
+def _write_variants(spark: SparkSession, sf_dir: str, root: str, numbers: tuple[int, ...] = (0, 1, 2)) -> None:
+    """Raw rows as CSV files with three different headers, by their folder's number."""
     rows = _foldered(spark, sf_dir)
     kind = F.regexp_extract("folder", "([0-9]+)$", 1).cast("int") % 3
     columns = [c for c in rows.columns if c != "folder"]
     variants = [columns, columns[::-1], [c for c in columns if c != "FLOOR_LEVEL"]]
-    for number, names in enumerate(variants):
-        write_csv_folders(rows.filter(kind == number).select("folder", *names), f"{root}/part{number}", "folder")
+    for number in numbers:
+        write_csv_folders(rows.filter(kind == number).select("folder", *variants[number]), f"{root}/part{number}", "folder")
+
+
+def landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows after a trip through CSV files with three different headers."""
+    root = new_work_dir(spark, "landing")
+    _write_variants(spark, sf_dir, root)
     return read_csv_by_name(spark, root)
 
 
+def streamed_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a stream of two runs, of which the second finds wider headers in another order."""
+    root = new_work_dir(spark, "any-header")
+    for numbers in ((2,), (0, 1)):
+        _write_variants(spark, sf_dir, f"{root}/landing", numbers)
+        land_available(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", files_per_batch=4)
+    return lower_case_columns(read_landed(spark, f"{root}/table")).select(*_SCANNED)
+
+
+def csv_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses with line breaks and quotes, from two large CSV files that are read by blocks."""
+    path = new_work_dir(spark, "large-csv")
+    address = F.concat_ws("", F.lit('"'), F.col("POSTCODE"), F.lit('"\n'), F.col("COUNTY"), F.lit(",\n"), F.col("WALLS_DESCRIPTION"))
+    rows = raw(spark, sf_dir).select(F.col("LMK_KEY").alias("lmk_key"), address.alias("address"), F.col("UPRN").alias("uprn"))
+    rows.repartition(2).write.options(**CSV_OPTIONS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    return read_csv_by_name(spark, path, whole_file_bytes=0).drop("filename")
+
+
+_SCANNED = ["lmk_key", "uprn", "postcode", "county", "walls_description", "floor_level", "main_fuel"]
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["lmk_key", "uprn", "postcode", "county", "walls_description", "floor_level", "main_fuel"]
-    return lower_case_columns(landed_csv(spark, sf_dir)).select(*columns)
+    return lower_case_columns(landed_csv(spark, sf_dir)).select(*_SCANNED)
 
 
 def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +110,22 @@ def materialised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Warehouse(spark, new_work_dir(spark, "warehouse")).build(raw(spark, sf_dir)).row_counts()
 
 
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Certificates per county as readers see them: before a replacement, after one that failed, and after one that went well."""
+    tables = Versions(spark, new_work_dir(spark, "versions"))
+    rows = raw(spark, sf_dir).select(F.col("COUNTY").alias("county"), F.col("INSPECTION_DATE").alias("inspection_date"))
+    tables.replace("certificates", rows.filter("inspection_date < '2010-01-01'"))
+    before = tables.pin()
+    broken = F.when(F.col("inspection_date") >= "2012-01-01", F.raise_error(F.lit("broken row"))).otherwise(F.col("county"))
+    with suppress(PySparkException):
+        tables.replace("certificates", rows.withColumn("county", broken))
+    failed = tables.read("certificates")
+    tables.replace("certificates", rows.withColumn("year", F.substring("inspection_date", 1, 4)))
+    states = {"pinned": before.read("certificates"), "after failure": failed, "latest": tables.read("certificates").drop("year")}
+    counted = [df.groupBy("county").agg(F.count("*").alias("n")).withColumn("state", F.lit(state)) for state, df in states.items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def json_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The national summary, read back from its JSON file."""
     path = new_work_dir(spark, "summary")
@@ -212,21 +256,26 @@ def _quality_sql() -> str:
     return query(" union all ".join(parts), "stg")
 
 
-# name -> (DataFrame query, SQL to check it against)
-QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
-    "csv_glob_scan": (
-        csv_scan,
-        query(
-            """
+_SCAN_SQL = """
 select lmk_key as lmk_key, uprn as uprn, postcode as postcode, county as county,
   walls_description as walls_description,
   case when cast(regexp_extract(filename, '([0-9]+)/', 1) as integer) % 3 <> 2 then floor_level end as floor_level,
   main_fuel as main_fuel
 from epc_raw
-""",
+"""
+
+# name -> (DataFrame query, SQL to check it against)
+QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "csv_glob_scan": (csv_scan, query(_SCAN_SQL, "epc_raw")),
+    "csv_by_blocks": (
+        csv_by_blocks,
+        query(
+            """select lmk_key as lmk_key, uprn as uprn,
+  concat('"', postcode, '"', chr(10), county, ',', chr(10), walls_description) as address from epc_raw""",
             "epc_raw",
         ),
     ),
+    "append_stream_any_header": (streamed_variants, query(_SCAN_SQL, "epc_raw")),
     "file_lineage": (
         file_lineage,
         query(
@@ -272,6 +321,17 @@ union all select 'v_retrofit_priority', count(*) from retrofit
             "retrofit", "facts", "props", "locs",
         ),
     ),
+    "ctas_overwrite": (
+        replaced_table,
+        query(
+            """
+with old as (select county as county, cast(count(*) as bigint) as n from epc_raw where inspection_date < '2010-01-01' group by 1)
+select 'pinned' as state, county, n from old union all select 'after failure', county, n from old
+union all select 'latest', county, cast(count(*) as bigint) from epc_raw group by 2
+""",
+            "epc_raw",
+        ),
+    ),
     "json_summary_sink": (json_summary, query(SUMMARY_SQL, "facts")),
     "geojson_scan": (
         feature_scan,

@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from joulemart.session import new_work_dir
+from joulemart.sources.csv_blocks import csv_records
+
 # RFC 4180 quoting: doubled quotes inside quoted fields.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 LINEAGE = "filename"
 #: Files that are CSV by name, in either case, compressed or not; batches and streams read the same.
 CSV_FILES = "*.[cC][sS][vV]{,.*}"
+#: A file with line breaks in quotes is read by one task up to this size, larger ones by blocks.
+WHOLE_FILE_BYTES = 128 << 20
 #: Up to so many files, the table of file headers is sent to every task.
 BROADCAST_FILES = 100_000
 
@@ -44,10 +49,11 @@ def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 paths.append(path)
                 headers.append(next(csv.reader(io.StringIO(record, newline="")), []))
                 lines = None
-        yield pd.DataFrame({"path": paths, "header": headers})
+        if paths:
+            yield pd.DataFrame({"path": paths, "header": headers})
 
 
-def file_headers(spark: SparkSession, path: str, files: str = CSV_FILES) -> DataFrame:
+def file_headers(spark: SparkSession, path: str | list[str], files: str = CSV_FILES) -> DataFrame:
     """(path, header) of every file below ``path`` that is not empty, read by Spark's own file access."""
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", files).text(path)
@@ -57,25 +63,27 @@ def file_headers(spark: SparkSession, path: str, files: str = CSV_FILES) -> Data
     return lines.mapInPandas(_first_records, "path string, header array<string>")
 
 
-def read_csv_by_name(spark: SparkSession, path: str, multi_line: bool = True, files: str = CSV_FILES) -> DataFrame:
+def read_csv_by_name(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, files: str = CSV_FILES, whole_file_bytes: int | None = None
+) -> DataFrame:
     """All CSV files below ``path`` as text columns plus ``filename``.
 
-    ``path`` may be a glob; ``files`` is one over file names. Spark's reader aligns files by position, so rows are read by position once, meet the
+    ``path`` may be a glob, or several; ``files`` is one over file names. Spark's reader aligns files by position, so rows are read by position once, meet the
     header of their file, and take each column from where that header has it; a column a file lacks
     is NULL. Only the distinct headers reach the driver. ``multi_line`` keeps line breaks inside
-    quotes, at the price of one task per file. Turn it off for large files without them, and they
-    are split.
+    quotes: files up to ``whole_file_bytes`` (WHOLE_FILE_BYTES) are read by one task each, larger ones by
+    blocks (see csv_blocks). Turn it off for files without them, and Spark's reader splits them by itself.
     """
-    headers = file_headers(spark, path, files)
+    folder = new_work_dir(spark, "headers")
+    file_headers(spark, path, files).write.parquet(folder)
+    headers = spark.read.parquet(folder)
     distinct = [tuple(r.header) for r in headers.select("header").distinct().collect()]
     if not distinct:
         raise FileNotFoundError(f"no CSV files below {path}")
     distinct.sort()
     places = [f"_c{i}" for i in range(max(map(len, distinct)))]
-    rows = (
-        spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", files).schema(text_schema(places)).csv(path).select("*", F.col("_metadata.file_path").alias(LINEAGE))
-    )
+    limit = WHOLE_FILE_BYTES if whole_file_bytes is None else whole_file_bytes
+    rows = _by_position(spark, path, files, places, multi_line, limit)
     few = headers.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
     known = headers.withColumnRenamed("path", LINEAGE)
     rows = rows.join(F.broadcast(known) if few else known, LINEAGE)
@@ -96,6 +104,33 @@ def read_csv_by_name(spark: SparkSession, path: str, multi_line: bool = True, fi
     return rows.select(*[column(n) for n in names], LINEAGE)
 
 
+def _by_position(
+    spark: SparkSession, path: str | list[str], files: str, places: list[str], multi_line: bool, whole_file_bytes: int
+) -> DataFrame:
+    """All rows but headers, as columns by position and the name of the file."""
+    schema = text_schema(places)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(schema)
+
+    def whole(paths: str | list[str]) -> DataFrame:
+        found = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", files).csv(paths)
+        return found.select("*", F.col("_metadata.file_path").alias(LINEAGE))
+
+    if not multi_line:
+        return whole(path)
+    # Listed, not read. Compressed files cannot be cut.
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", files).load(path).select("path", "length")
+    is_large = (F.col("length") > whole_file_bytes) & F.lower("path").endswith(".csv")
+    large = [r.path for r in sizes.filter(is_large).collect()]
+    if not large:
+        return whole(path)
+    records = csv_records(spark, large)
+    ddl = ", ".join(f"{p} string" for p in places)
+    parsed = F.from_csv("record", ddl, {**CSV_OPTIONS, "header": "false", "multiLine": "true"})
+    rows = records.select(parsed.alias("row"), F.col("path").alias(LINEAGE)).select("row.*", LINEAGE)
+    small = [r.path for r in sizes.filter(~is_large).collect()]
+    return rows.union(whole(small)) if small else rows
+
+
 def append_chunk(chunk: DataFrame, path: str, first: bool) -> None:
     """Land one chunk: the first replaces the table, later ones add to it."""
     chunk.write.mode("overwrite" if first else "append").parquet(path)

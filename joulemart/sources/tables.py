@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from joulemart.plans import analytics, marts
 from joulemart.plans.marts import Star
 from joulemart.plans.staging import stage_certificates
+from joulemart.sources.versions import Versions
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -19,8 +21,18 @@ def create_namespace(spark: SparkSession, name: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    """Create the catalog table, or replace its content and schema."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet").saveAsTable(name)
+    """Create the catalog entry, or replace its content and schema, in one step of the catalog.
+
+    Rows are written to a new folder beside the namespace's tables; then the name, a view, is pointed at
+    it. Until then, and if the write fails, readers get the old rows; who has them keeps them.
+    """
+    spark = df.sparkSession
+    *namespace, table = name.split(".")
+    home = spark.catalog.getDatabase(namespace[0] if namespace else spark.catalog.currentDatabase()).locationUri
+    folder = f"{home}/{table}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    quoted = ".".join(f"`{part}`" for part in [*namespace, table])
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS SELECT * FROM parquet.`{folder}`")
 
 
 def list_tables(spark: SparkSession) -> DataFrame:
@@ -48,22 +60,43 @@ class Warehouse:
     Tables are neither bucketed nor partitioned: one property may own a third
     of all certificates, and a fixed layout would pin those to one file group,
     whereas a shuffle join lets adaptive execution split them.
+
+    A build writes new folders and commits them together at its end: readers see the tables of the
+    last whole build, all of one version, and a build that fails leaves them as they are.
     """
 
     spark: SparkSession
     root: str
+    version: int | None = None
+    #: Folders written so far by the build that this is a view of.
+    building: dict[str, str] | None = None
+
+    def versions(self) -> Versions:
+        return Versions(self.spark, self.root, self.version)
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def pinned(self) -> Warehouse:
+        """A view of the tables as they are now, whatever is built later."""
+        return replace(self, version=self.versions().latest())
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if self.building is not None:
+            return self.spark.read.parquet(f"{self.root}/{self.building[name]}")
+        return self.versions().read(name)
 
     def _write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+        folder = self.versions().new_folder(name)
+        df.write.parquet(f"{self.root}/{folder}")
+        self.building[name] = folder
 
     def build(self, raw: DataFrame) -> Warehouse:
-        """Write all tables, inputs before the tables that read them; what is independent, together."""
+        """Write all tables, inputs before the tables that read them, and make them visible; see _write_tables."""
+        draft = replace(self, building={})
+        draft._write_tables(raw)
+        self.versions().commit(draft.building)
+        return self
+
+    def _write_tables(self, raw: DataFrame) -> None:
+        """Inputs before the tables that read them; what is independent, together."""
         self._write(stage_certificates(raw, ("walls_description",)), "stg_certificates")
         staged = self.table("stg_certificates")
         self._write_together({
@@ -78,7 +111,6 @@ class Warehouse:
             "improvable": lambda: analytics.improvable(self.star()),
         })
         self._write(analytics.retrofit_priority(self.star(), self.table("improvable")), "v_retrofit_priority")
-        return self
 
     def _write_together(self, tables: dict[str, Callable[[], DataFrame]]) -> None:
         """Write tables at the same time: Spark runs their jobs side by side where there is room."""
@@ -88,6 +120,9 @@ class Warehouse:
             write.result()
 
     def star(self) -> Star:
+        """All tables of one version."""
+        if self.building is None and self.version is None:
+            return self.pinned().star()
         return Star(
             self.table("stg_certificates"),
             self.table("fct_certificates"),
