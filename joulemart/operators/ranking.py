@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from joulemart.functions.numbers import rounded
+from joulemart.session import written
 
 
 def head_and_tail(df: DataFrame, order: list[str], k: int, names: tuple[str, str]) -> DataFrame:
@@ -32,13 +33,29 @@ def first_last_delta(value: str, key: str, digits: int) -> Column:
     return rounded(F.max_by(value, key) - F.min_by(value, key), digits)
 
 
-def running_max(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
-    """Greatest value so far along an order, one row per order value.
+#: Up to so many order values, a running maximum is one sorted pass.
+PASS_ROWS = 100_000
 
-    Rows are first reduced to one maximum per order value, with map-side
-    combining. Pass an order with a bounded number of values (a trial number,
-    a day): the final running window is a single sorted pass over those.
+
+def running_max(df: DataFrame, order: str, value: str, out: str, pass_rows: int = PASS_ROWS) -> DataFrame:
+    """Greatest value so far along an order, one row per order value (null first).
+
+    Rows are first reduced to one maximum per order value, with map-side combining. Up to pass_rows of
+    those are one window. More are dealt out by ranges of the order: every range has its own running
+    maximum, and what came before it is the greatest maximum of the ranges before, one number a range.
     """
-    peaks = df.groupBy(order).agg(F.max(value).alias(value))
+    peaks = written(df.groupBy(order).agg(F.max(value).alias(value)), "peaks")
     so_far = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return peaks.withColumn(out, F.max(value).over(so_far))
+    if peaks.limit(pass_rows + 1).count() <= pass_rows:
+        return peaks.withColumn(out, F.max(value).over(so_far))
+    dealt = written(peaks.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    tops = sorted((r["_range"], r["top"]) for r in dealt.groupBy("_range").agg(F.max(value).alias("top")).collect())  # one row a task
+    before, rows = None, []
+    for number, top in tops:
+        rows.append((number, before))
+        before = top if before is None or (top is not None and top > before) else before
+    kind = dict(dealt.dtypes)[value]
+    earlier = df.sparkSession.createDataFrame(rows, f"_range int, _before {kind}")
+    within = F.max(value).over(Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = dealt.withColumn("_within", within).join(F.broadcast(earlier), "_range")
+    return joined.select(order, value, F.greatest("_within", "_before").alias(out))

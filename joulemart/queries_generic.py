@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from joulemart.functions.numbers import exact_mean, ratio, rounded
 from joulemart.operators.distribution import bin_of, box_summary, histogram_2d, marginals, value_counts
 from joulemart.operators.latest import latest_per_key
+from joulemart.operators.quantiles import box_of_values
 from joulemart.operators.ranking import running_max
 from joulemart.operators.reshape import pivot_fill
 from joulemart.operators.shares import share_of_group, with_total
@@ -60,6 +61,17 @@ def quantity_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return box.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
 
+def price_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot numbers of line prices, which are nearly all different, per return flag."""
+    box = box_of_values(read_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_extendedprice", rank_rows=2000)
+    return box.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
+
+
+def order_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greatest price up to each order, by ranges of the order key."""
+    return running_max(read_table(spark, sf_dir, "orders"), "o_orderkey", "o_totalprice", "best_so_far", pass_rows=1000)
+
+
 def _price_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_2d(
         read_table(spark, sf_dir, "lineitem"),
@@ -104,6 +116,22 @@ def mean_price_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.filter(F.col("n") > 10)
 
 
+def _box_sql(column: str) -> str:
+    return f"""with box as (
+  select l_returnflag, cast(count(*) as bigint) as n_rows, min({column}) as min_value, max({column}) as max_value,
+    quantile_cont({column}, 0.25) as q1, quantile_cont({column}, 0.5) as median, quantile_cont({column}, 0.75) as q3
+  from lineitem group by 1),
+ends as (
+  select r.l_returnflag, min({column}) as lower_whisker, max({column}) as upper_whisker
+  from lineitem r join box b on r.l_returnflag = b.l_returnflag
+  where {column} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) group by 1)
+select box.l_returnflag, n_rows, min_value, lower_whisker, round(q1, 4) as q1, round(median, 4) as median,
+  round(q3, 4) as q3, upper_whisker, max_value,
+  round(median - 1.57 * (q3 - q1) / sqrt(n_rows), 4) as notch_low,
+  round(median + 1.57 * (q3 - q1) / sqrt(n_rows), 4) as notch_high
+from box join ends on box.l_returnflag = ends.l_returnflag"""
+
+
 # name -> (DataFrame query, SQL to check it against)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "latest_per_key": (
@@ -137,22 +165,8 @@ select cast(level as integer) as level, l_returnflag, l_linestatus,
        " / cast(sum(cast(l_quantity as decimal(18, 2))) as double)", 4)} as weighted_price
 from boxes group by 1, 2, 3""",
     ),
-    "five_number_summary": (
-        quantity_box,
-        """with box as (
-  select l_returnflag, cast(count(*) as bigint) as n_rows, min(l_quantity) as min_value, max(l_quantity) as max_value,
-    quantile_cont(l_quantity, 0.25) as q1, quantile_cont(l_quantity, 0.5) as median, quantile_cont(l_quantity, 0.75) as q3
-  from lineitem group by 1),
-ends as (
-  select r.l_returnflag, min(l_quantity) as lower_whisker, max(l_quantity) as upper_whisker
-  from lineitem r join box b on r.l_returnflag = b.l_returnflag
-  where l_quantity between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) group by 1)
-select box.l_returnflag, n_rows, min_value, lower_whisker, round(q1, 4) as q1, round(median, 4) as median,
-  round(q3, 4) as q3, upper_whisker, max_value,
-  round(median - 1.57 * (q3 - q1) / sqrt(n_rows), 4) as notch_low,
-  round(median + 1.57 * (q3 - q1) / sqrt(n_rows), 4) as notch_high
-from box join ends on box.l_returnflag = ends.l_returnflag""",
-    ),
+    "five_number_summary": (quantity_box, _box_sql("l_quantity")),
+    "five_number_continuous": (price_box, _box_sql("l_extendedprice")),
     "histogram_2d": (
         _price_density,
         """select l_returnflag, cast(floor((l_quantity - 1) / 5) as integer) as x_bin,
@@ -171,6 +185,11 @@ from lineitem group by 1, 2, 3""",
         daily_record,
         """select day, max(price) as o_totalprice, max(max(price)) over (order by day rows unbounded preceding) as best_so_far
 from (select cast(o_orderdate as date) as day, o_totalprice as price from orders) o group by day""",
+    ),
+    "running_max_by_order": (
+        order_record,
+        """select o_orderkey, max(o_totalprice) as o_totalprice,
+  max(max(o_totalprice)) over (order by o_orderkey rows unbounded preceding) as best_so_far from orders group by o_orderkey""",
     ),
     "cross_join_scalar": (
         segment_share,

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime choices the plans rely on. Partition counts and memory stay with
 # the cluster: adaptive execution coalesces small shuffles and splits hot ones.
@@ -77,3 +78,15 @@ def ship_code(spark: SparkSession) -> None:
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path below the shared work folder."""
     return os.path.join(work_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df from a table in the work folder: computed once, whatever is lost later."""
+    folder = new_work_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
+def sent_if_few(df: DataFrame, most: int) -> DataFrame:
+    """df, to be sent to every task in a join if it has at most so many rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
