@@ -194,6 +194,21 @@ def _share_of_national_carbon(s: Star) -> DataFrame:
     )
 
 
+AGGREGATE_SQL = query(
+    f"""
+select county, property_type, tenure, construction_age_band,
+  cast(date_trunc('year', f.inspection_at) as timestamp) as inspection_year,
+  cast(count(*) as bigint) as certificate_count,
+  {rnd(mean("f.energy_efficiency_current"), 2)} as avg_energy_efficiency,
+  cast(sum(f.co2_emissions_current_tonnes_per_year) as decimal(38, 2)) as total_co2_emissions
+from facts f left join props p on f.property_id = p.property_id
+  left join locs l on f.location_id = l.location_id
+group by 1, 2, 3, 4, 5
+""",
+    "facts", "props", "locs",
+)
+
+
 # name -> (DataFrame query, SQL to check it against)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     # staging
@@ -251,22 +266,7 @@ from stg
             "stg",
         ),
     ),
-    "fct_property_aggregations": (
-        _on_written(marts.fct_property_aggregations),
-        query(
-            f"""
-select county, property_type, tenure, construction_age_band,
-  cast(date_trunc('year', f.inspection_at) as timestamp) as inspection_year,
-  cast(count(*) as bigint) as certificate_count,
-  {rnd(mean("f.energy_efficiency_current"), 2)} as avg_energy_efficiency,
-  cast(sum(f.co2_emissions_current_tonnes_per_year) as decimal(38, 2)) as total_co2_emissions
-from facts f left join props p on f.property_id = p.property_id
-  left join locs l on f.location_id = l.location_id
-group by 1, 2, 3, 4, 5
-""",
-            "facts", "props", "locs",
-        ),
-    ),
+    "fct_property_aggregations": (_on_written(marts.fct_property_aggregations), AGGREGATE_SQL),
     # analytics
     "v_construction_age": (
         _on_star(analytics.construction_age),

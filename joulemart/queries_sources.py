@@ -17,7 +17,7 @@ from joulemart.operators import quality
 from joulemart.oracle import mean, query, rnd
 from joulemart.plans import checks, reports
 from joulemart.plans.staging import lower_case_columns, stage_certificates
-from joulemart.queries_core import SUMMARY_SQL, raw, retrofit, star, written_star
+from joulemart.queries_core import AGGREGATE_SQL, SUMMARY_SQL, raw, retrofit, star, written_star
 from joulemart.session import new_work_dir
 from joulemart.sources.boundary_rows import boundary_documents
 from joulemart.sources.csv_landing import CSV_OPTIONS, append_chunk, read_csv_by_name, write_csv_folders
@@ -26,6 +26,7 @@ from joulemart.sources.geojson import (
 )
 from joulemart.sources.tables import Warehouse, write_json_summary
 from joulemart.sources.versions import Versions
+from joulemart.streaming.aggregates import merge_available_aggregates, read_aggregates
 from joulemart.streaming.incremental import compact, merge_available, read_state
 from joulemart.streaming.landing import append_available, csv_stream, land_available, read_landed
 
@@ -166,6 +167,16 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, f"{root}/compacted")
 
 
+def incremental_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly aggregate after two streamed merges: newer certificates first, then older ones, which come late."""
+    root = new_work_dir(spark, "aggregates")
+    for number, rows in enumerate(_two_drops(spark, sf_dir)):
+        _drop(rows, f"{root}/landing/drop{number}")
+        staged = stage_certificates(csv_stream(spark, f"{root}/landing", rows.columns))
+        merge_available_aggregates(staged, f"{root}/state", f"{root}/checkpoint")
+    return read_aggregates(spark, f"{root}/state", staged)
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boundary features after a trip through GeoJSON documents."""
     path = new_work_dir(spark, "boundaries")
@@ -303,6 +314,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         incremental_latest,
         query("select * exclude (property_id) from props", "props"),
     ),
+    "incremental_aggregates": (incremental_aggregates, AGGREGATE_SQL),
     "materialize": (
         materialised,
         query(
