@@ -4,6 +4,7 @@
     build   RAW_PATH WAREHOUSE           stage and write the star schema
     check   RAW_PATH WAREHOUSE AS_OF     data checks; exit code 1 if one fails
     report  WAREHOUSE OUT [NAME ...]     write reports (all of them by default)
+            [--boundaries GEOJSON]       with the district map
     train   WAREHOUSE MODEL [ROWS]       fit and save the forest, print its scores
     tune    WAREHOUSE MODEL [ROWS]       compare, search, refit and save boosted trees
     score   MODEL ROWS_PATH OUT          predict bands of feature rows
@@ -20,6 +21,7 @@ from joulemart.plans import band_features, band_models, checks, suite
 from joulemart.plans.staging import lower_case_columns
 from joulemart.session import build_session
 from joulemart.sources.csv_landing import read_csv_by_name
+from joulemart.sources.geojson import read_features
 from joulemart.sources.tables import Warehouse
 
 
@@ -47,9 +49,14 @@ def main(args: list[str]) -> int:
             print(f"{'pass' if row.passed else 'FAIL'}  {row.dataset}  {row.check}({row.column})  {row.n_failed}/{row.n_rows}")
         return 0 if all(row.passed for row in rows) else 1
     elif job == "report":
+        features = None
+        if "--boundaries" in rest:
+            at = rest.index("--boundaries")
+            features = read_features(spark, rest[at + 1])
+            rest = rest[:at] + rest[at + 2 :]
         root, out, *names = rest
-        warehouse = Warehouse(spark, root)
-        outcome = suite.write_reports(warehouse.star(), warehouse.table("v_retrofit_priority"), out, names or None)
+        warehouse = Warehouse(spark, root).pinned()
+        outcome = suite.write_reports(warehouse.star(), warehouse.table("v_retrofit_priority"), out, names or None, features)
         outcome.show(100, truncate=False)
         return 1 if outcome.filter(F.col("error").isNotNull()).count() else 0
     elif job == "train":

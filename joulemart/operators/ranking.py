@@ -35,6 +35,8 @@ def first_last_delta(value: str, key: str, digits: int) -> Column:
 
 #: Up to so many order values, a running maximum is one sorted pass.
 PASS_ROWS = 100_000
+#: Up to so many ranges, what came before each is sent to every task.
+BROADCAST_RANGES = 100_000
 
 
 def running_max(df: DataFrame, order: str, value: str, out: str, pass_rows: int = PASS_ROWS) -> DataFrame:
@@ -57,5 +59,5 @@ def running_max(df: DataFrame, order: str, value: str, out: str, pass_rows: int
     kind = dict(dealt.dtypes)[value]
     earlier = df.sparkSession.createDataFrame(rows, f"_range int, _before {kind}")
     within = F.max(value).over(Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = dealt.withColumn("_within", within).join(F.broadcast(earlier), "_range")
+    joined = dealt.withColumn("_within", within).join(F.broadcast(earlier) if len(rows) <= BROADCAST_RANGES else earlier, "_range")
     return joined.select(order, value, F.greatest("_within", "_before").alias(out))

@@ -30,6 +30,8 @@ _GRID, _GRID_CELLS = 4, 1 << 16
 #: Bounds of what a fit may see; beyond them it is refused.
 MAX_CELLS = 2_000_000
 MAX_CATEGORIES = 200
+#: Up to so many cells, their class shares are sent to every task.
+BROADCAST_CELLS = 500_000
 #: Added to a category's weight when categories are put in order of their gradient.
 CATEGORY_SMOOTH = 10.0
 _LEAST_WEIGHT = 1e-3
@@ -432,11 +434,11 @@ def score_boosted(model: BoostedModel, rows: DataFrame) -> DataFrame:
     """Add ``predicted`` and ``probabilities`` (by class, in the order of the model's classes).
 
     The most probable class wins, the better band among equals. Values that training never saw have a bin
-    of their own. Rows meet the shares of their cell; those are at most MAX_CELLS rows and are sent to
-    every task.
+    of their own. Rows meet the shares of their cell, which are sent to every task if there are few cells.
     """
     shares = model.shares.withColumnsRenamed({"cell": "__of", "probabilities": "__shares"})
-    joined = model.bins.cell(rows, "__cell").join(F.broadcast(shares), F.col("__cell") == F.col("__of"))
+    shares = F.broadcast(shares) if model.bins.cells <= BROADCAST_CELLS else shares
+    joined = model.bins.cell(rows, "__cell").join(shares, F.col("__cell") == F.col("__of"))
     names = F.array(*map(F.lit, model.bins.classes))
     best = F.element_at(names, F.array_position("__shares", F.array_max("__shares")).cast("int"))
     kept = [c for c in rows.columns if c not in ("predicted", "probabilities")]

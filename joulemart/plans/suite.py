@@ -25,22 +25,28 @@ REPORTS: dict[str, Callable[[Star, DataFrame], DataFrame]] = {
     "fuel_impact": lambda star, _: reports.fuel_impact(star),
     "annual_trend": lambda star, _: reports.annual_trend(star),
     "cost_breakdown": lambda star, _: reports.cost_breakdown(star),
+    "v_retrofit_priority": lambda _, retrofit: retrofit,
     "v_construction_age": lambda star, _: analytics.construction_age(star),
     "v_regional_performance": lambda star, _: analytics.regional_performance(star),
     "v_efficiency_gaps": lambda star, _: analytics.efficiency_gaps(star),
 }
 
 
-def write_reports(star: Star, retrofit: DataFrame, out: str, names: list[str] | None = None) -> DataFrame:
+def write_reports(
+    star: Star, retrofit: DataFrame, out: str, names: list[str] | None = None, features: DataFrame | None = None
+) -> DataFrame:
     """Write each report as Parquet below ``out``; one failing does not stop the rest.
 
-    Returns one row per report: ``(report, path, error)``.
+    With boundary ``features`` the district map is one of them. Returns one row per report: ``(report, path, error)``.
     """
     outcomes = []
-    for name in names or list(REPORTS):
+    known = dict(REPORTS)
+    if features is not None:
+        known["la_map"] = lambda _, cells: reports.la_map(cells, features)
+    for name in names or list(known):
         path, error = f"{out}/{name}", None
         try:
-            REPORTS[name](star, retrofit).write.mode("overwrite").parquet(path)
+            known[name](star, retrofit).write.mode("overwrite").parquet(path)
         except Exception as problem:  # noqa: BLE001 - reported per report
             error = f"{type(problem).__name__}: {problem}".splitlines()[0]
         outcomes.append((name, path, error))

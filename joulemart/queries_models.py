@@ -94,11 +94,52 @@ def saved_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion_shares(metrics.pair_counts(models.score(model, test), "target", "predicted"), K.BANDS)
 
 
+_ensembles: dict[tuple[str, str], tuple[models.Model, DataFrame]] = {}
+
+
+def _boosted(spark: SparkSession, sf_dir: str) -> tuple[models.Model, DataFrame]:
+    """The boosted ensemble of a folder of tables, stopped by fold 0, and its test rows; fitted once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ensembles:
+        train, test = _split(spark, sf_dir)
+        marked = features.fold_features(train).withColumn("held_out", F.col("fold") == 0)
+        _ensembles[key] = models.fit_boosted(_written(spark, marked), validation="held_out"), test
+    return _ensembles[key]
+
+
+def _supports(scored: DataFrame) -> DataFrame:
+    """Scored rows per band, and whether each got a band and probabilities that sum to one."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    good = F.col("predicted").isin(*K.BANDS) & (F.abs(total - 1) < 1e-9)
+    return scored.groupBy(F.col("target").alias("band")).agg(F.count("*").alias("support"), F.every(good).alias("all_scored"))
+
+
+def forest_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the saved and loaded forest scored."""
+    model, test, _ = _forest(spark, sf_dir)
+    return _supports(models.score(model, test))
+
+
+def forest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the forest, from its node table and its importances, which are shares of one."""
+    model, _, path = _forest(spark, sf_dir)
+    gains = models.importance(spark, model, 1000)
+    whole = gains.agg(F.abs(F.sum("importance") - 1) < 1e-9).scalar()
+    splits = models.split_counts(spark, model, path).select("feature", (F.col("splits") >= 0).alias("counted"))
+    return gains.join(splits, "feature").select("feature", (F.col("counted") & whole).alias("known"))
+
+
+def boosted_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What early-stopped boosting scored, and whether the rounds it kept are the best of those it tried."""
+    model, test = _boosted(spark, sf_dir)
+    losses, kept = model.about["losses"], model.about["rounds_kept"]
+    is_best = losses[kept - 1] == min(losses) and (len(losses) == 200 or len(losses) == kept + 20)
+    return _supports(models.score(model, test)).withColumn("best_prefix", F.lit(is_best))
+
+
 def boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early-stopped boosting: fold 0 of the training rows decides when to stop; with the rounds tried and kept."""
-    train, test = _split(spark, sf_dir)
-    marked = features.fold_features(train).withColumn("held_out", F.col("fold") == 0)
-    model = models.fit_boosted(_written(spark, marked), validation="held_out")
+    model, test = _boosted(spark, sf_dir)
     report = metrics.class_report(metrics.pair_counts(models.score(model, test), "target", "predicted"))
     return report.withColumns({n: F.lit(model.about[n]) for n in ("rounds_tried", "rounds_kept")})
 
@@ -109,14 +150,37 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.comparison(spark, results).drop("cv_seconds")
 
 
+_searches: dict[tuple[str, str], list[models.Trial]] = {}
+
+
+def _searched(spark: SparkSession, sf_dir: str) -> list[models.Trial]:
+    """All random trials, made once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _searches:
+        train, _ = _split(spark, sf_dir)
+        _searches[key] = models.search(models.tuning_folds(train, features.TUNE_ROWS), models.draw_boost_params(TRIALS))
+    return _searches[key]
+
+
 def search_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All random trials, pruned ones marked, and the best finished score so far."""
-    train, _ = _split(spark, sf_dir)
-    trials = models.search(models.tuning_folds(train, features.TUNE_ROWS), models.draw_boost_params(TRIALS))
-    table = models.trial_table(spark, trials)
+    table = models.trial_table(spark, _searched(spark, sf_dir))
     return table.join(running_max(table, "trial", "finished_f1", "best_so_far").drop("finished_f1"), "trial")
 
 
+def search_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each trial's parameters are in their ranges, and what it reports fits its end."""
+    ranges = {
+        "leaves": (15, 300), "depth": (3, 12), "min_leaf": (10, 200), "rounds": (100, 400), "step": (0.005, 0.3), "feature_share": (0.4, 1.0),
+        "row_share": (0.4, 1.0), "resample": (1, 10), "l1": (1e-8, 10.0), "l2": (1e-8, 10.0), "min_gain": (0.0, 0.5),
+    }
+    table = search_history(spark, sf_dir)
+    fits = (F.col("pruned") == F.col("finished_f1").isNull()) & F.col("macro_f1").between(0, 1) & (F.col("rounds_kept") <= F.col("rounds"))
+    ahead = F.coalesce(F.col("finished_f1") <= F.col("best_so_far"), F.lit(True))
+    in_ranges = F.forall(F.array(*[F.col(name).between(low, high) for name, (low, high) in ranges.items()]), lambda x: x)
+    return table.select("trial", in_ranges.alias("in_ranges"), (fits & ahead).alias("consistent"))
+
+
 _RULE = """
 with pairs as (select energy_rating_current as actual, energy_rating_potential as predicted from stg
   where energy_rating_current is not null),
@@ -272,6 +336,36 @@ select (select target from c order by n desc, target desc limit 1) as majority_c
             "features",
         ),
     ),
+    "forest_support": (
+        forest_support,
+        query(
+            f"""select target as band, cast(count(*) as bigint) as support, true as all_scored
+from ({_rank_sql("target, place < round(whole * 0.2) as is_test")}) t where is_test group by 1""",
+            "features",
+        ),
+    ),
+    "forest_features": (
+        forest_features,
+        query(
+            f"""with train as (select f.* from features f join ({_rank_sql("certificate_id, place < round(whole * 0.2) as is_test")}) t
+  on f.certificate_id = t.certificate_id where not is_test)
+select feature, true as known from (select 'floor_area_sqm' as feature union all select 'construction_age_band'
+  union select concat('Fuel: ', main_fuel) from train union select concat('Wall: ', wall_type) from train) f""",
+            "features",
+        ),
+    ),
+    "boosted_support": (
+        boosted_support,
+        query(
+            f"""select target as band, cast(count(*) as bigint) as support, true as all_scored, true as best_prefix
+from ({_rank_sql("target, place < round(whole * 0.2) as is_test")}) t where is_test group by 1""",
+            "features",
+        ),
+    ),
+    "search_checks": (
+        search_checks,
+        "select cast(trial as integer) as trial, true as in_ranges, true as consistent from (select unnest(range(30)) as trial) t",
+    ),
     "random_forest": (forest_report, None),
     "ml_importance": (forest_importance, None),
     "split_importance": (forest_split_counts, None),

@@ -13,6 +13,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from joulemart import constants as K
 from joulemart.operators import quality
 from joulemart.oracle import mean, query, rnd
 from joulemart.plans import checks, reports
@@ -231,6 +232,46 @@ _NATION = "cast(split_part(local_authority, '_', 2) as integer)"
 _QUARTER = "split_part(local_authority, '_', 3)"
 
 
+def _outline_sql(tolerance: float) -> str:
+    """Vertices of every boundary ring before and after simplification, span by span."""
+    away = (
+        "list_transform(range(first + 1, last), lambda i: case when length > 0"
+        " then abs(cx * (pts[i][2] - fy) - cy * (pts[i][1] - fx)) / length"
+        " else sqrt((pts[i][1] - fx) ** 2 + (pts[i][2] - fy) ** 2) end)"
+    )
+    return f"""
+with recursive corners as (
+  select c_nationkey as n, c_custkey % 4 as q, c_custkey % 360 as degree, 1 + max(c_acctbal) / 20000 as radius
+  from customer where c_nationkey % 7 <> 3 and c_nationkey <> 24 group by 1, 2, 3
+), outers as (
+  select n, q, list([round(n + radius * cos(radians(degree)), 5), round(q + radius * sin(radians(degree)), 5)] order by degree) as open
+  from corners group by 1, 2
+), rings as (
+  select concat('E', n, q) as lad_code, case when n % 5 = 1 then 1 else 0 end as polygon_no, list_concat(open, open[1:1]) as pts from outers
+  union all select concat('E', n, q), 0, list_concat(open, open[1:1])[1:3] from outers where n % 5 = 1
+), spans as (
+  select lad_code, polygon_no, pts, 1 as first, len(pts) as last from rings where len(pts) >= 3
+  union all
+  select lad_code, polygon_no, pts, case when side = 0 then first else split end, case when side = 0 then split else last end
+  from (
+    select *, first + list_position(far, list_max(far)) as split from (
+      select *, {away} as far from (
+        select *, pts[first][1] as fx, pts[first][2] as fy, pts[last][1] - pts[first][1] as cx, pts[last][2] - pts[first][2] as cy,
+          sqrt((pts[last][1] - pts[first][1]) ** 2 + (pts[last][2] - pts[first][2]) ** 2) as length
+        from spans where last - first >= 2
+      ) a
+    ) b where list_max(far) > {tolerance}
+  ) c cross join (values (0), (1)) sides(side)
+), kept as (
+  -- a span that is split becomes two, so that of s rows (s + 1) / 2 are left, with as many inner ends
+  select lad_code, polygon_no, (count(*) + 1) // 2 + 1 as n from spans group by 1, 2
+)
+select r.lad_code as lad_code, cast(r.polygon_no as integer) as polygon_no, cast(0 as integer) as ring_no, cast(len(r.pts) as integer) as n_before,
+  cast(case when k.n >= 4 then k.n else len(r.pts) end as integer) as n_after
+from rings r left join kept k on r.lad_code = k.lad_code and r.polygon_no = k.polygon_no
+"""
+
+
 def _check(dataset: str, check: str, column: str, failed: str, rows: str, source: str, passed: str | None = None) -> str:
     return (
         f"select '{dataset}' as dataset, '{check}' as \"check\", '{column}' as \"column\","
@@ -357,7 +398,7 @@ select concat('E', n, q) as lad_code, concat(' la_', n, '_', q, ' ') as lad_name
 from c
 """,
     ),
-    "polyline_simplify": (simplified, None),
+    "polyline_simplify": (simplified, _outline_sql(0.05)),
     "lookup_map_join": (
         lambda spark, d: match_districts(_figures(spark, d), features(spark, d)),
         query(
@@ -370,7 +411,18 @@ from c
         lambda spark, d: unmatched_districts(_figures(spark, d), features(spark, d)),
         query(f"select f.* from ({_FIGURES}) f where {_NATION} % 7 = 3", "retrofit"),
     ),
-    "la_map": (district_map, None),
+    "la_map": (
+        district_map,
+        query(
+            f"""
+select f.*, o.lad_code, o.n_vertices,
+  least(greatest((f.avg_efficiency - {K.DISTRICT_SCALE[0]}) / ({K.DISTRICT_SCALE[1]} - {K.DISTRICT_SCALE[0]}), 0), 1) as colour
+from ({_FIGURES}) f join (select lad_code, max(n_after) as n_vertices from ({_outline_sql(K.OUTLINE_TOLERANCE)}) s group by 1) o
+  on o.lad_code = concat('E', {_NATION}, {_QUARTER})
+""",
+            "retrofit",
+        ),
+    ),
     "dq_report": (quality_report, _quality_sql()),
     "check_unique_combination": (
         line_key_check,

@@ -87,6 +87,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
+#: More rows than this are never sent to every task.
+BROADCAST_ROWS = 500_000
+
+
 def sent_if_few(df: DataFrame, most: int) -> DataFrame:
     """df, to be sent to every task in a join if it has at most so many rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    few = most <= BROADCAST_ROWS and df.limit(most + 1).count() <= most
+    return F.broadcast(df) if few else df
