@@ -2,7 +2,8 @@
 
 Greedy searches from fixed start nodes propose neighbours for every node; relaxed distance pruning keeps
 diverse ones. A query's beam runs over the graph of every shard, and what it ends with is ranked by cosine
-in double precision.
+in double precision. In every shard, sampled queries of each slice are held against a scan: the beam widens
+until it finds enough of their neighbours.
 """
 
 from __future__ import annotations
@@ -14,13 +15,20 @@ from pyspark.sql import functions as F
 
 from joulemart.llm import graphs as g
 from joulemart.llm.components import written
-from joulemart.llm.vector_tables import is_usable, matrix, met_by_all, shard_count, vector_classes, with_shard
+from joulemart.llm.vector_tables import check_lengths, is_usable, matrix, met_by_all, shard_count, vector_classes, with_shard
 
 DEGREE = 36
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 96
 SLACK = 1.2
 STARTS = 8
+#: Queries of a slice that a shard's beam is audited with, the share of their neighbours it must find, and the
+#: widest beam; where that finds less, the shard is scanned.
+AUDIT_QUERIES = 128
+LEAST_RECALL = 0.98
+WIDEST = 1024
+#: Similarities that a scan holds at a time.
+SCAN_CELLS = 1 << 24
 
 
 def build_graph(vectors: np.ndarray, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +57,41 @@ def search_graph(vectors: np.ndarray, edges: np.ndarray, starts: np.ndarray, que
     return g.beam_search(vectors, edges, queries, entry, width)
 
 
+def scan(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k nodes most similar to each query, and all as similar as the last of them up to rounding."""
+    out, step = [], max(1, SCAN_CELLS // max(1, len(vectors)))
+    for low in range(0, len(queries), step):
+        sims = queries[low : low + step] @ vectors.T
+        least = np.partition(sims, -k, 1)[:, -k] if k < len(vectors) else np.full(len(sims), -np.inf)
+        out += [np.flatnonzero(row >= edge - 1e-6) for row, edge in zip(sims, least)]
+    return out
+
+
+def audited_width(vectors: np.ndarray, edges: np.ndarray, starts: np.ndarray, queries: np.ndarray, k: int, width: int) -> int:
+    """The smallest beam, from `width` on by doubling, that finds enough of what a scan finds for sampled queries;
+    the number of nodes, which stands for a scan, if none does."""
+    sample = queries[np.unique(np.linspace(0, len(queries) - 1, AUDIT_QUERIES).astype(int))]
+    near = scan(vectors, sample, k)
+    while width <= WIDEST and width < len(vectors):
+        nodes, _ = search_graph(vectors, edges, starts, sample, width)
+        found = sum(min(k, np.isin(known, row).sum()) for known, row in zip(near, nodes))
+        if found >= LEAST_RECALL * min(k, len(vectors)) * len(sample):
+            return width
+        width *= 2
+    return len(vectors)
+
+
+def find(vectors: np.ndarray, edges: np.ndarray, starts: np.ndarray, queries: np.ndarray, k: int, width: int) -> list[np.ndarray]:
+    """Nodes near each query: those of an audited beam, or of a scan where no beam passes the audit."""
+    if not len(queries):
+        return []
+    width = audited_width(vectors, edges, starts, queries, k, width)
+    if width >= len(vectors):
+        return scan(vectors, queries, k)
+    nodes, _ = search_graph(vectors, edges, starts, queries, width)
+    return [row[row >= 0] for row in nodes]
+
+
 def _build(group: pa.Table) -> pa.Table:
     raw = matrix(group.column("vec"))
     edges, starts = build_graph(g.unit_rows(raw))
@@ -70,11 +113,11 @@ def _search(k: int, width: int):
             raw = np.frombuffer(row["vectors"], np.float32).reshape(len(ids), -1)
             edges = np.frombuffer(row["edges"], np.int32).reshape(len(ids), -1).astype(np.int64)
             vectors = matrix(right.column("vec"))
-            nodes, _ = search_graph(g.unit_rows(raw), edges, np.frombuffer(row["starts"], np.int32), g.unit_rows(vectors), max(width, 2 * k))
+            nodes = find(g.unit_rows(raw), edges, np.frombuffer(row["starts"], np.int32), g.unit_rows(vectors), k, max(width, 2 * k))
             wide, queries = raw.astype(np.float64), vectors.astype(np.float64)
             lengths = np.sqrt((wide * wide).sum(1))
             for i, qid in enumerate(np.asarray(right.column("qid"), np.int64)):
-                found = nodes[i, nodes[i] >= 0]
+                found = nodes[i]
                 exact = (wide[found] @ queries[i]) / (lengths[found] * np.sqrt(queries[i] @ queries[i]))
                 # Ties at the last place all go on; keys decide between them later.
                 if len(found) > k:
@@ -96,7 +139,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, width: int = SEA
     ties to the smaller key; all rows found, if fewer than k. Vectors that are null, zero or hold null or
     non-finite components take no part, on either side, nor do null keys. Equal vectors are one node of a
     graph, and the k + 1 smallest keys of each stand for it. Rows that repeat a query's key ask once. All
-    usable vectors must have the same length. Empty tables give no rows.
+    usable vectors must have the same length (ValueError). Empty tables give no rows.
     """
     vectors, queries = vectors.filter(F.col(key).isNotNull()), queries.filter(F.col(key).isNotNull())
     classes = vector_classes(vectors, key, vector)
@@ -106,6 +149,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, width: int = SEA
     )
     asked = queries.filter(is_usable(vector)).select(F.col(key).cast("long").alias("qid"), F.col(vector).cast("array<float>").alias("vec"))
     asked = written(asked.dropDuplicates(["qid"]), "queries")
+    check_lengths(asked, "vec", check_lengths(classes, "vec"))
     left, right = met_by_all(written(built, "graphs"), asked, shards, asked.count())
     found = left.groupBy("shard", "slice").cogroup(right.groupBy("shard", "slice")).applyInArrow(
         _search(k + 1, width), "qid bigint, cid bigint, score double"

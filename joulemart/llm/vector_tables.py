@@ -28,7 +28,17 @@ def vector_classes(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """Distinct usable vectors, written once: cid, vec (array<float>), size, least (smallest key), shard."""
     good = vectors.filter(is_usable(vector)).select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<float>").alias("vec"))
     classes = good.groupBy("vec").agg(F.count("vec").alias("size"), F.min("key").alias("least"))
-    return written(classes.select(F.monotonically_increasing_id().alias("cid"), "vec", "size", "least"), "vector-classes")
+    classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), "vec", "size", "least"), "vector-classes")
+    check_lengths(classes, "vec")
+    return classes
+
+
+def check_lengths(vectors: DataFrame, vector: str, length: int | None = None) -> int | None:
+    """The length of all vectors, or of those given before; an error if they differ."""
+    short, long = vectors.agg(F.min(F.size(vector)), F.max(F.size(vector))).first()
+    if short != long or (length is not None and short is not None and short != length):
+        raise ValueError(f"vectors of {short} to {long} components" + (f", others of {length}" if length is not None else ""))
+    return short if length is None else length
 
 
 def shard_count(classes: DataFrame) -> int:

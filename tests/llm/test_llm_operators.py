@@ -242,6 +242,28 @@ def test_nearest_vectors(spark):
     assert {r["rank"] for r in graph_search.nearest(vectors.filter("vec_id < 4"), queries, 5).filter("query_id = 7").collect()} == {1, 2, 3}
 
 
+@pytest.mark.parametrize("nodes", [3_000, 12_000])
+def test_graph_search_is_audited(nodes):
+    random = np.random.default_rng(3)
+    vectors = graph_search.g.unit_rows(random.normal(size=(nodes, 64)))
+    queries = graph_search.g.unit_rows(random.normal(size=(300, 64)))
+    edges, starts = graph_search.build_graph(vectors)
+    best = np.argsort(-(queries @ vectors.T), 1)[:, :5]
+    recall = lambda found: np.mean([np.isin(b, f).mean() for b, f in zip(best, found)])
+    assert recall(graph_search.find(vectors, edges, starts, queries, 5, 96)) >= 0.97
+    # Without edges no beam finds anything, and the shard is scanned.
+    assert recall(graph_search.find(vectors, np.full_like(edges, -1), starts, queries, 5, 96)) == 1.0
+
+
+def test_vectors_of_unequal_length_are_refused(spark):
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0]), (3, None)], "vec_id long, embedding array<float>")
+    for run in (lambda: near_vectors.near_duplicates(table), lambda: graph_search.nearest(table, table)):
+        with pytest.raises(ValueError, match="components"):
+            run()
+    with pytest.raises(ValueError, match="components"):
+        graph_search.nearest(table.filter("vec_id = 1"), table.filter("vec_id = 2"))
+
+
 def test_vectors_of_the_given_tables(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     wide = np.array([v for _, v in rows])
