@@ -153,7 +153,7 @@ def link_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     arguments = F.when(F.col("role") == "system", F.to_json(F.struct(F.col("text").alias("prompt")))).otherwise(
         F.to_json(F.struct(words.alias("words"), F.col("text").alias("prompt"), F.when(F.col("turn") >= 2, F.col("turn") - 2).alias("follows")))
     )
-    calls = turns.filter("role <> 'assistant'").select(
+    calls = turns.filter("not role <=> 'assistant'").select(
         at(F.col("turn")).alias("call_id"), F.col("role").alias("name"), arguments.alias("arguments"), at(F.col("turn") - 2).alias("depends_on")
     )
     results = turns.filter("role = 'assistant'").select(
@@ -166,8 +166,8 @@ TOOL_SQL = r"""
 with recursive calls as (
     select conv_id, turn, 'c' || conv_id || '-' || turn as call_id, role as name, text,
         len(string_split_regex(text, '[ 
-]+')) as words
-    from conversations where role <> 'assistant'
+]+')) as words, true as is_call
+    from conversations where role is distinct from 'assistant'
 ), chains as (
     select c.conv_id, c.turn, 0 as depth from calls c
     where not exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2)
@@ -177,14 +177,15 @@ with recursive calls as (
     select 'c' || conv_id || '-' || (turn - 1) as call_id, turn as place, text as content from conversations where role = 'assistant'
 ), checked as (
     select c.*, h.depth, list_filter([
+        case when name is null or name not in ('system', 'user') then 'unknown tool' end,
         case when name = 'system' and length(text) > 400 then 'prompt: too long' end,
         case when name = 'user' and length(text) > 300 then 'prompt: too long' end,
         case when name = 'user' and words > 1000 then 'words: too large' end,
-        case when name = 'user' and words < 10 then 'words: too small' end], lambda x: x is not null) as found
+        case when name = 'user' and words < 10 then 'words: too small' end], lambda x: x is not null).list_sort() as found
     from calls c join chains h using (conv_id, turn)
 )
 select call_id, name, place, depth, len(found)::int as n_problems, array_to_string(found, '; ') as problems,
-    '{"arguments":' || case when name is null then 'null' when name = 'system' then '{"prompt":' || to_json(text)::varchar || '}'
+    '{"arguments":' || case when is_call is null then 'null' when name = 'system' then '{"prompt":' || to_json(text)::varchar || '}'
         else '{' || case when turn >= 2 then '"follows":' || (turn - 2) || ',' else '' end || '"prompt":' || to_json(text)::varchar || ',"words":' || words || '}' end
     || ',"content":' || coalesce(to_json(content)::varchar, 'null') || ',"id":' || to_json(call_id)::varchar || ',"name":' || coalesce(to_json(name)::varchar, 'null')
     || ',"valid":' || coalesce((len(found) = 0)::varchar, 'null') || '}' as message

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from joulemart.llm.components import written
 
+#: Up to so many ids that different calls share are sent to every task.
+BROADCAST_IDS = 100_000
 #: Kind of a parameter -> what schema_of_variant calls values of that kind.
 KINDS = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",)}
 
@@ -67,30 +69,38 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dic
     `calls` has call_id, name, arguments (JSON text) and depends_on (a call_id or null), `results` has call_id,
     place (any orderable value) and content. Gives call_id, name, place, depth, n_problems, problems and
     message: compact JSON with keys in order, {"arguments", "content", "id", "name", "valid"}, nulls as
-    null, arguments that are no JSON object as null.
+    null, arguments that are no JSON object as null. A call without a name is one of an unknown tool.
 
     A call without a result has one row with a null place; a result without a call has one with a null
-    name, and so have rows with a null id. Of calls with equal ids the one with the smallest (name,
-    arguments, depends_on) counts, and all results of that id are linked to it. Equal results stay apart.
+    name, and so have rows with a null id. Of different calls with equal ids the one with the smallest (name,
+    arguments, depends_on) is linked to all results of that id and counts for those that depend on it; each
+    of the others has one row without place and depth, and `id of another call` among its problems. Calls
+    that repeat all three are one. Equal results stay apart.
     Rows of a partition are in order of depth, so that no call comes before one it depends on. Other
     columns are not read.
     """
     calls = calls.select("call_id", F.struct("name", "arguments", "depends_on").alias("call"))
-    given = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("call").alias("call"))
-    given = written(given.select("call_id", "call.*").union(calls.filter("call_id is null").select("call_id", "call.*")), "calls")
+    first = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("call").alias("call"), F.max("call").alias("last"))
+    first = written(first.unionByName(calls.filter("call_id is null"), allowMissingColumns=True), "calls")
+    given = first.select("call_id", "call.*")
     named = given.filter("call_id is not null")
+    shared = first.filter("call_id is not null and not call <=> last").select("call_id", F.col("call").alias("chosen"))
+    shared = F.broadcast(shared) if shared.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else shared
+    others = calls.join(shared, "call_id").filter("not call <=> chosen").select("call_id", "call").distinct().select("call_id", "call.name", "call.arguments")
     depths = call_depths(named)
-    placed = named.join(depths.hint("shuffle_hash"), "call_id").select("call_id", "name", "arguments", "depth")
+    placed = named.join(depths.hint("shuffle_hash"), "call_id").select("call_id", "name", "arguments", "depth", F.lit(True).alias("is_call"))
     results = results.select("call_id", "place", "content")
     answered = results.join(placed.hint("shuffle_hash"), "call_id", "left")
-    rest = placed.join(results.select("call_id").distinct(), "call_id", "left_anti").union(
+    rest = placed.drop("is_call").join(results.select("call_id").distinct(), "call_id", "left_anti").union(
         given.filter("call_id is null").select("call_id", "name", "arguments", F.lit(0).alias("depth"))
-    )
-    columns = ["call_id", "name", "arguments", "depth", "place", "content"]
+    ).withColumns({"is_call": F.lit(True), "is_other": F.lit(False)})
+    rest = rest.unionByName(others.withColumns({"is_call": F.lit(True), "is_other": F.lit(True)}), allowMissingColumns=True)
+    columns = ["call_id", "name", "arguments", "depth", "place", "content", "is_call"]
     linked = answered.select(*columns).unionByName(rest, allowMissingColumns=True)
     parsed = F.try_parse_json("arguments")
     linked = linked.withColumn("__arguments", F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed))
-    linked = linked.withColumn("problems", F.when(F.col("name").isNotNull(), problems(F.col("name"), F.col("__arguments"), schemas)))
+    found = F.when(F.col("is_call"), problems(F.col("name"), F.col("__arguments"), schemas))
+    linked = linked.withColumn("problems", F.when(F.col("is_other"), F.array_append(found, F.lit("id of another call"))).otherwise(found))
     text = lambda c: F.coalesce(F.expr(f"substring(to_json(named_struct('v', {c})), 6, length(to_json(named_struct('v', {c}))) - 6)"), F.lit("null"))
     quoted = lambda c: F.when(F.col(c).isNull(), F.lit("null")).otherwise(text(c))
     message = F.concat(

@@ -344,6 +344,10 @@ def test_tool_calls(spark):
             (None, "system", '{"prompt": "p"}', None, 1),
             ("a", "user", '{"words": 20, "prompt": "hi", "zeta": [1, {"b": 1, "a": 2}]}', None, 2),
             ("h", None, None, None, 1),
+            ("i", None, "{}", "a", 1),
+            ("b", "user", '{"words": 50, "prompt": "y"}', None, 3),
+            ("b", "user", '{"words": 50, "prompt": "y"}', None, 4),
+            ("b", "zzz", None, None, 5),
         ],
         "call_id string, name string, arguments string, depends_on string, place int",
     )
@@ -356,6 +360,8 @@ def test_tool_calls(spark):
     expected = [
         ("a", 2, 0, ""), ("a", 3, 0, ""), ("b", 4, 1, "words: too small"), ("b", 4, 1, "words: too small"),
         ("c", None, 2, "prompt: missing; words: no integer"), ("d", None, 0, "arguments are no object; unknown tool"),
+        ("i", None, 1, "unknown tool"), ("b", None, None, "id of another call"),
+        ("b", None, None, "arguments are no object; unknown tool; id of another call"),
         ("e", None, None, "arguments are no object"), ("f", None, None, "prompt: missing"), ("g", None, None, ""), ("x", 5, None, None),
     ]
     assert found == sorted(expected, key=str)
@@ -363,3 +369,17 @@ def test_tool_calls(spark):
     assert message == '{"arguments":{"prompt":"hi","words":20,"zeta":[1,{"a":2,"b":1}]},"content":"say \\"so\\"\\n","id":"a","name":"user","valid":true}'
     assert sum(r["call_id"] is None for r in rows) == 2
     assert tool_calls.link_tool_calls(calls.limit(0), results.limit(0), TOOLS).count() == 0
+
+
+def test_turns_without_a_role_are_calls_of_an_unknown_tool(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(1, 0, "system", "be kind"), (1, 1, None, "hello there"), (1, 2, "user", "one two three four five six seven eight nine ten"), (1, 3, "assistant", "yes"), (2, 0, None, "x"), (2, 1, "assistant", None)]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    run, sql = QUERIES["op5_tool_call_links"]
+    found = run(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{path}/*.parquet'")
+    expected = con.execute(f"select {', '.join(found.columns)} from ({sql.strip()})").fetchall()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert sum("unknown tool" in (r["problems"] or "") for r in found.collect()) == 2
