@@ -29,8 +29,11 @@ from joulemart.sources.certificate_rows import raw_certificates  # noqa: E402
 from joulemart.sources.tables import Warehouse  # noqa: E402
 
 
-#: Landing, streams, checks, the map and small model fits.
-WHOLE_QUERIES = ("csv_glob_scan", "append_stream", "incremental_latest", "dq_report", "la_map", "random_forest", "boosted_trees")
+#: Landing, replacing, streams, checks, the map and model fits.
+WHOLE_QUERIES = (
+    "csv_glob_scan", "append_stream", "incremental_latest", "ctas_overwrite", "five_number_continuous", "dq_report", "la_map",
+    "random_forest", "boosted_trees", "hyperparameter_search",
+)
 
 
 def report_queries(star, retrofit):
