@@ -33,10 +33,12 @@ def mean(name: str) -> Column:
 
 
 def facts_by_property(star: Star, facts: DataFrame, measures: dict[str, Column], columns: list[str]) -> DataFrame:
-    """Fact sums per property, with columns of the property attached."""
+    """Fact sums per property, with columns of the property attached.
+
+    Sums are one row a property and lie by its number already, so they are joined by that and stay where they are.
+    """
     sums = sums_per(facts.filter(F.col("uprn").isNotNull()), ["uprn"], measures)
-    keyed = sums.withColumn("property_id", surrogate_key(F.col("uprn"))).drop("uprn")
-    return with_property(keyed, star, columns)
+    return sums.join(star.properties.select("uprn", *columns), "uprn")
 
 
 def construction_age(star: Star) -> DataFrame:
@@ -71,8 +73,10 @@ def regional_means(star: Star) -> DataFrame:
         "gap": potential - current,
     }
     sums = sums_per(star.facts.filter(F.col("postcode").isNotNull()), ["postcode"], measures)
+    # One row a postcode, joined by it: the sums are not shuffled again.
+    places = star.locations.select("postcode", "county", "local_authority", "post_town")
     return (
-        with_location(sums, star, ["county", "local_authority", "post_town"])
+        sums.join(places, "postcode")
         .groupBy("county", "local_authority", "post_town")
         .agg(
             total_n().alias("total_certificates"),
