@@ -65,7 +65,12 @@ def test_writers_at_the_same_time_lose_nothing(spark, tables):
     assert sorted(numbers) == [1, 2, 3, 4, 5, 6]
     assert [tables.read(f"t{i}").count() for i in range(6)] == [1, 2, 3, 4, 5, 6]
     assert not tables._files().create(tables._commit_path(3), "{}")
-    assert [n for n in tables._files().names(f"{tables.root}/_commits") if not n.isdigit()] == []
+    with ThreadPoolExecutor(8) as pool:  # of many that want one name, one gets it
+        for turn in range(40):
+            path = f"{tables.root}/_commits/try-{turn}"
+            won = list(pool.map(lambda i: tables._files().create(path, str(i)), range(8)))
+            assert sum(won) == 1 and tables._files().read(path) == str(won.index(True))
+    assert [n for n in tables._files().names(f"{tables.root}/_commits") if not n.isdigit() and not n.startswith("try")] == []
 
 
 def test_vacuum_keeps_what_is_named(spark, tables):
