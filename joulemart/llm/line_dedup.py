@@ -65,9 +65,9 @@ def drop_shared_lines(docs: DataFrame, least_chars: int = 20, least_docs: int =
     too, smaller than all others. A null or empty text is one empty line, and so has no key. Keys are told
     apart by 128 bits of hash. An empty table gives no rows.
 
-    Only hashes are shuffled to find the lines; of the texts, each once, and not at all where the places of
-    lines to drop are few. A line that all documents hold is one row a task by then; joined back, its
-    documents are split by adaptive execution.
+    Only hashes are shuffled to find the lines; each text is shuffled once, to meet the places of its lines to
+    drop. A line that all documents hold is one row a document when its documents are counted, and one row a
+    task when the hashes are; joined back, its documents are split by adaptive execution.
     """
     documents = _documents(docs, key)
     shared = written(shared_lines(docs, least_chars, least_docs, key).select("h1", "h2", "keeper"), "shared-lines")
