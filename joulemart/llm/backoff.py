@@ -1,19 +1,18 @@
-"""Stupid-backoff bigram scores of documents against the counts of the whole corpus.
+"""Stupid-backoff scores of documents against the n-gram counts of all other documents.
 
-Count tables are parted by hash and never leave their part; documents' n-grams come to them. Rows carry
-the n-grams of a run of documents (a block) that fall into one part, packed:
+Texts are cut into blocks of whole documents. N-grams of all orders are hashed as a whole, so that a
+frequent word crowds nothing, and the count table is parted by ranges of the hash:
 
-1. Words are counted by the part of the word.
-2. Bigrams go to the part of their first word, where bigrams and first words are counted and the bigrams
-   seen often enough are scored. A first word that would crowd a part is dealt out by both words; its
-   count then comes from step 1.
-3. The other bigrams go on to the part of their second word and are scored by its count.
-4. Sums return to their block and become one row a document.
+1. A block sends each part its distinct n-grams there, with their numbers. They are sorted, so a
+   few bits each beyond the part's share of the hash are enough.
+2. A part sums the numbers and answers every block: how often others have each n-gram sent.
+3. The answers meet the block's texts, which are scored and summed per document.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,282 +22,244 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from joulemart.llm import text_hash
-from joulemart.llm.components import written
 
-#: Words of a part, on average; a task holds one part.
-PART_WORDS = 1_000_000
-#: Bytes of text of a block: the more, the fewer times a word travels.
+#: N-grams of a part, on average; a task holds one part.
+PART_GRAMS = 3_000_000
+#: Bytes of text of a block: the more, the fewer times an n-gram travels.
 BLOCK_BYTES = 4 << 20
-#: Hash bits of a word. Among ten million words about one has another's hash.
-HASH_BITS = 48
-_END = np.uint64((1 << HASH_BITS) - 1)  # follows the last word of a document
-_PAYLOADS = ("keys", "rows", "low", "high", "first", "runs", "n", "value")
-_SCHEMA = "kind int, slot int, block bigint, " + ", ".join(f"{c} binary" for c in _PAYLOADS)
-#: Kinds of rows: what is known of a block's documents, its n-grams in a part, its sums.
-_HEAD, _GRAMS, _SUMS = 0, 1, 2
-
-
-def _row(kind: int, slot: int, block: int, **payloads: np.ndarray | bytes) -> dict:
-    return {"kind": kind, "slot": slot, "block": block} | {k: v if isinstance(v, bytes) else v.tobytes() for k, v in payloads.items()}
-
-
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    kinds = {"kind": pa.int32(), "slot": pa.int32(), "block": pa.int64()}
-    return pa.RecordBatch.from_pydict({c: pa.array([r.get(c) for r in rows], kinds.get(c, pa.binary())) for c in (*kinds, *_PAYLOADS)})
+#: Rows of a block: they are numbered by 16 bits.
+BLOCK_ROWS = 1 << 16
+#: Hash bits: at least so many, and so many more than number the n-grams of the corpus.
+LEAST_BITS, SPARE_BITS = 52, 20
+#: Stands for a null key on the way.
+_NO_KEY = -(1 << 63)
+_GRAMS = "slot int, block bigint, mark bigint, n int, grams binary, counts binary"
+_ANSWERS = "slot int, block bigint, mark bigint, others binary"
+_TEXTS = "block bigint, mark bigint, size bigint, keys binary, offsets binary, data binary"
 
 
-def _cut_hash(hashes: np.ndarray) -> dict[str, np.ndarray]:
-    return {"low": hashes.astype("<u4"), "high": (hashes >> np.uint64(32)).astype("<u2")}
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Blocks of a task: (number, crc of the text, keys, lower-cased text, offsets of the rows)."""
+    part, count = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        for low, data, offsets in text_hash.text_chunks(batch, size=BLOCK_BYTES):
+            for at in range(0, len(offsets) - 1, BLOCK_ROWS):
+                own = offsets[at : at + BLOCK_ROWS + 1]
+                lowered = text_hash.LOWER[data[own[0] : own[-1]]]
+                keys = np.asarray(batch.column(0).slice(low + at, len(own) - 1).cast(pa.int64()), np.int64)
+                yield (part << 32) + count, zlib.crc32(lowered.tobytes()), keys, lowered, own - own[0]
+                count += 1
 
 
-def _whole_hash(row: dict) -> np.ndarray:
-    return np.frombuffer(row["low"], "<u4").astype(np.uint64) | (np.frombuffer(row["high"], "<u2").astype(np.uint64) << np.uint64(32))
+def _grams_of(data: np.ndarray, offsets: np.ndarray, order: int, bits: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Hashes of all n-grams, order after order; for each order the places of their last words; each row's first word."""
+    starts, ends, first = text_hash.word_bounds(data, offsets, text_hash.WHITE_SPACE)
+    words = text_hash.range_hashes(text_hash.prefix_hashes(data), starts, ends)
+    within = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
+    hashes, places, gram = [], [], np.zeros(len(words), np.uint64)
+    for n in range(1, order + 1):
+        before = np.zeros(len(words), np.uint64)
+        before[1:] = gram[:-1]
+        gram = text_hash.mix(before * np.uint64(text_hash._ROOT) + words + np.uint64(n))
+        place = np.flatnonzero(within >= n - 1)
+        hashes.append(gram[place] >> np.uint64(64 - bits))
+        places.append(place)
+    return np.concatenate(hashes), places, first
 
 
-def _counts(n: np.ndarray) -> bytes:
-    """Numbers with their high halves, nearly all zero, apart: that packs well."""
-    return n.astype("<u2").tobytes() + (n >> 16).astype("<u2").tobytes()
+def _edges(slots: int, bits: int) -> list[int]:
+    """Where the parts begin in the range of hashes, and its end."""
+    return [-(-(s << bits) // slots) for s in range(slots + 1)]
 
 
-def _counts_of(row: dict) -> np.ndarray:
-    low, high = np.frombuffer(row["n"], "<u2").astype(np.int64).reshape(2, -1)
-    return low | high << 16
+def _low_bits(width: int, n: int) -> int:
+    """How many bits of sorted numbers below width are written as they are: a multiple of four."""
+    return max(0, 4 * round(math.log2(max(1, width / n)) / 4))
 
 
-def _slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
-    return (text_hash.mix(hashes) % np.uint64(slots)).astype(np.int64)
+def pack_sorted(values: np.ndarray, width: int) -> bytes:
+    """Ascending numbers below width: the low bits of each, and the high ones as steps in a bit map."""
+    n, low = len(values), _low_bits(width, len(values))
+    steps = np.zeros((width >> low) + n + 1, np.uint8)
+    steps[(values >> np.uint64(low)).astype(np.int64) + np.arange(n)] = 1
+    out = values.astype("<u8").view(np.uint8).reshape(n, 8)[:, : low // 8].tobytes()
+    if low % 8:
+        halves = np.zeros(n + n % 2, np.uint8)
+        halves[:n] = (values >> np.uint64(low - 4)).astype(np.uint8) & 15
+        out += (halves[::2] | halves[1::2] << 4).tobytes()
+    return out + np.packbits(steps).tobytes()
 
 
-def _word_runs(batches: Iterator[pa.RecordBatch]):
-    """Runs of at most 65,536 rows: (block number, keys, word hashes, first word of each row)."""
-    part, count = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        for low, data, offsets in text_hash.text_chunks(batch, size=BLOCK_BYTES):
-            for at in range(0, len(offsets) - 1, 1 << 16):
-                own = offsets[at : at + (1 << 16) + 1]
-                lowered = text_hash.LOWER[data[own[0] : own[-1]]]
-                starts, ends, first = text_hash.word_bounds(lowered, own - own[0], text_hash.WHITE_SPACE)
-                words = text_hash.range_hashes(text_hash.prefix_hashes(lowered), starts, ends) >> np.uint64(64 - HASH_BITS)
-                yield (part << 32) + count, batch.column(0).slice(low + at, len(own) - 1), np.minimum(words, _END - np.uint64(1)), first
-                count += 1
+def unpack_sorted(packed: bytes, n: int, width: int) -> np.ndarray:
+    """The numbers that pack_sorted wrote."""
+    low = _low_bits(width, n)
+    data, at = np.frombuffer(packed, np.uint8), n * (low // 8)
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, : low // 8] = data[:at].reshape(n, low // 8)
+    out = whole.view("<u8").ravel().astype(np.uint64)
+    if low % 8:
+        pairs = data[at : at + (n + 1) // 2]
+        at += len(pairs)
+        halves = np.stack([pairs & 15, pairs >> 4], 1).ravel()[:n]
+        out |= halves.astype(np.uint64) << np.uint64(low - 4)
+    high = np.flatnonzero(np.unpackbits(data[at:])) - np.arange(n)
+    return out | high.astype(np.uint64) << np.uint64(low)
 
 
-def _count_words(slots: int):
-    """Task: the words of a run and their numbers, by part."""
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Numbers, most of them small: a byte each, those from 255 on again in full behind them."""
+    large = counts >= 255
+    raw = np.where(large, 255, counts).astype(np.uint8).tobytes() + counts[large].astype("<i8").tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, words, _ in _word_runs(batches):
-            distinct, n = np.unique(words, return_counts=True)
-            slot = _slot_of(distinct, slots)
-            order = np.argsort(slot, kind="stable")
-            distinct, n = distinct[order], n[order]
-            cuts = np.searchsorted(slot[order], np.arange(slots + 1))
-            yield _batch([
-                _row(_GRAMS, s, block, n=_counts(n[a:b]), **_cut_hash(distinct[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
-            ])
 
-    return run
+def unpack_counts(packed: bytes, n: int) -> np.ndarray:
+    """The n numbers that pack_counts wrote."""
+    raw = pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
+    counts = np.frombuffer(raw[:n], np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw[n:], "<i8")
+    return counts
 
 
-def _sum_words(group: pa.Table) -> pa.Table:
-    """Of one part: its words in ascending order, how often each occurs, and their sum."""
-    rows = group.to_pylist()
-    words = np.concatenate([_whole_hash(r) for r in rows])
-    n = np.concatenate([_counts_of(r) for r in rows])
-    distinct, at = np.unique(words, return_inverse=True)
-    counts = np.bincount(at, weights=n).astype(np.int64)
-    return pa.table({
-        "slot": pa.array([rows[0]["slot"]], pa.int32()),
-        "words": [distinct.tobytes()],
-        "counts": [counts.tobytes()],
-        "total": pa.array([int(counts.sum())], pa.int64()),
-    })
+def _rows(rows: list[tuple], **kinds: pa.DataType) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_pydict({name: pa.array(list(own), kind) for (name, kind), own in zip(kinds.items(), columns)})
 
 
-def _crowding(least: int):
-    """Task: the words of a part that occur at least so often."""
+_NUMBERS = {"slot": pa.int32(), "block": pa.int64(), "mark": pa.int64()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words, counts in zip(batch.column(0), batch.column(1)):
-                words, counts = np.frombuffer(words.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.int64)
-                many = counts >= least
-                yield pa.RecordBatch.from_pydict({"word": words[many].view(np.int64), "n": counts[many]})
 
-    return run
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: the number of its words."""
+    total = 0
+    for _, _, _, data, offsets in _blocks(batches):
+        total += len(text_hash.word_bounds(data, offsets, text_hash.WHITE_SPACE)[0])
+    yield pa.RecordBatch.from_pydict({"words": pa.array([total], pa.int64())})
 
 
-def _bigrams(slots: int, crowding):
-    """Task: distinct bigrams of each document of a run with their numbers, by part; and a head row."""
+def _send_grams(order: int, bits: int, slots: int):
+    """Task: the distinct n-grams of a block with their numbers, by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = crowding.value[0]
-        for block, keys, words, first in _word_runs(batches):
-            rows = len(first) - 1
-            count = np.diff(first)
-            lengths = pa.array(count, pa.int64())
-            out = [_row(_HEAD, block % slots, block, keys=np.stack([np.asarray(keys.cast(pa.int64()), np.int64), np.asarray(lengths)]))]
-            # The first word of a document follows nothing: it is scored by its own count.
-            begins = first[:-1][count > 0]
-            second = np.append(words[1:], _END) if len(words) else words
-            second[first[1:][count > 0] - 1] = _END
-            row = np.repeat(np.arange(rows), count)
-            order = np.lexsort((row, second, words))
-            a, b, row_of = words[order], second[order], row[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (row_of[1:] != row_of[:-1])
-            at = np.flatnonzero(new)
-            n = np.diff(at, append=len(a))
-            a, b, row_of = a[at], b[at], row_of[at]
-            is_hot = np.isin(a, hot)
-            slot = np.where(is_hot, _slot_of(a * np.uint64(31) + b, slots), _slot_of(a, slots))
-            order = np.lexsort((b, slot))
-            a, b, row_of, n = a[order], b[order], row_of[order], n[order]
-            cuts = np.searchsorted(slot[order], np.arange(slots + 1))
-            for s, (low, high) in enumerate(zip(cuts, cuts[1:])):
-                if high > low:
-                    firsts, of = np.unique(a[low:high], return_inverse=True)
-                    out.append(_row(
-                        _GRAMS, s, block, rows=row_of[low:high].astype("<u2"), n=_counts(n[low:high]),
-                        first=firsts.astype("<u4"), keys=(firsts >> np.uint64(32)).astype("<u2"),
-                        runs=of.astype("<u2" if len(firsts) <= 1 << 16 else "<u4"), **_cut_hash(b[low:high]),
-                    ))
-            begin_rows = np.flatnonzero(count > 0)
-            slot = _slot_of(words[begins], slots)
-            for s in np.unique(slot):
-                own = slot == s
-                # Without a first word: nothing to be counted, scored in the last step.
-                out.append(_row(_SUMS, int(s), block, rows=begin_rows[own].astype("<u2"), n=_counts(np.zeros(own.sum(), np.int64)), **_cut_hash(words[begins][own])))
-            yield _batch(out)
+        edges = _edges(slots, bits)
+        bounds = np.array(edges, np.uint64)
+        for block, mark, _, data, offsets in _blocks(batches):
+            distinct, n = np.unique(_grams_of(data, offsets, order, bits)[0], return_counts=True)
+            cuts = np.searchsorted(distinct, bounds)
+            yield _rows(
+                [
+                    (s, block, mark, b - a, pack_sorted(distinct[a:b] - bounds[s], edges[s + 1] - edges[s]), pack_counts(n[a:b]))
+                    for s, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()))
+                    if b > a
+                ],
+                **_NUMBERS, n=pa.int32(), grams=pa.binary(), counts=pa.binary(),
+            )
 
     return run
 
 
-def _sums(block: int, slot: int, rows: np.ndarray, value: np.ndarray, n: np.ndarray) -> dict:
-    """A row's sums of values and numbers in one part."""
-    own, at = np.unique(rows, return_inverse=True)
-    return _row(_SUMS, slot, block, rows=own.astype("<u2"), value=np.bincount(at, weights=value).astype("<f8"), n=_counts(np.bincount(at, weights=n).astype(np.int64)))
-
-
-def _score_bigrams(slots: int, crowding, min_count: int):
-    """Task, of one part: counts of bigrams and first words; sums of those seen; the rest, by second word."""
+def _answer(bits: int, slots: int):
+    """Of one part: for every block, how often other blocks have each of its n-grams."""
 
     def run(group: pa.Table) -> pa.Table:
-        hot, hot_counts = crowding.value
         rows = group.to_pylist()
-        out = [r for r in rows if r["kind"] != _GRAMS]
-        rows = [r for r in rows if r["kind"] == _GRAMS]
-        if rows:
-            b = np.concatenate([_whole_hash(r) for r in rows])
-            sizes = [len(r["rows"]) // 2 for r in rows]
-            a = np.concatenate([
-                _whole_hash({"low": r["first"], "high": r["keys"]})[np.frombuffer(r["runs"], f"<u{len(r['runs']) // size}")] for r, size in zip(rows, sizes)
-            ])
-            n = np.concatenate([_counts_of(r) for r in rows])
-            place = np.concatenate([np.frombuffer(r["rows"], "<u2") for r in rows])
-            _, at = np.unique(a, return_inverse=True)
-            of_first = np.bincount(at, weights=n)[at]
-            where = np.searchsorted(hot, a)
-            where[where == len(hot)] = 0
-            if len(hot):
-                of_first = np.where(hot[where] == a, hot_counts[where], of_first)
-            order = np.lexsort((b, a))
-            new = np.ones(len(a), bool)
-            new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-            of_both = np.empty(len(a))
-            of_both[order] = np.add.reduceat(n[order], np.flatnonzero(new)).astype(float)[np.cumsum(new) - 1]
-            seen, real = of_both >= min_count, b != _END
-            value = np.log(of_both) - np.log(of_first)
-            bounds = np.concatenate([[0], np.cumsum(sizes)])
-            for r, low, high in zip(rows, bounds, bounds[1:]):
-                part = slice(low, high)
-                some = seen[part] & real[part]
-                if some.any():
-                    own_n = n[part][some]
-                    # Sums travel on by the way of any part; which one does not matter.
-                    out.append(_sums(r["block"], r["slot"], place[part][some], value[part][some] * own_n, np.zeros(len(own_n))))
-                rest = np.flatnonzero(~seen[part] & real[part])
-                slot = _slot_of(b[part][rest], slots)
-                order = np.lexsort((b[part][rest], slot))
-                rest, slot = rest[order], slot[order]
-                cuts = np.searchsorted(slot, np.arange(slots + 1))
-                for s, (x, y) in enumerate(zip(cuts, cuts[1:])):
-                    if y > x:
-                        at = rest[x:y]
-                        out.append(_row(_GRAMS, s, r["block"], rows=place[part][at], n=_counts(n[part][at]), **_cut_hash(b[part][at])))
-        return pa.Table.from_batches([_batch(out)])
+        slot = rows[0]["slot"]
+        edges = _edges(slots, bits)
+        width = edges[slot + 1] - edges[slot]
+        grams = np.concatenate([unpack_sorted(r["grams"], r["n"], width) for r in rows])
+        own = np.concatenate([unpack_counts(r["counts"], r["n"]) for r in rows])
+        _, at = np.unique(grams, return_inverse=True)
+        del grams
+        others = np.bincount(at, weights=own).astype(np.int64)[at] - own
+        ends = np.cumsum([r["n"] for r in rows])
+        out = [(slot, r["block"], r["mark"], pack_counts(others[end - r["n"] : end])) for r, end in zip(rows, ends.tolist())]
+        return pa.Table.from_batches([_rows(out, **_NUMBERS, others=pa.binary())])
 
     return run
 
 
-def _score_words(total: int, backoff: float):
-    """Task, of one part: sums of what is scored by single words."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = left.to_pylist()
-        out = []
-        words, logs = np.zeros(0, np.uint64), np.zeros(0)
-        if len(right):
-            row = right.to_pylist()[0]
-            words, logs = np.frombuffer(row["words"], np.uint64), np.log(np.frombuffer(row["counts"], np.int64) / max(total, 1))
-        for r in rows:
-            if r["kind"] == _HEAD or r["value"] is not None:
-                out.append(r)
-                continue
-            value = logs[np.searchsorted(words, _whole_hash(r))]
-            n = _counts_of(r)
-            if r["kind"] == _SUMS:  # first words of documents
-                out.append(_sums(r["block"], r["slot"], np.frombuffer(r["rows"], "<u2"), value, n))
-            else:
-                out.append(_sums(r["block"], r["slot"], np.frombuffer(r["rows"], "<u2"), (value + math.log(backoff)) * n, n))
-        return pa.Table.from_batches([_batch(out)])
+def _send_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: the texts of a block, compressed."""
+    for block, mark, keys, data, offsets in _blocks(batches):
+        packed = pa.compress(data.tobytes(), codec="zstd", asbytes=True)
+        yield _rows(
+            [(block, mark, len(data), keys.tobytes(), offsets.astype("<i8").tobytes(), packed)],
+            block=pa.int64(), mark=pa.int64(), size=pa.int64(), keys=pa.binary(), offsets=pa.binary(), data=pa.binary(),
+        )
+
+
+def _score(order: int, bits: int, slots: int, total: int, backoff: float):
+    """Of one block: its texts and the answers to its n-grams become a row for each document."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if len(texts) != 1 or set(answers["mark"].to_pylist()) - {texts["mark"][0].as_py()}:
+            raise ValueError("the documents gave other rows when they were read again")
+        text = texts.to_pylist()[0]
+        keys, offsets = np.frombuffer(text["keys"], np.int64), np.frombuffer(text["offsets"], np.int64)
+        data = np.frombuffer(pa.decompress(text["data"], text["size"], codec="zstd", asbytes=True), np.uint8)
+        grams, places, first = _grams_of(data, offsets, order, bits)
+        distinct, at, here = np.unique(grams, return_inverse=True, return_counts=True)
+        del grams
+        sizes = np.diff(np.searchsorted(distinct, np.array(_edges(slots, bits), np.uint64)))
+        others = np.zeros(len(distinct), np.int64)
+        ends = np.cumsum(sizes)
+        for slot, packed in zip(answers["slot"].to_pylist(), answers["others"].to_pylist()):
+            others[ends[slot] - sizes[slot] : ends[slot]] = unpack_counts(packed, sizes[slot])
+        row_of = np.repeat(np.arange(len(keys)), np.diff(first))
+        # An n-gram's number without those in the document itself.
+        held = (others + here)[at]
+        _, own, times = np.unique(at << 16 | np.concatenate([row_of[p] for p in places]), return_inverse=True, return_counts=True)
+        held -= times[own]
+        seen = np.full((order + 1, len(row_of)), -1, np.int64)
+        for n, (place, part) in enumerate(zip(places, np.split(held, np.cumsum([len(p) for p in places])[:-1])), 1):
+            seen[n, place] = part
+        words = np.diff(first)
+        left = np.log(np.maximum(total - words, 1))
+        value, steps, open_ = -left[row_of], np.zeros(len(row_of), np.int64), np.ones(len(row_of), bool)
+        for n in range(order, 0, -1):
+            found = open_ & (seen[n] > 0)
+            steps += open_ & (seen[n] == 0)
+            i = np.flatnonzero(found)
+            value[i] = np.log(seen[n, i]) - (np.log(seen[n - 1, i - 1]) if n > 1 else left[row_of[i]])
+            open_ &= ~found
+        value += steps * math.log(backoff)
+        sums = np.bincount(row_of, weights=value, minlength=len(keys))
+        some = words > 0
+        return pa.table({
+            "row_id": keys,
+            "n_words": pa.array(words, pa.int64()),
+            "n_backed_off": pa.array(np.bincount(row_of, weights=steps, minlength=len(keys)).astype(np.int64)),
+            "score": pa.array(np.where(some, sums / np.maximum(words, 1), 0.0), mask=~some),
+        })
 
     return run
 
 
-def _assemble(group: pa.Table) -> pa.Table:
-    """Of one block: a row for each document."""
-    rows = group.to_pylist()
-    keys, lengths = np.frombuffer(next(r for r in rows if r["kind"] == _HEAD)["keys"], np.int64).reshape(2, -1)
-    value, backed_off = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
-    for r in sorted((r for r in rows if r["kind"] == _SUMS), key=lambda r: (r["slot"], r["rows"], r["value"])):
-        at = np.frombuffer(r["rows"], "<u2")
-        value[at] += np.frombuffer(r["value"], "<f8")
-        backed_off[at] += _counts_of(r)
-    some = lengths > 0
-    score = pa.array(np.where(some, value / np.maximum(lengths, 1), 0.0), mask=~some)
-    return pa.table({"row_id": keys, "n_words": lengths, "n_backed_off": backed_off, "score": score})
-
-
-def backoff_scores(docs: DataFrame, backoff: float = 0.4, min_count: int = 2, key: str = "doc_id") -> DataFrame:
-    """The mean log score of every document's words under bigram counts of all documents.
+def backoff_scores(docs: DataFrame, backoff: float = 0.4, order: int = 3, key: str = "doc_id") -> DataFrame:
+    """The mean log score of every document's words under the n-gram counts of all other documents.
 
     Gives key (long), n_words, n_backed_off and score (double). After lower-casing A-Z, words are runs of
-    other than ASCII white space. A word b after a scores count(ab) / count(a) if ab occurs min_count
-    times in the corpus, and backoff * count(b) / (all words) otherwise; the first word of a document
-    scores count / (all words). Null, empty and blank texts have no words and a null score. Rows with
-    equal or null keys stay rows of their own; each counts. An empty table gives no rows.
+    other than ASCII white space. Counts of n-grams of 1 to `order` words are those of the corpus less those of
+    the scored document itself; otherwise none would ever be unseen. A word scores the count of the longest n-gram
+    that ends in it and others hold, over the count of that n-gram without the word (of one word: over the number
+    of words of others), times `backoff` for each longer n-gram that begins in the document. A word that no other
+    document holds scores backoff once more over the number of others' words. n_backed_off is the number of these
+    steps. Null, empty and blank texts have no words and a null score. Rows with equal or null keys stay rows
+    of their own; each is a document. An empty table gives no rows.
+
+    The documents are read three times and must give the same rows in the same order each time, as tables of
+    files do; otherwise the query fails. N-grams are told apart by hashes of at least 52 bits, and of 20 more than
+    number the n-grams: one in a million may share its hash with another.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("row_id"), F.col("text").cast("string").alias("text"))
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / 6 / PART_WORDS))
-    words = texts.mapInArrow(_count_words(slots), _SCHEMA).groupBy("slot").applyInArrow(
-        _sum_words, "slot int, words binary, counts binary, total bigint"
+    total = texts.mapInArrow(_count_words, "words bigint").agg(F.sum("words")).first()[0] or 0
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * order / PART_GRAMS))
+    bits = min(63, max(LEAST_BITS, (total * order).bit_length() + SPARE_BITS))
+    answers = texts.mapInArrow(_send_grams(order, bits, slots), _GRAMS).groupBy("slot").applyInArrow(_answer(bits, slots), _ANSWERS)
+    blocks = texts.mapInArrow(_send_texts, _TEXTS)
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _score(order, bits, slots, total, backoff), "row_id bigint, n_words bigint, n_backed_off bigint, score double"
     )
-    words = written(words, "word-counts")
-    total = words.agg(F.sum("total")).first()[0] or 0
-    # No more words than four times the parts can have this share of all.
-    least = max(1, total // (4 * slots))
-    many = words.select("words", "counts").mapInArrow(_crowding(least), "word bigint, n bigint").orderBy("word").toPandas()
-    crowding = spark.sparkContext.broadcast((many["word"].to_numpy(np.int64).view(np.uint64), many["n"].to_numpy(np.int64)))
-    grams = texts.mapInArrow(_bigrams(slots, crowding), _SCHEMA)
-    seen = grams.groupBy("slot").applyInArrow(_score_bigrams(slots, crowding, min_count), _SCHEMA)
-    sums = seen.groupBy("slot").cogroup(words.groupBy("slot")).applyInArrow(_score_words(total, backoff), _SCHEMA)
-    scored = sums.groupBy("block").applyInArrow(_assemble, "row_id bigint, n_words bigint, n_backed_off bigint, score double")
     own = F.when(F.col("row_id") != _NO_KEY, F.col("row_id"))
     return scored.select(own.alias(key), "n_words", "n_backed_off", "score")
-
-
-#: Stands for a null key on the way.
-_NO_KEY = -(1 << 63)

@@ -101,37 +101,47 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mean stupid-backoff score of every document under the whole corpus."""
+    """The mean stupid-backoff score of every document under the rest of the corpus."""
     scored = backoff.backoff_scores(table(spark, sf_dir, "documents"))
     # The order of a sum shows in its last digits.
     return scored.withColumn("score", F.round("score", 9))
 
 
 BACKOFF_SQL = r"""
-with words as (
-    select doc_id, rn, unnest(w) as word, generate_subscripts(w, 1) as i
-    from (select doc_id, row_number() over () as rn, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents)
-), pairs as (
-    select *, lag(word) over (partition by rn order by i) as before from words
-), singles as (
-    select word, count(*) as n from words group by word
-), doubles as (
-    select before, word, count(*) as n from pairs where before is not null group by all
+with rows as (
+    select row_number() over () as rn, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), words as (
+    select rn, unnest(w) as c, generate_subscripts(w, 1) as i from rows
+), grams as (
+    select rn, i, c, lag(c) over (partition by rn order by i) as b, lag(c, 2) over (partition by rn order by i) as a from words
+), held1 as (
+    select rn, c, sum(count(*)) over (partition by c) - count(*) as n from grams group by rn, c
+), held2 as (
+    select rn, b, c, sum(count(*)) over (partition by b, c) - count(*) as n from grams where b is not null group by rn, b, c
+), held3 as (
+    select rn, a, b, c, sum(count(*)) over (partition by a, b, c) - count(*) as n from grams where a is not null group by rn, a, b, c
+), others as (
+    select rn, sum(count(*)) over () - count(*) as n from words group by rn
+), found as (
+    select g.rn, o.n as others, h3.n as abc, h2.n as bc, h1.n as c, ab.n as ab, b.n as b
+    from grams g join others o on o.rn = g.rn join held1 h1 on h1.rn = g.rn and h1.c = g.c
+    left join held2 h2 on h2.rn = g.rn and h2.b = g.b and h2.c = g.c
+    left join held3 h3 on h3.rn = g.rn and h3.a = g.a and h3.b = g.b and h3.c = g.c
+    left join held1 b on b.rn = g.rn and b.c = g.b
+    left join held2 ab on ab.rn = g.rn and ab.b = g.a and ab.c = g.b
 ), events as (
-    select p.rn,
-        case when p.before is null then ln(s.n / (select count(*) from words)::double)
-             when d.n >= 2 then ln(d.n::double) - ln(c.n::double)
-             else ln(s.n / (select count(*) from words)::double) + ln(0.4) end as value,
-        case when p.before is not null and d.n < 2 then 1 else 0 end as backed_off
-    from pairs p join singles s on p.word = s.word left join singles c on p.before = c.word
-    left join doubles d on p.before = d.before and p.word = d.word
+    select rn,
+        case when abc > 0 then ln(abc::double) - ln(ab::double) when bc > 0 then ln(bc::double) - ln(b::double)
+             when c > 0 then ln(c::double) - ln(others::double) else -ln(greatest(others, 1)::double) end as value,
+        case when abc > 0 then 0 else (abc is not null)::int + case when bc > 0 then 0 else (bc is not null)::int + (c = 0)::int end end as steps
+    from found
 ), sums as (
-    select rn, count(*) as n_words, sum(backed_off)::bigint as n_backed_off, sum(value) as total from events group by rn
+    select rn, count(*) as n_words, sum(steps)::bigint as n_backed_off, sum(value + steps * ln(0.4)) as total from events group by rn
 )
 select r.doc_id, coalesce(s.n_words, 0) as n_words, coalesce(s.n_backed_off, 0) as n_backed_off,
     round(s.total / s.n_words, 9) as score
-from (select doc_id, row_number() over () as rn from documents) r left join sums s using (rn)
+from rows r left join sums s using (rn)
 """
 
 #: What the tools take that the turns of conversations are read as calls of.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -306,29 +307,65 @@ def test_quality_holds_on_held_out_rows(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in rows]) >= 0.95
 
 
-def test_backoff_of_odd_rows(odd):
+def _grams(words, order):
+    return Counter(tuple(words[i - n + 1 : i + 1]) for i in range(len(words)) for n in range(1, order + 1) if i >= n - 1)
+
+
+def _backoff_by_hand(words, every, own, order):
+    """(sum of log scores, steps back) of one document, gram by gram."""
+    held = lambda gram: every[gram] - own[gram]
+    others = sum(n for g, n in every.items() if len(g) == 1) - len(words)
+    score, steps = 0.0, 0
+    for i in range(len(words)):
+        for n in range(min(order, i + 1), 0, -1):
+            gram = tuple(words[i - n + 1 : i + 1])
+            if held(gram):
+                score += math.log(held(gram) / (held(gram[:-1]) if n > 1 else others))
+                break
+            steps += 1
+        else:
+            score -= math.log(max(others, 1))
+    return score + steps * math.log(0.4), steps
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_of_odd_rows(odd, order):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     words = [re.findall(r"[^\x20\x09-\x0D]+", lower(t)) for _, t in rows]
-    single, double, total = {}, {}, sum(map(len, words))
-    for own in words:
-        for i, w in enumerate(own):
-            single[w] = single.get(w, 0) + 1
-            if i:
-                double[own[i - 1], w] = double.get((own[i - 1], w), 0) + 1
+    owns = [_grams(w, order) for w in words]
+    every = sum(owns, Counter())
     expected = []
-    for (key, _), own in zip(rows, words):
-        score, back = 0.0, 0
-        for i, w in enumerate(own):
-            pair = double.get((own[i - 1], w), 0) if i else 0
-            if i and pair >= 2:
-                score += math.log(pair / single[own[i - 1]])
-            else:
-                score += math.log(single[w] / total) + (math.log(0.4) if i else 0)
-                back += bool(i)
-        expected.append((key, len(own), back, round(score / len(own), 6) if own else None))
-    found = [(r["doc_id"], r["n_words"], r["n_backed_off"], None if r["score"] is None else round(r["score"], 6)) for r in backoff.backoff_scores(odd).collect()]
+    for (key, _), own_words, own in zip(rows, words, owns):
+        score, steps = _backoff_by_hand(own_words, every, own, order)
+        expected.append((key, len(own_words), steps, round(score / len(own_words), 6) if own_words else None))
+    scored = backoff.backoff_scores(odd, order=order).collect()
+    found = [(r["doc_id"], r["n_words"], r["n_backed_off"], None if r["score"] is None else round(r["score"], 6)) for r in scored]
     assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_backoff_of_few_documents(spark, odd):
     assert backoff.backoff_scores(odd.limit(0)).count() == 0
+    alone = spark.createDataFrame([(1, "a b a b")], "doc_id long, text string")
+    # No other words: each of four words takes all its steps, over one.
+    [row] = backoff.backoff_scores(alone).collect()
+    assert (row["n_words"], row["n_backed_off"]) == (4, 1 + 2 + 3 + 3)
+    assert row["score"] == pytest.approx(9 / 4 * math.log(0.4))
+
+
+def test_backoff_does_not_depend_on_blocks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    whole = sorted(map(tuple, backoff.backoff_scores(docs).select("doc_id", "n_words", "n_backed_off", F.round("score", 9)).collect()))
+    cut = sorted(map(tuple, backoff.backoff_scores(docs.repartition(7, "doc_id").sortWithinPartitions("doc_id")).select("doc_id", "n_words", "n_backed_off", F.round("score", 9)).collect()))
+    assert whole == cut
+
+
+@pytest.mark.parametrize("width, n", [(1, 1), (7, 1), (1 << 20, 3), (1 << 52, 1), (1 << 40, 1000), (3000, 2999), ((1 << 47) + 5, 777), ((1 << 62) + 11, 50)])
+def test_packed_numbers_come_back(width, n):
+    drawn = np.random.default_rng(n).integers(0, width, n, dtype=np.uint64)
+    values = np.unique(np.concatenate([drawn, np.array([width - 1], np.uint64)]))
+    assert (backoff.unpack_sorted(backoff.pack_sorted(values, width), len(values), width) == values).all()
+    counts = (values % np.uint64(70_000)).astype(np.int64)
+    assert (backoff.unpack_counts(backoff.pack_counts(counts), len(counts)) == counts).all()
 
 
 def test_tool_calls(spark):
