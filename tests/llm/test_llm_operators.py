@@ -408,6 +408,41 @@ def test_tool_calls(spark):
     assert tool_calls.link_tool_calls(calls.limit(0), results.limit(0), TOOLS).count() == 0
 
 
+def _depths_by_hand(ids, edges):
+    """The longest way down from each id; None for those that reach a circle."""
+    above = {i: {b for a, b in edges if a == i and b in ids} for i in ids}
+    known = {}
+    while True:
+        new = {i: 1 + max((known[b] for b in above[i]), default=-1) for i in ids if i not in known and above[i] <= known.keys()}
+        if not new:
+            return {i: known.get(i) for i in ids}
+        known |= new
+
+
+@pytest.mark.parametrize("seed, calls, edges", [(2, 40, 80), (3, 25, 60)])
+def test_depths_with_several_dependencies(spark, seed, calls, edges):
+    draw = np.random.default_rng(seed)
+    ids = [f"c{i:02}" for i in range(calls)]
+    # Mostly from later to earlier; a few the other way make circles.
+    pairs = [tuple(sorted(draw.choice(calls, 2, replace=False), reverse=bool(k >= 2 or seed % 2))) for k in range(edges)]
+    own = {ids[a]: ids[b] for a, b in pairs[: edges // 2]}
+    more = [(ids[a], ids[b]) for a, b in pairs[edges // 2 :]]
+    more += [more[0], (ids[3], None), (None, ids[3]), (ids[4], "gone"), ("gone", ids[4])]
+    given = spark.createDataFrame([(i, own.get(i)) for i in ids], "call_id string, depends_on string")
+    needs = spark.createDataFrame(more, "call_id string, depends_on string")
+    found = {r["call_id"]: r["depth"] for r in tool_calls.call_depths(given, needs).collect()}
+    assert found == _depths_by_hand(set(ids), [*own.items(), *more])
+    alone = {r["call_id"]: r["depth"] for r in tool_calls.call_depths(given, needs.limit(0)).collect()}
+    assert alone == {r["call_id"]: r["depth"] for r in tool_calls.call_depths(given).collect()} == _depths_by_hand(set(ids), own.items())
+
+
+def test_depth_of_a_long_chain_with_a_meeting(spark):
+    n = 300
+    given = spark.createDataFrame([(str(i), str(i - 1)) for i in range(n)], "call_id string, depends_on string")
+    needs = spark.createDataFrame([("200", "7")], "call_id string, depends_on string")
+    assert {r["call_id"]: r["depth"] for r in tool_calls.call_depths(given, needs).collect()} == {str(i): i for i in range(n)}
+
+
 def test_turns_without_a_role_are_calls_of_an_unknown_tool(spark, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     rows = [(1, 0, "system", "be kind"), (1, 1, None, "hello there"), (1, 2, "user", "one two three four five six seven eight nine ten"), (1, 3, "assistant", "yes"), (2, 0, None, "x"), (2, 1, "assistant", None)]
