@@ -1,6 +1,7 @@
 """License and rights notices found by ordered signature rules.
 
-A rule is a regular expression with a label, a priority and keywords. It is tried on a text only if the
+A rule is a regular expression with a label, a priority and keywords: for names and versions of licenses, sentences of their
+texts, and wordings of rights. It is tried on a text only if the
 text has all its keywords; they are parts of single words that every match holds, so that none is lost. Of overlapping detections, one inside another of the same or a higher priority
 goes; so does one that partly overlaps another of a higher priority. Base phrases always stay.
 """
@@ -101,6 +102,186 @@ _NOTICES = (
     ("licensed", 5, ("under", "licensed|licenced|released|distributed|available|published"), r"(?:licen[cs]ed|released|distributed|available|published) under"),
 )
 
+# Sentences of license texts, notices and terms, as (label, patterns over words) written as in _NOTICES.
+# Words outside of brackets are in every match.
+_SENTENCES = (
+    ("mit-text", (
+        "to deal in the software without restriction",
+        "rights to use copy modify merge publish distribute sublicense and or sell",
+        "permit persons to whom the software is furnished to do so",
+        "(?:above|this) copyright notice and this permission notice shall be included",
+        "in all copies or substantial portions of the (?:software|materials?|documentation)",
+        "in no event shall the authors or copyright holders be liable",
+        "arising from out of or in connection with the software",
+    )),
+    ("bsd-text", (
+        "redistributions of source code must retain the (?:above )?copyright",
+        "redistributions in binary form must reproduce the (?:above )?copyright",
+        "with or without modification are permitted provided that",
+        "may be used to endorse or promote products derived from",
+        "all advertising materials mentioning features or use of this software",
+        "this software is provided by the (?:copyright holders?|authors?|regents|contributors)",
+        "procurement of substitute goods or services",
+        "however caused and on any theory of liability",
+    )),
+    ("isc-text", (
+        "for any purpose with or without fee is hereby granted",
+        "the author disclaims all warranties with regard to this software",
+        "resulting from loss of use data or profits",
+    )),
+    ("apache-text", (
+        "you may not use this (?:file|work|software) except in compliance with the license",
+        "you may obtain a copy of the license at",
+        "unless required by applicable law or agreed to in writing",
+        "(?:distributed|provided) on an as is basis",
+        "without warranties or conditions of any kind",
+        "see the license for the specific language governing permissions",
+        "perpetual worldwide non_exclusive no_charge royalty_free irrevocable (?:copyright|patent) license",
+        "licensed to the apache software foundation",
+        "terms and conditions for use reproduction and distribution",
+        "each contributor hereby grants to you a",
+    )),
+    ("gpl-text", (
+        "under the terms of the gnu (?:lesser |library |affero )?general public licen[cs]e",
+        "as published by the free software foundation",
+        "either version \\d of the license or at your option any later version",
+        "in the hope that it will be useful but without any warranty",
+        "implied warranty of merchantability or fitness for a particular purpose",
+        "you should have received a copy of the gnu",
+        "write to the free software foundation",
+        "everyone is permitted to copy and distribute verbatim copies",
+        "changing it is not allowed",
+        "this program comes with absolutely no warranty",
+        "corresponding source for a work",
+        "convey(?:ing)? (?:a )?covered works?",
+        "a work based on the (?:program|library)",
+    )),
+    ("mpl-text", (
+        "this source code form is subject to the terms of the mozilla",
+        "if a copy of the mpl was not distributed with this file",
+        "this source code form is incompatible with secondary licenses",
+        "the contents of this file are subject to the mozilla",
+    )),
+    ("epl-text", (
+        "this program and the accompanying materials are made available under",
+        "accompanies this distribution and is available at",
+        "any use reproduction or distribution of the program constitutes",
+    )),
+    ("zlib-text", (
+        "the origin of this software must not be misrepresented",
+        "altered source versions must be plainly marked as such",
+        "may not be removed or altered from any source distribution",
+        "in no event will the authors be held liable for any damages",
+    )),
+    ("boost-text", (
+        "distributed under the boost software license",
+        "machine executable object code generated by a source language processor",
+    )),
+    ("unlicense-text", (
+        "this is free and unencumbered software",
+        "anyone is free to copy modify publish use compile sell or distribute",
+        "overt act of relinquishment in perpetuity",
+    )),
+    ("cc0-text", (
+        "waived all copyright and related (?:or|and) neighboring rights",
+        "to the extent possible under law",
+        "affirmer (?:hereby )?overtly fully permanently irrevocably and unconditionally waives",
+        "no copyright the person who associated a work",
+    )),
+    ("cc-text", (
+        "licensed under (?:a|the) creative commons",
+        "this work is licensed under a creative",
+        "you are free to share copy and redistribute the material",
+        "you must give appropriate credit provide a link to the license",
+        "you may not use the material for commercial purposes",
+        "you must distribute your contributions under the same license",
+        "if you remix transform or build upon the material",
+        "no additional restrictions you may not apply legal terms",
+    )),
+    ("ofl-text", (
+        "this font software is licensed under",
+        "reserved font names?",
+        "neither the font software nor any of its individual components",
+    )),
+    ("artistic-text", (
+        "you may copy and distribute the standard version",
+        "the package may be (?:freely )?(?:distributed|redistributed) under",
+    )),
+    ("wtfpl-text", ("you just do what the fuck you want to",)),
+    ("see-license", (
+        "under the same terms as (?:perl|python|ruby|php|r|the (?:kernel|library|project)) itself",
+        "dual licensed under",
+        "is (?:available|released|licensed) under (?:a|the) (?:dual|triple) licen[cs]e",
+        "see the (?:file )?(?:licen[cs]e|copying|notice)(?: file)? for (?:details|more|copying|terms)",
+        "for license (?:information|terms|details) (?:please )?see",
+        "refer to the license for",
+    )),
+    ("proprietary", (
+        "unauthorized (?:copying|reproduction|distribution|use) of this (?:file|material|work|software|document)",
+        "strictly prohibited without (?:the )?(?:express |prior )?(?:written )?(?:consent|permission)",
+        "without the (?:express |prior )?(?:prior )?written (?:consent|permission) of",
+        "contains (?:confidential and proprietary|proprietary and confidential|trade secret)",
+        "stored in a retrieval system or transmitted in any form",
+        "for internal use only",
+        "this software is the confidential and proprietary information of",
+        "you shall not disclose such confidential information",
+        "reverse engineer decompile or disassemble",
+        "is licensed not sold",
+        "by (?:installing|downloading|using) (?:or (?:installing|downloading|using) )?(?:this|the) software you (?:agree|accept)",
+        "end user licen[cs]e agreement",
+        "this is an unpublished work",
+    )),
+    ("reserved", (
+        "all trademarks are the property of their respective owners",
+        "(?:is|are) (?:a )?registered trademarks? of",
+        "reproduced (?:here )?(?:with|by) (?:kind )?permission",
+        "reprinted (?:with|by) (?:kind )?permission",
+        "used (?:with|by) (?:kind )?permission of",
+        "the moral rights? of the authors? (?:has|have) been asserted",
+        "no unauthori[sz]ed (?:copying|reproduction|use)",
+    )),
+    ("noncommercial", (
+        "for (?:personal|private|academic|educational|research)(?: and| or)? non_commercial use",
+        "not (?:be used )?for commercial (?:use|purposes?)",
+        "for (?:personal|academic|educational|research) (?:use|purposes?) only",
+        "commercial use (?:is )?(?:not permitted|prohibited|forbidden)",
+        "commercial use requires (?:a|prior|written)",
+    )),
+    ("no-derivatives", (
+        "no derivative works",
+        "you may not (?:alter|modify) transform or build upon this work",
+        "you may not distribute the modified material",
+    )),
+    ("attribution", (
+        "attribution (?:is )?required",
+        "with attribution to the (?:original )?authors?",
+        "provided (?:that )?the (?:original )?(?:source|authors?) (?:is|are) (?:credited|acknowledged|cited)",
+        "provided the original work is properly cited",
+    )),
+    ("public-domain", (
+        "placed (?:in|into) the public domain",
+        "is (?:now )?in the public domain",
+        "released (?:in|into|to) the public domain",
+        "no known copyright restrictions",
+        "the copyright (?:has|have) expired",
+        "is a work of the united states government",
+        "not subject to copyright protection",
+    )),
+    ("open-government", (
+        "contains public sector information licensed under",
+        "open government licen[cs]e",
+        "crown copyright",
+        "open parliament licen[cs]e",
+    )),
+    ("no-warranty", (
+        "(?:disclaims|disclaim) all warranties",
+        "without (?:any )?(?:express or implied )?warranty of any kind",
+        "(?:use|used) at your own risk",
+        "not (?:be )?liable for any direct indirect incidental",
+        "any express or implied warranties",
+    )),
+)
+_SENTENCE_PRIORITY = 35
 
 @dataclass(frozen=True)
 class Rule:
@@ -112,6 +293,18 @@ class Rule:
     base: bool = False
 
 
+def _in_every_match(pattern: str) -> tuple[str, ...]:
+    """The words of a sentence's pattern that are in each of its matches: those outside of brackets and whole."""
+    outside = re.sub(r"\[[^\]]*\]|\\\w", "?", pattern)
+    while outside != (outside := re.sub(r"(\S*)\(\?:[^()]*\)\??(\S*)", lambda m: " " if not m[1] and not m[2] else f" {m[1]} ? {m[2]} ", outside)):
+        pass
+    return tuple(sorted({w for w in re.split(r"[ _]+", outside) if re.fullmatch(r"[a-z]{2,}", w)}))
+
+
+def _over_words(pattern: str) -> str:
+    return pattern.replace(" ", _GAP).replace("_", f"(?:{_GAP})?")
+
+
 def _spaced(phrase: str) -> str:
     return _GAP.join(re.escape(word) for word in re.findall(r"[^\W_]+", phrase))
 
@@ -148,8 +341,9 @@ def _family_rules() -> Iterator[Rule]:
 def rules() -> tuple[Rule, ...]:
     """All rules, those of high priority first."""
     base = [Rule(label, 100, tuple(phrase.split()), _spaced(phrase), True) for phrase, label in BASE_PHRASES.items()]
-    notices = [Rule(label, priority, keywords, pattern.replace(" ", _GAP).replace("_", f"(?:{_GAP})?")) for label, priority, keywords, pattern in _NOTICES]
-    return tuple(sorted([*base, *_family_rules(), *notices], key=lambda r: (-r.priority, r.label, r.pattern)))
+    notices = [Rule(label, priority, keywords, _over_words(pattern)) for label, priority, keywords, pattern in _NOTICES]
+    sentences = [Rule(label, _SENTENCE_PRIORITY, _in_every_match(p), _over_words(p)) for label, patterns in _SENTENCES for p in patterns]
+    return tuple(sorted([*base, *_family_rules(), *notices, *sentences], key=lambda r: (-r.priority, r.label, r.pattern)))
 
 
 @functools.lru_cache(maxsize=1)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from joulemart.llm import backoff, components, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, tool_calls
+from joulemart.llm import backoff, components, graph_search, huffman_files, jaccard_join, licenses, mixing, near_vectors, packing, quality, text_hash, tool_calls
 from joulemart.llm.queries import QUERIES, TOOLS
 from tests.llm.edge_rows import components as reachable
 from tests.llm.edge_rows import documents, lower, shingles
@@ -300,6 +300,48 @@ def test_quality_learns_and_takes_odd_rows(spark, odd):
     assert quality.score(odd.limit(0), model).count() == 0
 
 
+def _features_by_hand(text, settings):
+    """Bucket numbers of a text's words, repeats and character n-grams, one by one."""
+    one = lambda part: int(text_hash.range_hashes(text_hash.prefix_hashes(np.frombuffer(part, np.uint8)), np.array([0]), np.array([len(part)]))[0])
+    words = [one(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", text.encode())]
+    found = [w % settings.buckets for w in words]
+    found += [quality._REPEAT % settings.buckets for a, b in zip(words, words[1:]) if a == b]
+    characters = ["_" if c in " \t\n\x0b\x0c\r" else c for c in text.replace("_", "\0")]
+    for n in settings.char_ngrams:
+        for i in range(len(characters) - n + 1):
+            if "_" in characters[i + 1 : i + n - 1]:
+                continue
+            value = n
+            for c in characters[i : i + n]:
+                code = 32 if c == "_" else ord("_") if c == "\0" else int.from_bytes(c.encode(), "big")
+                value = (value + code) * 0x9E3779B97F4A7C15 % 2**64
+                value ^= value >> 29
+            found.append(int(text_hash.mix(np.array([value], np.uint64))[0]) % settings.buckets)
+    return found
+
+
+def test_quality_features_and_scores_by_hand(spark):
+    settings = quality.Settings()
+    texts = ["", " \n", "a", "go go go\tgone", "Ünï — 日本語 x_y\n\nword word", "one two three\r\nfour " * 20, None, "no border\x0bhere"]
+    model = np.random.default_rng(5).normal(size=settings.buckets + 1).astype(np.float32)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for i, text in enumerate(texts):
+        found = _features_by_hand(text or "", settings)
+        total = float(model[settings.buckets]) + sum(float(model[b]) for b in found)
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-total / (1 + len(found))))), text
+
+
+def test_quality_training_follows_the_gradient():
+    settings = quality.Settings(buckets=6, dims=3, epochs=1, rate=1e-4)
+    bags = [(1, np.array([0, 2, 6], np.uint32), np.array([0.5, 0.25, 0.25], np.float32))]
+    random = np.random.default_rng(settings.seed)
+    vectors = random.uniform(-1 / 3, 1 / 3, (7, 3))
+    # One step from an output of zeros: the log odds move along half of the mean vector of the document.
+    hidden = bags[0][2] @ vectors[bags[0][1]]
+    assert quality.train(bags, settings) == pytest.approx(vectors @ hidden * settings.rate, rel=1e-3)
+
+
 def test_quality_holds_on_held_out_rows(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
