@@ -2,11 +2,14 @@
 
 1. Documents become sets of shingle hashes. Sets meet by hash range, where the documents that have each
    shingle are counted, and return to their block without the shingles that only one document has:
-   such a shingle takes part in no overlap, so that it is enough to know how many there are.
+   such a shingle takes part in no overlap, so that it is enough to know how many there are. Shingles
+   that a large share of all documents has are found by a pass before; they stay with their block, so
+   that no range has to hold them.
 2. Rows with the same set become one class. A class's prefix holds its rarest shingles, so many that
    linked sets share one. Classes of one size and one prefix become a group.
 3. Groups that share a prefix shingle are candidates if their sizes and the shingle's places allow a
-   link. First each is paired with a few neighbours in each list, in several orders; then all remaining
+   link. First each is paired with a few neighbours in each list, in several orders, where long lists
+   are dealt anew to blocks each time; then all remaining
    candidates whose members aren't yet connected, without the pairs inside the largest component of a
    list.
 """
@@ -30,6 +33,16 @@ RANGE_SHINGLES = 2_000_000
 #: Hashes are cut to so many bits once sets are made. Of two sets of 20,000, a shingle of one then
 #: equals another's of the other by chance once in 700,000 pairs of sets.
 HASH_BITS = 48
+#: A shingle that at least one in so many rows of a chunk has is counted before all others,
+CHUNK_SHARE = 64
+#: and by at least so many rows of it.
+CHUNK_ROWS = 8
+#: What at least one in so many of all rows is found to have that way crowds its hash range,
+CROWD_SHARE = 128
+#: and so many such shingles, the most frequent ones, are sent to all tasks. Others go by hash range.
+CROWD_SHINGLES = 4096
+#: Lists longer than that are cut into blocks of about as many classes.
+LIST_ROWS = 512
 #: Distances of the neighbours that are tried first.
 NEIGHBOURS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
 #: Neighbours are tried so often in further orders of the lists, while that finds links.
@@ -71,8 +84,44 @@ def set_digests(texts: DataFrame, width: int = 5) -> DataFrame:
     return texts.withColumn("text", F.col("text").cast("string")).mapInArrow(run, f"{fields}, n bigint, d1 bigint, d2 bigint")
 
 
-def _set_blocks(width: int, slots: int):
-    """Task: sets of a run of documents, cut by hash range; and a row with what is known of the documents."""
+def _frequent(width: int):
+    """Task: shingles that many rows of a chunk have, with their number; and, with a null hash, rows and shingles of each chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in text_hash.text_chunks(batch):
+                hashes, bounds = text_hash.shingle_sets(data, offsets, width)
+                rows = len(bounds) - 1
+                values, counts = np.unique(hashes >> np.uint64(64 - HASH_BITS), return_counts=True)
+                often = (counts >= CHUNK_ROWS) & (counts * CHUNK_SHARE >= rows)
+                yield pa.RecordBatch.from_pydict({
+                    "hash": pa.array([None, *values[often].tolist()], pa.int64()),
+                    "rows": pa.array([rows, *counts[often].tolist()], pa.int64()),
+                    "shingles": pa.array([len(hashes), *[0] * int(often.sum())], pa.int64()),
+                })
+
+    return run
+
+
+def _crowding(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The shingles that crowd a hash range, ascending, with what they were counted as, and the number of shingles of all rows.
+
+    At most CROWD_SHINGLES of them. What is counted here only decides where a shingle goes and its place in the
+    order of frequency: any order that is the same for all rows finds all links.
+    """
+    counted = texts.mapInArrow(_frequent(width), "hash bigint, rows bigint, shingles bigint")
+    counted = written(counted.groupBy("hash").agg(F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles")), "frequent")
+    whole = counted.filter("hash is null").first()
+    if whole is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), 0
+    often = counted.filter(F.col("hash").isNotNull() & (F.col("rows") * CROWD_SHARE >= whole["rows"]))
+    found = sorted(tuple(r)[:2] for r in often.orderBy(F.desc("rows"), "hash").limit(CROWD_SHINGLES).collect())
+    hashes, rows = np.array(found, np.int64).reshape(-1, 2).T
+    return hashes.astype(np.uint64), np.minimum(rows, (1 << 32) - 1).astype(np.uint32), whole["shingles"]
+
+
+def _set_blocks(width: int, slots: int, crowding: np.ndarray):
+    """Task: sets of a run of documents, cut by hash range; and a row with what is known of the documents, crowding shingles included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part_id, count = TaskContext.get().partitionId(), 0
@@ -86,8 +135,12 @@ def _set_blocks(width: int, slots: int):
                     ids = batch.column(0).slice(low + first, len(sizes))
                     keys = np.concatenate([np.asarray(ids.cast(pa.int64()), np.int64), d1.view(np.int64), d2.view(np.int64)])
                     block = (part_id << 32) + count
-                    out = [_row(-1 - (part_id + count) % slots, block, keys=keys, n=sizes.astype("<i8"))]
                     hashes, rows = hashes >> np.uint64(64 - HASH_BITS), np.repeat(np.arange(len(sizes)), sizes)
+                    at = np.searchsorted(crowding, hashes)
+                    crowds = crowding[np.minimum(at, len(crowding) - 1)] == hashes if len(crowding) else np.zeros(len(hashes), bool)
+                    head = _row(-1 - (part_id + count) % slots, block, keys=keys, n=sizes.astype("<i8"), rows=rows[crowds].astype("<u2"), high=at[crowds].astype("<u2"))
+                    out = [head]
+                    hashes, rows = hashes[~crowds], rows[~crowds]
                     order = np.argsort(hashes, kind="stable")
                     hashes, rows = hashes[order], rows[order]
                     cuts = np.searchsorted(hashes, [(i << HASH_BITS) // slots for i in range(1, slots)])
@@ -131,41 +184,43 @@ def _count_range(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out)]) if out else pa.Table.from_batches([_batch([])])
 
 
-def _assemble(group: pa.Table) -> pa.Table:
+def _assemble(crowding: np.ndarray, crowd: np.ndarray):
     """Of one block: each document with its shared shingles, rarest first."""
-    rows = group.to_pylist()
-    head = next(r for r in rows if r["slot"] == 0)
-    keys = np.frombuffer(head["keys"], np.int64).reshape(3, -1)
-    sizes = np.frombuffer(head["n"], "<i8")
-    found = [r for r in rows if r["slot"] == 1]
-    if found:
-        hashes = np.concatenate([_hashes_of(r) for r in found])
-        place = np.concatenate([np.frombuffer(r["rows"], "<u2") for r in found])
-        counts = np.concatenate([np.frombuffer(r["n"], "<u4") for r in found])
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        head = next(r for r in rows if r["slot"] == 0)
+        keys = np.frombuffer(head["keys"], np.int64).reshape(3, -1)
+        sizes = np.frombuffer(head["n"], "<i8")
+        found = [r for r in rows if r["slot"] == 1]
+        own = np.frombuffer(head["high"], "<u2")
+        hashes = np.concatenate([crowding[own], *[_hashes_of(r) for r in found]])
+        place = np.concatenate([np.frombuffer(r["rows"], "<u2") for r in [head, *found]])
+        counts = np.concatenate([crowd[own], *[np.frombuffer(r["n"], "<u4") for r in found]])
         order = np.lexsort((hashes, counts, place))
         hashes, place = hashes[order], place[order]
-    else:
-        hashes, place = np.zeros(0, np.uint64), np.zeros(0, np.uint16)
-    bounds = np.searchsorted(place, np.arange(len(sizes) + 1))
-    return pa.table({
-        "row_id": pa.array(keys[0]),
-        "n": pa.array(sizes, pa.int64()),
-        "d1": pa.array(keys[1]),
-        "d2": pa.array(keys[2]),
-        "shared": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64))),
-    })
+        bounds = np.searchsorted(place, np.arange(len(sizes) + 1))
+        return pa.table({
+            "row_id": pa.array(keys[0]),
+            "n": pa.array(sizes, pa.int64()),
+            "d1": pa.array(keys[1]),
+            "d2": pa.array(keys[2]),
+            "shared": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64))),
+        })
+
+    return run
 
 
 def shared_shingles(docs: DataFrame, width: int, key: str = "doc_id") -> DataFrame:
     """Every row's set of word shingles: row_id, n (its size), d1 and d2 (two hashes of the set) and
     shared (those that another row has too, in an order in which rare ones are first)."""
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("row_id"), F.col("text").cast("string").alias("text"))
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    crowding, crowd, shingles = _crowding(texts, width)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = max(partitions, math.ceil(chars / 6 / RANGE_SHINGLES))
-    blocks = texts.mapInArrow(_set_blocks(width, slots), _BLOCK_SCHEMA)
+    slots = max(partitions, math.ceil(shingles / RANGE_SHINGLES))
+    blocks = texts.mapInArrow(_set_blocks(width, slots, crowding), _BLOCK_SCHEMA)
     counted = blocks.groupBy("slot").applyInArrow(_count_range, _BLOCK_SCHEMA)
-    return counted.groupBy("block").applyInArrow(_assemble, _SET_SCHEMA)
+    return counted.groupBy("block").applyInArrow(_assemble(crowding, crowd), _SET_SCHEMA)
 
 
 #: Stands for a null key inside the join.
@@ -191,12 +246,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common") * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent).select("a", "b")
 
 
-def _neighbours(entries: DataFrame, order: list, percent: int) -> DataFrame:
-    """Pairs of classes of different components that are near each other in a list, in some order of the lists."""
-    in_list = Window.partitionBy("shingle").orderBy(*order)
-    near = [F.lag(F.struct("cid", "n", "at", "component"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
-    fits = lambda x: x.isNotNull() & (x["component"] != F.col("component")) & _may_link(F.col("n"), F.col("at"), x["n"], x["at"], percent)
-    tried = entries.select("cid", "n", "at", "component", F.array(*near).alias("near"))
+def _neighbours(entries: DataFrame, order: list, turn: int, percent: int) -> DataFrame:
+    """Pairs of classes of different components that are near each other in a list, in some order of the lists.
+
+    Long lists are cut into blocks, to which each turn deals the classes anew.
+    """
+    blocks = F.ceil(F.col("in_list") / F.lit(LIST_ROWS))
+    block = F.pmod(F.xxhash64(F.lit(turn), F.lit("block"), "cid"), blocks)
+    # One hash of both, so that rows are not left where they lie by the shingle alone.
+    entries = entries.withColumn("list", F.when(blocks > 1, F.xxhash64("shingle", block)).otherwise(F.col("shingle")))
+    in_list = Window.partitionBy("list").orderBy("shingle", *order)
+    near = [F.lag(F.struct("cid", "n", "at", "component", "shingle"), d).over(in_list).alias(f"near{d}") for d in NEIGHBOURS]
+    fits = lambda x: x.isNotNull() & (x["shingle"] == F.col("shingle")) & (x["component"] != F.col("component")) & _may_link(F.col("n"), F.col("at"), x["n"], x["at"], percent)
+    tried = entries.select("cid", "n", "at", "component", "shingle", F.array(*near).alias("near"))
     tried = tried.select("cid", F.explode(F.filter("near", fits)).alias("x"))
     return tried.select(F.greatest("cid", "x.cid").alias("a"), F.least("cid", "x.cid").alias("b"))
 
@@ -208,25 +270,27 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     prefixed = sets.select("cid", "n", lone.alias("lone"), prefix.alias("prefix"))
     by_prefix = Window.partitionBy("n", "h1", "h2")
     grouped = prefixed.withColumns({"h1": F.xxhash64("prefix"), "h2": F.xxhash64(F.lit(1), "prefix")})
-    groups = grouped.groupBy("n", "h1", "h2").agg(F.min("cid").alias("gid"))
-    members = written(grouped.select("cid", "n", "h1", "h2").join(groups, ["n", "h1", "h2"]).select("cid", "gid"), "members")
-    entries = prefixed.join(groups.select(F.col("gid").alias("cid")), "cid", "left_semi").select(
-        F.col("cid").alias("gid"), "n", "lone", F.posexplode("prefix").alias("at", "shingle")
+    groups = grouped.groupBy("n", "h1", "h2").agg(F.min("cid").alias("gid"), F.count("cid").alias("in_group"))
+    members = written(grouped.select("cid", "n", "h1", "h2").join(groups, ["n", "h1", "h2"]).select("cid", "gid", "in_group"), "members")
+    entries = prefixed.join(groups.select(F.col("gid").alias("cid"), "in_group"), "cid").select(
+        F.col("cid").alias("gid"), "n", "lone", "in_group", F.posexplode("prefix").alias("at", "shingle")
     )
-    entries = entries.select("shingle", "gid", "n", (F.col("at") + F.col("lone")).alias("at"))
-    in_lists = entries.join(entries.groupBy("shingle").agg(F.count("gid").alias("size")).filter("size > 1"), "shingle")
-    entries = written(in_lists.select("shingle", "gid", "n", "at"), "entries")
+    entries = entries.select("shingle", "gid", "n", (F.col("at") + F.col("lone")).alias("at"), "in_group")
+    lists = entries.groupBy("shingle").agg(F.count("gid").alias("size"), F.sum("in_group").alias("in_list"))
+    # As a table, so that both sides of the join are exchanged and a long list can be split.
+    lists = written(lists.filter("size > 1").select("shingle", "in_list"), "lists")
+    entries = written(entries.join(lists, "shingle").select("shingle", "gid", "n", "at", "in_list"), "entries")
 
     # Neighbours, class by class: in every list, and in every group, as a list of its own below zero.
-    in_lists = entries.join(members, "gid").select("shingle", "cid", "n", "at")
-    sizes = members.groupBy("gid").agg(F.count("cid").alias("size")).filter("size > 1")
-    in_groups = members.join(sizes, "gid").select((-1 - F.col("gid")).alias("shingle"), "cid", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("at"))
+    in_lists = entries.join(members, "gid").select("shingle", "cid", "n", "at", "in_list")
+    zero = F.lit(0).cast("bigint")
+    in_groups = members.filter("in_group > 1").select((-1 - F.col("gid")).alias("shingle"), "cid", zero.alias("n"), zero.alias("at"), F.col("in_group").alias("in_list"))
     class_entries = written(in_lists.union(in_groups), "class-entries")
     links, labels = None, class_entries.select(F.col("cid").alias("node"), F.col("cid").alias("component")).limit(0)
     orders = [["n", "at", "cid"], *[[F.xxhash64(F.lit(turn), "cid"), "cid"] for turn in range(NEIGHBOUR_ROUNDS)]]
-    for order in orders:
+    for turn, order in enumerate(orders):
         labelled = class_entries.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        more = written(_verified(_neighbours(labelled, order, percent).distinct(), sets, percent), "links")
+        more = written(_verified(_neighbours(labelled, order, turn, percent).distinct(), sets, percent), "links")
         if links is not None and not more.limit(1).count():
             break
         links = more if links is None else links.union(more)
@@ -242,7 +306,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     labelled = entries.join(of_group, "gid")
     by_label = labelled.groupBy("shingle", "component").agg(F.count("gid").alias("size"))
     main = by_label.groupBy("shingle").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("size").alias("labels"))
-    labelled = written(labelled.join(main.filter("labels > 1"), "shingle"), "open-entries")
+    main = written(main.filter("labels > 1").select("shingle", "main"), "main-components")
+    labelled = written(labelled.join(main, "shingle"), "open-entries")
     minor = labelled.filter("component <> main").select("shingle", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "at", "component")])
     open_pairs = labelled.join(minor, "shingle").filter(
         (F.col("component") != F.col("component2"))

@@ -168,7 +168,9 @@ def test_ngram_join_of_odd_and_small_tables(spark, sf_dir, odd):
     assert jaccard_join.similar_documents(odd.limit(0)).count() == 0
 
 
-def test_ngram_join_of_chains_and_a_family(spark):
+@pytest.mark.parametrize("list_rows", [512, 8])
+def test_ngram_join_of_chains_and_a_family(spark, monkeypatch, list_rows):
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", list_rows)
     random = np.random.default_rng(4)
     base = [f"w{i}" for i in range(70)]
     rows = []
@@ -184,6 +186,44 @@ def test_ngram_join_of_chains_and_a_family(spark):
     assert found == _expected_join(rows, 4, 80)
 
 
+def test_shingles_that_crowd_a_range_stay_in_their_block(spark):
+    notice = " ".join(f"n{i}" for i in range(12))
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i} " + (notice if i % 3 else "") + (" x y z u" if i in (7, 70) else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes, counts, shingles = jaccard_join._crowding(docs.select("doc_id", "text"), 4)
+    sets = {key: set(_windows(text, 4)) for key, text in rows}
+    having = Counter(s for found in sets.values() for s in found)
+    often = [s for s, n in having.items() if n > 100]
+    assert len(hashes) == len(often) == 9 and set(counts) == {having[often[0]]} == {133}
+    assert shingles == sum(map(len, sets.values())) and (np.diff(hashes.astype(np.int64)) > 0).all()
+    for row in jaccard_join.shared_shingles(docs, 4).collect():
+        own = sets[row["row_id"]]
+        common = [s for s in own if having[s] > 1]
+        assert (row["n"], len(row["shared"])) == (len(own), len(common))
+        # Rare ones first; the notice's last.
+        frequent = [h in set(hashes.astype(np.int64)) for h in row["shared"]]
+        assert frequent == sorted(frequent) and sum(frequent) == sum(having[s] > 100 for s in own)
+
+
+def _windows(text, width):
+    words = text.split()
+    return [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+
+
+def test_long_lists_are_searched_in_blocks(spark, monkeypatch):
+    """A list of which no block holds more than a share still yields neighbours of every turn, all of them in one list."""
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", 16)
+    rows = [(shingle, shingle * 1000 + i, 50, 0, shingle * 1000 + i, 400 if shingle == 1 else 5) for shingle, size in ((1, 400), (2, 5)) for i in range(size)]
+    entries = spark.createDataFrame(rows, "shingle long, cid long, n long, at long, component long, in_list long")
+    found = [jaccard_join._neighbours(entries, ["n", "at", "cid"], turn, 80).distinct() for turn in (0, 1)]
+    pairs = [{tuple(r) for r in f.collect()} for f in found]
+    assert all(a // 1000 == b // 1000 and a > b for p in pairs for a, b in p)
+    assert all(len({x for pair in p for x in pair}) == 405 for p in pairs)
+    assert sum(a < 2000 for a, _ in pairs[0] - pairs[1]) > 500  # dealt anew
+    links = found[0].union(found[1])
+    assert components.connected_components(links).select("component").distinct().count() == 2
+
+
 @pytest.mark.parametrize("finish", [10**6, 20, 0])
 def test_components_in_rounds_and_at_once(spark, finish):
     random = np.random.default_rng(8)
