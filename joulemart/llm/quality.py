@@ -119,7 +119,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), sam
     """Learn from at most sample_rows labelled documents, chosen by a hash of their key.
 
     Labels other than 0 and 1, null keys and labels without a document are left out; a key with both
-    labels counts as 0. Without any label all scores are one half.
+    labels counts as 0. Rows that share a key count each; of more than sample_rows rows those with the
+    smallest hash of key and text stay. Without any label all scores are one half.
     """
     chosen = (
         labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
@@ -128,7 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), sam
     )
     texts = docs.select(F.col(key).alias("__key"), F.col("text").cast("string").alias("text"))
     # At most sample_rows keys are sent out; a key that very many rows have gives no more than its share.
-    labelled = texts.join(F.broadcast(chosen), "__key").select(F.xxhash64("__key", "text").alias("place"), "label", "text").limit(sample_rows)
+    labelled = texts.join(F.broadcast(chosen), "__key").select(F.xxhash64("__key", "text").alias("place"), "label", "text")
+    # Which rows stay must not depend on where they lie.
+    labelled = labelled.orderBy("place", "label").limit(sample_rows)
     rows = labelled.coalesce(1).mapInArrow(_fitted(settings), "model binary").collect()
     return np.frombuffer(rows[0]["model"], np.float32) if rows else np.zeros(settings.buckets + 1, np.float32)
 
@@ -162,5 +165,5 @@ def score(docs: DataFrame, model: np.ndarray, settings: Settings = Settings(), c
 
 
 def held_out(key: Column) -> Column:
-    """Whether a row is kept from all learning."""
-    return F.crc32(key.cast("string").cast("binary")) % 5 == 0
+    """Whether a row is kept from all learning, as a row without a key always is."""
+    return key.isNull() | (F.crc32(key.cast("string").cast("binary")) % 5 == 0)

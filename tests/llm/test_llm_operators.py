@@ -340,6 +340,17 @@ def test_quality_learns_and_takes_odd_rows(spark, odd):
     assert quality.score(odd.limit(0), model).count() == 0
 
 
+def test_rows_that_share_a_key_or_have_none_are_learned_from_by_rule(spark):
+    rows = [(1, f"good text number {i} of many") for i in range(40)] + [(2, f"bad bad {i} bad") for i in range(40)] + [(None, "no key")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    settings = quality.Settings(buckets=64, dims=3, epochs=1)
+    models = [quality.fit(docs.repartition(n).orderBy(F.rand(n)), labels, settings, sample_rows=10) for n in (2, 5)]
+    assert (models[0] == models[1]).all() and models[0].any()
+    held = {r["doc_id"]: r["h"] for r in docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("h")).distinct().collect()}
+    assert held == {None: True} | {k: zlib.crc32(str(k).encode()) % 5 == 0 for k in (1, 2)}
+
+
 def _features_by_hand(text, settings):
     """Bucket numbers of a text's words, repeats and character n-grams, one by one."""
     one = lambda part: int(text_hash.range_hashes(text_hash.prefix_hashes(np.frombuffer(part, np.uint8)), np.array([0]), np.array([len(part)]))[0])
