@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, replace
 import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import IndexToString, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,7 @@ from joulemart.operators.ranking import top_k
 from joulemart.operators.sampling import stratified_exact
 from joulemart.operators.shares import share_of_total
 from joulemart.plans.band_features import FOLDS, SEED, fold_features, with_class_weight
+from joulemart.plans.cell_forest import RandomForestClassifier
 from joulemart.plans.softmax_boost import (
     BoostedModel, BoostParams, Job, count_cells, fit_boosted, fit_jobs, learn_bins, load_boosted, node_importance, score_boosted,
 )
@@ -34,8 +35,6 @@ from joulemart.session import new_work_dir
 CATEGORIES = ("main_fuel", "wall_type")
 # Bins of a feature in a forest.
 MAX_BINS = 32
-# Memory for the statistics of tree nodes: the more, the fewer passes over the rows of a forest.
-NODE_MEMORY_MB = 1024
 
 
 def _age_stage() -> SQLTransformer:
@@ -79,7 +78,8 @@ def fit_forest(train: DataFrame, params: ForestParams = ForestParams(), seed: in
     """Encoding and a class-balanced random forest as one model.
 
     Scoring needs the feature columns only: the label is indexed beforehand
-    and its names are kept in the last stage.
+    and its names are kept in the last stage. Trees are grown over counts of
+    binned rows (see cell_forest).
     """
     labels = label_stage().fit(train)
     forest = RandomForestClassifier(
@@ -90,7 +90,6 @@ def fit_forest(train: DataFrame, params: ForestParams = ForestParams(), seed: in
         featureSubsetStrategy="sqrt",
         weightCol="weight",
         maxBins=MAX_BINS,
-        maxMemoryInMB=NODE_MEMORY_MB,
         seed=seed,
     )
     name = IndexToString(inputCol="prediction", outputCol="predicted", labels=labels.labels)
