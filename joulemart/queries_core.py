@@ -13,11 +13,12 @@ from joulemart.oracle import mean, query, rnd
 from joulemart.operators.shares import with_total
 from joulemart.plans import analytics, marts, reports, staging
 from joulemart.plans.marts import Star
-from joulemart.session import new_work_dir
+from joulemart.session import new_work_dir, settle
 from joulemart.sources.certificate_rows import raw_certificates
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
     return raw_certificates(spark, sf_dir)
 
 

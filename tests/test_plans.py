@@ -188,3 +188,15 @@ def test_registered_names():
     names = contract.queries()
     assert len(names) >= 80
     assert set(contract.oracle_sql()) <= set(names)
+
+
+def test_wide_plans_are_compiled_in_any_session(spark, sf_dir):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    for held, wanted in ((None, "8000"), ("7000", "7000")):
+        try:
+            spark.conf.unset(key) if held is None else spark.conf.set(key, held)
+            contract.queries()["stg_certificates"](spark, sf_dir)
+            assert spark.conf.get(key) == wanted
+        finally:
+            spark.conf.set(key, before)
