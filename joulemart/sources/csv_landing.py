@@ -24,6 +24,8 @@ CSV_FILES = "*.[cC][sS][vV]{,.*}"
 WHOLE_FILE_BYTES = 128 << 20
 #: Up to so many files, the table of file headers is sent to every task.
 BROADCAST_FILES = 100_000
+#: The columns of the table of file headers.
+HEADERS = "path string, header array<string>"
 
 
 def text_schema(names: list[str]) -> T.StructType:
@@ -60,7 +62,7 @@ def file_headers(spark: SparkSession, path: str | list[str], files: str = CSV_FI
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), "_metadata.file_block_start")
         .filter("file_block_start = 0").select("path", "line")
     )
-    return lines.mapInPandas(_first_records, "path string, header array<string>")
+    return lines.mapInPandas(_first_records, HEADERS)
 
 
 def read_csv_by_name(
@@ -76,15 +78,16 @@ def read_csv_by_name(
     """
     folder = new_work_dir(spark, "headers")
     file_headers(spark, path, files).write.parquet(folder)
-    headers = spark.read.parquet(folder)
-    distinct = [tuple(r.header) for r in headers.select("header").distinct().collect()]
+    headers = spark.read.schema(HEADERS).parquet(folder)
+    files_of = {tuple(r.header): r.n for r in headers.groupBy("header").agg(F.count("*").alias("n")).collect()}
+    distinct = list(files_of)
     if not distinct:
         raise FileNotFoundError(f"no CSV files below {path}")
     distinct.sort()
     places = [f"_c{i}" for i in range(max(map(len, distinct)))]
     limit = WHOLE_FILE_BYTES if whole_file_bytes is None else whole_file_bytes
     rows = _by_position(spark, path, files, places, multi_line, limit)
-    few = headers.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
+    few = sum(files_of.values()) <= BROADCAST_FILES
     known = headers.withColumnRenamed("path", LINEAGE)
     rows = rows.join(F.broadcast(known) if few else known, LINEAGE)
     names = list(dict.fromkeys(n for header in distinct for n in header))
@@ -136,6 +139,10 @@ def append_chunk(chunk: DataFrame, path: str, first: bool) -> None:
     chunk.write.mode("overwrite" if first else "append").parquet(path)
 
 
-def write_csv_folders(rows: DataFrame, path: str, folder: str) -> None:
-    """Write rows as CSV files, one folder per value of the ``folder`` column."""
-    rows.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(folder).csv(path)
+def write_csv_folders(rows: DataFrame, path: str, folder: str, files: int = 2) -> None:
+    """Write rows as CSV files, one folder per value of the ``folder`` column, with up to so many files in each.
+
+    Otherwise every task would leave a file in every folder, and what reads a few files at a time would take the longer the more tasks wrote.
+    """
+    dealt = rows.repartition(folder, F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
+    dealt.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(folder).csv(path)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from joulemart.session import new_work_dir
-from joulemart.sources.csv_landing import read_csv_by_name
+from joulemart.sources.csv_landing import read_csv_by_name, write_csv_folders
 from joulemart.sources.versions import Versions
 from joulemart.streaming.landing import land_available, land_batch, read_landed
 
@@ -47,3 +49,24 @@ def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
     land_batch(files.limit(0), 8, table)
     assert read_landed(spark, table).count() == 3 and list(Versions(spark, table).tables()) == ["batch-7"]
     assert read_landed(spark, new_work_dir(spark, "none")).count() == 0
+
+
+def test_headers_are_found_in_few_jobs(spark, tmp_path):
+    for name, text in (("a", "k,v\n1,x\n"), ("b", "k,v\n2,y\n"), ("c", "v,k\nz,3\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    spark.sparkContext.setJobGroup("headers", "")
+    try:
+        rows = read_csv_by_name(spark, str(tmp_path))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert {(r.k, r.v) for r in rows.collect()} == {("1", "x"), ("2", "y"), ("3", "z")}
+    assert len(jobs) <= 4  # headers written, grouped (with its shuffle, two), and sizes
+
+
+def test_folders_get_few_files_whatever_wrote_them(spark, tmp_path):
+    rows = spark.range(600).select(F.concat(F.lit("f"), F.col("id") % 3).alias("folder"), F.col("id").cast("string").alias("k"))
+    write_csv_folders(rows.repartition(16), str(tmp_path / "out"), "folder")
+    files = [p.parent.name for p in (tmp_path / "out").glob("*/*.csv")]
+    assert set(files) == {"folder=f0", "folder=f1", "folder=f2"} and len(files) <= 6
+    assert sorted(int(r.k) for r in read_csv_by_name(spark, str(tmp_path / "out")).collect()) == list(range(600))
