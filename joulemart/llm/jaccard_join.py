@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from joulemart.llm import text_hash
 from joulemart.llm.components import connected_components, written
+from joulemart.session import TEXT_SETTINGS, settle
 
 #: Shingles of a hash range, on average; a task holds one range.
 RANGE_SHINGLES = 2_000_000
@@ -166,12 +167,16 @@ def _count_range(group: pa.Table) -> pa.Table:
     out = [r | {"slot": 0} for r in passed]
     if rows:
         hashes = np.concatenate([_hashes_of(r) for r in rows])
-        where = np.repeat(np.arange(len(rows)), [len(r["rows"]) // 2 for r in rows])
+        where = np.repeat(np.arange(len(rows), dtype=np.uint32), [len(r["rows"]) // 2 for r in rows])
         place = np.concatenate([np.frombuffer(r["rows"], "<u2") for r in rows])
+        for r in rows:  # a range's payloads aren't held beside its arrays
+            del r["low"], r["high"], r["rows"]
         order = np.argsort(hashes, kind="stable")
         hashes, where, place = hashes[order], where[order], place[order]
-        starts = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
-        counts = np.repeat(np.diff(starts, append=len(hashes)), np.diff(starts, append=len(hashes)))
+        new = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        sizes = np.diff(np.flatnonzero(new), append=len(hashes))
+        counts = np.repeat(sizes.astype("<u4"), sizes)
         keep = counts > 1
         hashes, where, place, counts = hashes[keep], where[keep], place[keep], counts[keep]
         order = np.argsort(where, kind="stable")
@@ -180,7 +185,7 @@ def _count_range(group: pa.Table) -> pa.Table:
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if b > a:
                 h = hashes[a:b]
-                out.append(_row(1, rows[i]["block"], rows=place[a:b], low=h.astype("<u4"), high=(h >> np.uint64(32)).astype("<u2"), n=counts[a:b].astype("<u4")))
+                out.append(_row(1, rows[i]["block"], rows=place[a:b], low=h.astype("<u4"), high=(h >> np.uint64(32)).astype("<u2"), n=counts[a:b]))
     return pa.Table.from_batches([_batch(out)]) if out else pa.Table.from_batches([_batch([])])
 
 
@@ -214,6 +219,7 @@ def _assemble(crowding: np.ndarray, crowd: np.ndarray):
 def shared_shingles(docs: DataFrame, width: int, key: str = "doc_id") -> DataFrame:
     """Every row's set of word shingles: row_id, n (its size), d1 and d2 (two hashes of the set) and
     shared (those that another row has too, in an order in which rare ones are first)."""
+    settle(docs.sparkSession, TEXT_SETTINGS)
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("row_id"), F.col("text").cast("string").alias("text"))
     crowding, crowd, shingles = _crowding(texts, width)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

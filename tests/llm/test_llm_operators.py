@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -205,6 +206,22 @@ def test_shingles_that_crowd_a_range_stay_in_their_block(spark):
         assert frequent == sorted(frequent) and sum(frequent) == sum(having[s] > 100 for s in own)
 
 
+def test_texts_come_to_the_join_in_bounded_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b "), "id", F.repeat(F.lit(" w"), 5000)).alias("text"))
+    try:
+        spark.conf.unset(key)
+        assert jaccard_join.shared_shingles(docs, 4).agg(F.sum("n")).first()[0] == 3000 * 4
+        sizes = [r[0] for r in docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long").collect()]
+        assert sum(sizes) > 30_000_000 and max(sizes) < 10_000_000
+        spark.conf.set(key, "5m")
+        jaccard_join.shared_shingles(docs.limit(1), 4)
+        assert spark.conf.get(key) == "5m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def _windows(text, width):
     words = text.split()
     return [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
