@@ -312,6 +312,20 @@ def _unpacked(data: bytes, width: int) -> Iterator[tuple[np.ndarray, ...]]:
         low += size
 
 
+def _packed_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row a batch of cells: their numbers, folds and rows of every class, as compressed arrays."""
+    for rows in batches:
+        if len(rows):
+            out = io.BytesIO()
+            np.savez_compressed(out, cell=rows["cell"], fold=rows["fold"], n=np.stack(rows["n"].to_numpy()).astype(float))
+            yield pd.DataFrame({"data": [out.getvalue()]})
+
+
+def _unpacked_cells(data: bytes) -> tuple[np.ndarray, ...]:
+    held = np.load(io.BytesIO(data))
+    return held["cell"], held["fold"], held["n"]
+
+
 @dataclass(frozen=True)
 class Job:
     """One fit: its parameters and the fold that is held out, if any."""
@@ -327,16 +341,17 @@ _FITTED = "model int, kept int, rounds int, losses array<double>, confusion arra
 def fit_jobs(cells: DataFrame, bins: Bins, jobs: Sequence[Job]) -> DataFrame:
     """One row a job (model is its number), each fitted in a task of its own, written.
 
-    A task holds the cells once, of which the bins limit the number. `rounds` are those tried, `kept`
-    those in `trees`; `confusion` counts held-out rows by class and predicted class.
+    A task holds the cells once, of which the bins limit the number; they are sent out packed, not dealt to
+    each job. `rounds` are those tried, `kept` those in `trees`; `confusion` counts held-out rows by class and
+    predicted class.
     """
     classes, sizes = len(bins.classes), bins.sizes
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         params, held_out, seed = jobs[int(key[0])].params, jobs[int(key[0])].held_out, jobs[int(key[0])].seed
-        cell, at = np.unique(rows["cell"].to_numpy(), return_inverse=True)
-        n = np.stack(rows["n"].to_numpy()).astype(float).reshape(len(rows), classes)
-        is_held = (rows["fold"] == held_out).to_numpy() if held_out is not None else np.zeros(len(rows), bool)
+        numbers, folds, n = (np.concatenate(parts) for parts in zip(*map(_unpacked_cells, rows["data"])))
+        cell, at = np.unique(numbers, return_inverse=True)
+        is_held = folds == held_out if held_out is not None else np.zeros(len(folds), bool)
         counts, known = np.zeros((len(cell), classes)), np.zeros((len(cell), classes))
         np.add.at(counts, at[~is_held], n[~is_held])
         np.add.at(known, at[is_held], n[is_held])
@@ -347,9 +362,9 @@ def fit_jobs(cells: DataFrame, bins: Bins, jobs: Sequence[Job]) -> DataFrame:
             "confusion": [found.confusion.astype(np.int64).ravel().tolist()], "trees": [_packed(found)],
         })
 
-    numbers = F.explode(F.array(*map(F.lit, range(len(jobs))))).alias("model")
-    # By range, with a number of its own: every model gets a task, and adaptive execution merges none.
-    dealt = cells.select(numbers, "cell", "fold", "n").repartitionByRange(len(jobs), "model")
+    # A range of as many partitions: every model gets a task, and its rows stay there, joined and grouped without a shuffle.
+    models = cells.sparkSession.range(0, len(jobs), 1, len(jobs)).withColumnRenamed("id", "model")
+    dealt = models.crossJoin(F.broadcast(cells.select("cell", "fold", "n").mapInPandas(_packed_cells, "data binary")))
     fitted = dealt.groupBy("model").applyInPandas(fit, _FITTED)
     folder = new_work_dir(cells.sparkSession, "fits")
     fitted.write.parquet(folder)

@@ -1,8 +1,8 @@
 """Registered queries of the band prediction work.
 
-Model fits have full sizes, the defaults of the parameter classes. The comparison
-and the search run on the stratified subset of training rows that the ``tune``
-job takes, with its folds and trials.
+Model fits have full sizes, the defaults of the parameter classes. The search runs
+on all training rows, with the folds and trials of the ``tune`` job; the comparison
+on the stratified subset of them that the job takes.
 """
 
 from __future__ import annotations
@@ -154,11 +154,11 @@ _searches: dict[tuple[str, str], list[models.Trial]] = {}
 
 
 def _searched(spark: SparkSession, sf_dir: str) -> list[models.Trial]:
-    """All random trials, made once a session."""
+    """All random trials, over every training row, made once a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _searches:
         train, _ = _split(spark, sf_dir)
-        _searches[key] = models.search(models.tuning_folds(train, features.TUNE_ROWS), models.draw_boost_params(TRIALS))
+        _searches[key] = models.search(_written(spark, features.fold_features(train)), models.draw_boost_params(TRIALS))
     return _searches[key]
 
 

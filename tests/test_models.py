@@ -301,6 +301,45 @@ def test_search_prunes_and_finishes_as_without_rungs(spark, rows, monkeypatch):
     assert 0.5 < result.accuracy <= 1 and 0 < result.macro_f1 <= 1
 
 
+def test_search_takes_every_training_row(spark, rows, monkeypatch):
+    train = rows.filter(~F.col("is_test"))
+    tried = [models.BoostParams(rounds=r, leaves=8, min_leaf=4, step=0.3) for r in (3, 5)]
+    counted, count_cells = [], models.count_cells
+    monkeypatch.setattr(models, "count_cells", lambda folded, *how: counted.append(folded) or count_cells(folded, *how))
+    monkeypatch.setattr(models, "draw_boost_params", lambda trials: tried)
+    monkeypatch.setattr(queries_models, "_split", lambda *_: (train, rows.filter("is_test")))
+    monkeypatch.setattr(queries_models, "_searches", {})
+    monkeypatch.setattr(features, "TUNE_ROWS", 200)
+    got = queries_models.QUERIES["hyperparameter_search"][0](spark, "every row").orderBy("trial").collect()
+    whole = features.fold_features(train)
+    assert sorted(counted[0].select("certificate_id", "fold").collect()) == sorted(whole.select("certificate_id", "fold").collect())
+    assert [(r.macro_f1, r.rounds_kept) for r in got] == [(t.macro_f1, t.rounds) for t in models.search(whole, tried)]
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_fits_see_the_cells_of_all_partitions_and_batches(spark, rows, batch):
+    folded = features.fold_features(rows)
+    bins = boosting.learn_bins(folded)
+    cells = boosting.count_cells(folded, bins, F.col("fold"))
+    params = [models.BoostParams(rounds=3, leaves=5, min_leaf=4, row_share=0.7, resample=1), models.BoostParams(rounds=2)]
+    wanted = [boosting.Job(p, held_out) for p in params for held_out in (None, 0, 2)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        fitted = boosting.fit_jobs(cells.repartition(7), bins, wanted).orderBy("model").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r.model for r in fitted] == list(range(len(wanted)))
+    numbers = sorted({r.cell for r in cells.collect()})
+    for row, job in zip(fitted, wanted):
+        counts = np.zeros((2, len(numbers), len(bins.classes)))
+        for r in cells.collect():
+            counts[int(r.fold == job.held_out), numbers.index(r.cell)] += r.n
+        alone = boosting.boost(bins.of_cells(np.array(numbers)), bins.sizes, *counts, job.params, job.seed)
+        assert (row.kept, row.losses, row.confusion) == (alone.kept, alone.losses, alone.confusion.ravel().tolist())
+        assert bytes(row.trees) == boosting._packed(alone)
+
+
 def test_class_weights(spark):
     frame = spark.createDataFrame([("D",)] * 6 + [("A",)] * 2, "target string")
     got = {r.target: r.weight for r in features.class_weights(frame).collect()}
