@@ -11,7 +11,8 @@ from __future__ import annotations
 import heapq
 import io
 import json
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Generator, Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -156,61 +157,72 @@ def _less(gradient: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(gradient) * np.maximum(np.abs(gradient) - l1, 0)
 
 
-def best_split(sums: np.ndarray, layout: _Layout, allowed: np.ndarray, params: BoostParams) -> tuple[float, int, np.ndarray]:
-    """Gain, feature and left bins of the best split of a leaf; `sums` are gradient, weight and rows of every bin.
+def best_splits(sums: np.ndarray, layout: _Layout, allowed: np.ndarray, params: BoostParams) -> list[tuple[float, int, np.ndarray]]:
+    """Gain, feature and left bins of the best split of each leaf; `sums` are gradient, weight and rows of every bin, leaf by leaf.
 
     Floor area splits at a bin; categories in the order of gradient over weight, so that any set of
-    them can go left. Empty bins go right.
+    them can go left. Empty bins go right. `allowed` has the features of each leaf.
     """
-    order = np.arange(layout.width)
-    for part in layout.categories:
-        slope = sums[0, part] / (sums[1, part] + CATEGORY_SMOOTH)
-        slope[sums[2, part] == 0] = np.inf
-        order[part] = part.start + np.argsort(slope, kind="stable")
-    upto = sums[:, order].cumsum(1)
-    total = upto[:, layout.starts[1] - 1]
-    left = upto - np.repeat(np.concatenate([[[0.0]] * 3, upto[:, layout.starts[1:-1] - 1]], 1), layout.sizes, 1)
-    rows, weight = left[2], left[1]
-    least = max(params.min_leaf, 1)
-    good = (rows >= least) & (rows <= total[2] - least) & (weight >= _LEAST_WEIGHT) & (weight <= total[1] - _LEAST_WEIGHT) & allowed[layout.owner]
-    some = np.flatnonzero(good)
-    if not len(some):
-        return -np.inf, 0, some
-    g, h = left[0, some], weight[some]
-    score = lambda g, h: _less(g, params.l1) ** 2 / (h + params.l2)
-    gain = score(g, h) + score(total[0] - g, total[1] - h) - score(total[0], total[1])
-    best = int(gain.argmax())
-    at = int(some[best])
-    feature = int(layout.owner[at])
-    return float(gain[best]), feature, order[layout.starts[feature] : at + 1]
+    order = np.tile(np.arange(layout.width), (len(sums), 1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for part in layout.categories:
+            slope = sums[:, 0, part] / (sums[:, 1, part] + CATEGORY_SMOOTH)
+            slope[sums[:, 2, part] == 0] = np.inf
+            order[:, part] = part.start + np.argsort(slope, 1, kind="stable")
+        upto = np.take_along_axis(sums, order[:, None], 2).cumsum(2)
+        total = upto[:, :, layout.starts[1] - 1, None]
+        left = upto.copy()
+        for part in layout.categories:
+            left[:, :, part] -= upto[:, :, part.start - 1, None]
+        g, weight, rows = left[:, 0], left[:, 1], left[:, 2]
+        least = max(params.min_leaf, 1)
+        good = (rows >= least) & (rows <= total[:, 2] - least) & (weight >= _LEAST_WEIGHT) & (weight <= total[:, 1] - _LEAST_WEIGHT) & allowed[:, layout.owner]
+        score = lambda g, h: _less(g, params.l1) ** 2 / (h + params.l2)
+        gain = score(g, weight) + score(total[:, 0] - g, total[:, 1] - weight) - score(total[:, 0], total[:, 1])
+    gain[~good] = -np.inf
+    best = gain.argmax(1)
+    found = []
+    for i, at in enumerate(best):
+        feature = int(layout.owner[at])
+        found.append((float(gain[i, at]), feature, order[i, layout.starts[feature] : at + 1]))
+    return found
 
 
-def grow(flat: np.ndarray, sums: np.ndarray, layout: _Layout, allowed: np.ndarray, params: BoostParams) -> tuple[Tree, np.ndarray]:
-    """A tree grown leaf by leaf, the largest gain first, and the value of each cell.
+def best_split(sums: np.ndarray, layout: _Layout, allowed: np.ndarray, params: BoostParams) -> tuple[float, int, np.ndarray]:
+    """The best split of one leaf."""
+    return best_splits(sums[None], layout, allowed[None], params)[0]
 
-    `flat` has the places of a cell's bins, `sums` its gradient, weight and rows.
-    """
+
+def _growing(flat: np.ndarray, sums: Sequence[np.ndarray], layout: _Layout, params: BoostParams) -> Generator[list, list, tuple[Tree, np.ndarray]]:
+    """Grows a tree leaf by leaf, the largest gain first; yields the sums of new leaves, and is sent their best splits."""
     tree, value = Tree(), np.zeros(len(flat))
-    wide = [np.repeat(s, flat.shape[1]).reshape(flat.shape) for s in sums]
+    heap, members, new = [], {}, []
 
     def histogram(rows: np.ndarray) -> np.ndarray:
-        places = flat[rows].ravel()
-        return np.stack([np.bincount(places, w[rows].ravel(), layout.width) for w in wide])
+        places, held = flat[rows].ravel(), np.empty((len(sums), layout.width))
+        for to, s in zip(held, sums):
+            to[:] = np.bincount(places, s[rows].repeat(flat.shape[1]), layout.width)
+        return held
 
     def leaf(rows: np.ndarray, histogram: np.ndarray, depth: int) -> None:
-        g, h, n = histogram[:, : layout.starts[1]].sum(1)
-        at = tree.add(float(-_less(g, params.l1) / (h + params.l2) * params.step) if h + params.l2 > 0 else 0.0, n, layout.width)
+        g, h, n = histogram[:, : layout.starts[1]].sum(1).tolist()
+        less = math.copysign(max(abs(g) - params.l1, 0.0), g)
+        at = tree.add(-less / (h + params.l2) * params.step if h + params.l2 > 0 else 0.0, n, layout.width)
         members[at] = rows
         if n >= 2 * params.min_leaf and (not params.depth or depth < params.depth):
-            gain, feature, bins = best_split(histogram, layout, allowed, params)
-            if gain > max(params.min_gain, 1e-12):
-                heapq.heappush(heap, (-gain, at, feature, bins, histogram, depth))
+            new.append((at, histogram, depth))
 
-    heap, members = [], {}
     everything = np.arange(len(flat))
     leaf(everything, histogram(everything), 0)
     leaves = 1
-    while heap and leaves < params.leaves:
+    while leaves < params.leaves:
+        if new:
+            for (at, whole, depth), (gain, feature, bins) in zip(new, (yield [h for _, h, _ in new])):
+                if gain > max(params.min_gain, 1e-12):
+                    heapq.heappush(heap, (-gain, at, feature, bins, whole, depth))
+            new.clear()
+        if not heap:
+            break
         gain, at, feature, bins, whole, depth = heapq.heappop(heap)
         rows = members.pop(at)
         tree.feature[at], tree.gain[at] = feature, -gain
@@ -229,6 +241,33 @@ def grow(flat: np.ndarray, sums: np.ndarray, layout: _Layout, allowed: np.ndarra
     return tree, value
 
 
+def grow_all(flat: np.ndarray, sums: Sequence, layout: _Layout, allowed: Sequence[np.ndarray], params: BoostParams) -> list[tuple[Tree, np.ndarray]]:
+    """A tree, and the value of each cell, for each of `sums`; the trees grow side by side, their new leaves are split in one go.
+
+    `flat` has the places of a cell's bins, each of `sums` its gradient, weight and rows.
+    """
+    growing = [_growing(flat, s, layout, params) for s in sums]
+    grown, sent = [None] * len(sums), dict.fromkeys(range(len(sums)))
+    while sent:
+        asked = {}
+        for i, splits in sent.items():
+            try:
+                asked[i] = growing[i].send(splits)
+            except StopIteration as end:
+                grown[i] = end.value
+        sent = {}
+        if asked:
+            features = np.stack([allowed[i] for i, leaves in asked.items() for _ in leaves])
+            found = iter(best_splits(np.stack([h for leaves in asked.values() for h in leaves]), layout, features, params))
+            sent = {i: [next(found) for _ in leaves] for i, leaves in asked.items()}
+    return grown
+
+
+def grow(flat: np.ndarray, sums: np.ndarray, layout: _Layout, allowed: np.ndarray, params: BoostParams) -> tuple[Tree, np.ndarray]:
+    """One tree, and the value of each cell."""
+    return grow_all(flat, [sums], layout, [allowed], params)[0]
+
+
 @dataclass
 class Fit:
     """An ensemble: trees by round and class, the held-out loss after each round, and the rounds kept."""
@@ -266,15 +305,14 @@ def boost(places: np.ndarray, sizes: Sequence[int], counts: np.ndarray, held_out
             bag = random.binomial(counts.astype(np.int64), params.row_share)
         shares, n, weighted = _shares(scores), bag.sum(1), bag * weight
         whole = weighted.sum(1)
-        trees, change = [], np.empty_like(scores)
-        for c in range(classes):
-            allowed = np.zeros(len(sizes), bool)
-            allowed[random.permutation(len(sizes))[: max(1, round(params.feature_share * len(sizes)))]] = True
-            p = shares[:, c]
-            sums = np.stack([whole * p - weighted[:, c], curve * whole * p * (1 - p), n])
-            tree, change[:, c] = grow(flat, sums, layout, allowed, params)
+        allowed = np.zeros((classes, len(sizes)), bool)
+        for features in allowed:
+            features[random.permutation(len(sizes))[: max(1, round(params.feature_share * len(sizes)))]] = True
+        sums = [(whole * p - w, curve * whole * p * (1 - p), n) for p, w in zip(shares.T, weighted.T)]
+        trees = []
+        for c, (tree, change) in enumerate(grow_all(flat, sums, layout, allowed, params)):
             trees.append(tree)
-        scores += change
+            scores[:, c] += change
         fit.trees.append(trees)
         if known.any():
             fit.losses.append(float(-(known * np.log(np.maximum(_shares(scores), 1e-15))).sum() / known.sum()))

@@ -172,6 +172,23 @@ def test_trees_split_as_a_search_of_all_splits(monkeypatch, seed):
     assert all(tree.n[i] == tree.n[tree.left[i]] + tree.n[tree.right[i]] for i in inner)
 
 
+def test_trees_side_by_side_are_those_grown_alone():
+    places, counts = _cells(4, 100)
+    random, layout, n = np.random.default_rng(4), boosting._Layout(SIZES), counts.sum(1)
+    sums = [np.stack([random.normal(size=len(n)) * n * (i < 3), n * 0.3, n]) for i in range(4)]  # the last has nothing to split
+    allowed = [np.array(a, bool) for a in ((1, 1, 1, 1), (1, 0, 0, 1), (0, 1, 1, 0), (1, 1, 1, 1))]
+    for params in (models.BoostParams(leaves=9, min_leaf=5, l1=0.1), models.BoostParams(depth=2, min_leaf=5), models.BoostParams(leaves=1)):
+        flat = places + layout.starts[:-1]
+        together = boosting.grow_all(flat, sums, layout, allowed, params)
+        assert (len(together[3][0].n) == 1) and (params.leaves == 1 or len({len(tree.n) for tree, _ in together}) > 1)
+        for (tree, value), s, a in zip(together, sums, allowed):
+            alone, expected = boosting.grow(flat, s, layout, a, params)
+            assert (tree.feature, tree.left, tree.right, tree.value, tree.gain) == (alone.feature, alone.left, alone.right, alone.value, alone.gain)
+            assert np.array_equal(tree.goes_left, alone.goes_left) and np.array_equal(value, expected)
+            used = {f for f in tree.feature if f >= 0}
+            assert used <= set(np.flatnonzero(a)) and tree.feature.count(-1) <= params.leaves
+
+
 def test_split_keeps_its_limits():
     places, counts = _cells(3)
     layout = boosting._Layout(SIZES)
