@@ -379,16 +379,16 @@ _FITTED = "model int, kept int, rounds int, losses array<double>, confusion arra
 def fit_jobs(cells: DataFrame, bins: Bins, jobs: Sequence[Job]) -> DataFrame:
     """One row a job (model is its number), each fitted in a task of its own, written.
 
-    A task holds the cells once, of which the bins limit the number; they are sent out packed, not dealt to
-    each job. `rounds` are those tried, `kept` those in `trees`; `confusion` counts held-out rows by class and
+    A task holds the cells once, of which the bins limit the number; they are dealt to each job packed.
+    `rounds` are those tried, `kept` those in `trees`; `confusion` counts held-out rows by class and
     predicted class.
     """
     classes, sizes = len(bins.classes), bins.sizes
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         params, held_out, seed = jobs[int(key[0])].params, jobs[int(key[0])].held_out, jobs[int(key[0])].seed
-        numbers, folds, n = (np.concatenate(parts) for parts in zip(*map(_unpacked_cells, rows["data"])))
-        cell, at = np.unique(numbers, return_inverse=True)
+        number, folds, n = (np.concatenate(parts) for parts in zip(*map(_unpacked_cells, rows["data"])))
+        cell, at = np.unique(number, return_inverse=True)
         is_held = folds == held_out if held_out is not None else np.zeros(len(folds), bool)
         counts, known = np.zeros((len(cell), classes)), np.zeros((len(cell), classes))
         np.add.at(counts, at[~is_held], n[~is_held])
@@ -400,9 +400,10 @@ def fit_jobs(cells: DataFrame, bins: Bins, jobs: Sequence[Job]) -> DataFrame:
             "confusion": [found.confusion.astype(np.int64).ravel().tolist()], "trees": [_packed(found)],
         })
 
-    # A range of as many partitions: every model gets a task, and its rows stay there, joined and grouped without a shuffle.
-    models = cells.sparkSession.range(0, len(jobs), 1, len(jobs)).withColumnRenamed("id", "model")
-    dealt = models.crossJoin(F.broadcast(cells.select("cell", "fold", "n").mapInPandas(_packed_cells, "data binary")))
+    packed = cells.select("cell", "fold", "n").mapInPandas(_packed_cells, "data binary")
+    numbers = F.explode(F.array(*map(F.lit, range(len(jobs))))).alias("model")
+    # By range, with a number of its own: every model gets a task, and adaptive execution merges none.
+    dealt = packed.select(numbers, "data").repartitionByRange(len(jobs), "model")
     fitted = dealt.groupBy("model").applyInPandas(fit, _FITTED)
     folder = new_work_dir(cells.sparkSession, "fits")
     fitted.write.parquet(folder)
